@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from loomspan.plans import fusion, wide
+from loomspan.plans import counting, fusion, wide
 
-_MODULES = (fusion, wide)
+_MODULES = (fusion, wide, counting)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 SQL = {name: text for module in _MODULES for name, text in module.SQL.items()}
