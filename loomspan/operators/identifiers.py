@@ -152,15 +152,15 @@ def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     links = edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).filter("a is not null and b is not null")
     alone = links.select("a").filter("a = b").select(F.col("a").alias("node"))
     links = cut(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
+    before, n = None, links.count()
     for _ in range(most_rounds):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _starred(both, larger=True)
-        links = cut(_starred(large, larger=False))
+        large = _starred(both, 2 * n, larger=True)
+        links = cut(_starred(large, n, larger=False))
         now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
-        before = now
+        before, n = now, now[0]
     else:
         raise RuntimeError("the components did not settle")
     roots = links.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")
@@ -168,10 +168,9 @@ def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return roots.unionByName(rest.withColumn("root", F.col("node")))
 
 
-def _starred(links: DataFrame, larger: bool) -> DataFrame:
+def _starred(links: DataFrame, total: int, larger: bool) -> DataFrame:
     """Each node's neighbours linked with its least one; larger: only those above the node, with itself among the least."""
     least = links.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("m", "a"))
-    total = int(1e12)
     joined = salted_join(links, least, "a", F.col("b"), "n", total)
     if larger:
         return joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(joined.filter("b < a").select(F.col("a"), F.col("m").alias("b"))).distinct()

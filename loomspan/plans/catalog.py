@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from loomspan.plans import counting, fusion, joining, wide
+from loomspan.plans import counting, fusion, identity, joining, wide
 
-_MODULES = (fusion, wide, counting, joining)
+_MODULES = (fusion, wide, counting, joining, identity)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 SQL = {name: text for module in _MODULES for name, text in module.SQL.items()}
