@@ -27,8 +27,8 @@ def tidy(c: Column) -> Column:
 
 
 def casefold(c: Column) -> Column:
-    """A key without case: ß and ss are alike, as upper case spells both so (STR-02)."""
-    return F.lower(F.upper(c))
+    """A key without case: ß and ss are alike, and so are the two small sigmas (STR-02)."""
+    return F.replace(F.replace(F.lower(c), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
 
 
 @F.pandas_udf(T.StringType())

@@ -76,19 +76,24 @@ def sections_of(df: DataFrame, key: str, text: str, headings: Sequence[str] = SE
     lies, without a shuffle: headings are marked, then the marked text is split.
     """
     mark = "\x01"
+    strip = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
     marked = F.regexp_replace(F.concat(F.lit("\n"), F.col(q(text))), rf"(?i)\n[ \t]*({'|'.join(headings)})[ \t]*(?=\n|$)", f"{mark}$1{mark}")
     parts = F.split(marked, mark)
     none = F.array(F.struct(F.lit("UNKNOWN").alias("section"), F.col(q(text)).alias("body")))
-    some = F.transform(F.sequence(F.lit(1), F.greatest(F.floor((F.size(parts) - 1) / 2), F.lit(1))), lambda i: F.struct(F.upper(F.get(parts, i.cast("int") * 2 - 1)).alias("section"), F.trim(F.get(parts, i.cast("int") * 2)).alias("body")))
-    preface = F.filter(F.array(F.struct(F.lit("PREFACE").alias("section"), F.trim(F.regexp_replace(parts[0], "^\n", "")).alias("body"))), lambda x: x["body"] != "")
+    some = F.transform(F.sequence(F.lit(1), F.greatest(F.floor((F.size(parts) - 1) / 2), F.lit(1))), lambda i: F.struct(F.upper(F.get(parts, i.cast("int") * 2 - 1)).alias("section"), strip(F.get(parts, i.cast("int") * 2)).alias("body")))
+    preface = F.filter(F.array(F.struct(F.lit("PREFACE").alias("section"), strip(parts[0]).alias("body"))), lambda x: x["body"] != "")
     cut = F.when(F.size(parts) < 3, none).otherwise(F.concat(preface, some))
     return df.filter(F.col(q(text)).isNotNull()).select(F.col(q(key)), F.posexplode(cut)).select(key, F.col("pos").alias("section_no"), "col.section", "col.body")
 
 
-def sentences(c: Column, guard: bool = False, least: int = 0) -> Column:
-    """A text's sentences (TXT-04): cut after . ! ? before white space, and at line ends; guard: not after initials and
-    abbreviations, only before capitals; least: shorter ones are left out."""
-    pattern = r"(?<!\b[A-Z]\.)(?<!\b[A-Z][a-z]\.)(?<!\bet al\.)(?<!\bFig\.)(?<!\bRef\.)(?<=[.!?])\s+(?=[A-Z])" if guard else r"(?<=[.!?])\s+|\n+"
+def sentences(c: Column, guard: bool = False, least: int = 0, abbreviations: bool = False) -> Column:
+    """A text's sentences (TXT-04): cut after . ! ? before white space, and at line ends; shorter ones than ``least`` go.
+
+    guard: cut only before capitals, and not after initials and two-letter titles; abbreviations: nor after et al., Fig. and
+    Ref.
+    """
+    more = r"(?<!\bet al\.)(?<!\bFig\.)(?<!\bRef\.)" if abbreviations else ""
+    pattern = r"(?<!\b[A-Z]\.)(?<!\b[A-Z][a-z]\.)" + more + r"(?<=[.!?])\s+(?=[A-Z])" if guard else r"(?<=[.!?])\s+|\n+"
     return F.filter(F.transform(F.split(c, pattern), F.trim), lambda s: F.length(s) >= max(1, least))
 
 

@@ -54,13 +54,12 @@ def read_csv(spark: SparkSession, path: str, sep: str | None = None, infer: bool
     """A delimited file read forgivingly (SRC-01, SRC-04, SRC-05, SRC-08, SRC-17).
 
     Short lines are padded with nulls, long ones cut; a file that isn't UTF-8 is read as Latin-1; repeated header names are
-    numbered; cells that stand for nothing are null; .gz is unpacked. The header's own encoding decides (a byte that isn't
-    UTF-8 shows as U+FFFD).
+    numbered; cells that stand for nothing are null; .gz is unpacked.
     """
     sep = sep or separator(spark, path)
-    sample = spark.read.option("encoding", "UTF-8").text(path).filter(F.contains("value", F.lit("�"))).limit(1)
+    sample = spark.read.text(path).filter(~F.is_valid_utf8("value")).limit(1)
     encoding = "ISO-8859-1" if not sample.isEmpty() else "UTF-8"
-    names = header(spark, path, sep)
+    names = _unique([c.strip('"') for c in first_line(spark, path, encoding).split(sep)])
     reader = spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE").option("encoding", encoding).option("enforceSchema", True)
     if comment:
         reader = reader.option("comment", comment)
@@ -123,7 +122,7 @@ def read_gct(spark: SparkSession, path: str) -> DataFrame:
 
 def read_texts(spark: SparkSession, path: str, most_chars: int | None = None) -> DataFrame:
     """(path, text): whole files, cut at most_chars if given (SRC-18, STR-09)."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).withColumn("path", F.input_file_name())
+    df = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).withColumn("path", F.input_file_name())
     return df.select("path", (F.substring("value", 1, most_chars) if most_chars else F.col("value")).alias("text"))
 
 
