@@ -65,7 +65,7 @@ def edit_distance(a: str, b: str, most: int) -> int:
         if min(row) > most:
             return most + 1
         before, last = last, row
-    return last[-1]
+    return min(last[-1], most + 1)
 
 
 def _deletions(word: str, depth: int) -> set[str]:
@@ -99,7 +99,8 @@ class Reference:
         self.automaton = ahocorasick.Automaton()
         for form, ids in self.by_form.items():
             self.automaton.add_word(form, (form, ids))
-        self.automaton.make_automaton()
+        if self.by_form:
+            self.automaton.make_automaton()
         holders: dict[str, set[int]] = defaultdict(set)
         for i, tokens in self.words.items():
             for t in tokens:
@@ -114,6 +115,10 @@ class Reference:
             self.kind_words[self.kind[i]] |= {t for t in tokens if t in self.shared}
         self.deletions: dict[str, set[str]] = defaultdict(set)
         self.prefixes: dict[str, set[str]] = defaultdict(set)
+        self.shared_deletions: dict[str, set[str]] = defaultdict(set)
+        for t in self.shared:
+            for d in _deletions(t, 1) if len(t) > 4 else ():
+                self.shared_deletions[d].add(t)
         for t in self.naming:
             for d in _deletions(t, _allowed(t)):
                 self.deletions[d].add(t)
@@ -140,6 +145,8 @@ class Reference:
             starts[at] = k
             at += len(w)
             ends[at] = k
+        if not self.by_form:
+            return None
         spans = []
         for end, (form, ids) in self.automaton.iter("".join(words)):
             begin = end + 1 - len(form)
@@ -194,11 +201,13 @@ class Reference:
         return self._settle([i for i, s in good.items() if s >= top - 1e-9], hint, top)
 
     def _shared_like(self, word: str) -> list[str]:
+        """The shared word that this is, or that it is one edit away from."""
         if word in self.shared:
             return [word]
-        if len(word) < 5:
+        if len(word) < 5 or len(word) > 60:
             return []
-        return [t for t in self.shared if len(t) > 4 and edit_distance(word, t, 1) <= 1][:1]
+        near = {t for d in _deletions(word, 1) for t in self.shared_deletions.get(d, ())}
+        return sorted(t for t in near if edit_distance(word, t, 1) <= 1)[:1]
 
     def _settle(self, ids: list[int], hint: str, score: float) -> tuple[int, float]:
         if len(ids) > 1 and hint:

@@ -83,8 +83,8 @@ def _pack(level: int, last: bool):
         gap = n - max(1, lower_bound(*np.unique(sizes, return_counts=True), capacity))
         fill = np.bincount(bins, weights=sizes, minlength=n)
         open_ = np.zeros(n, bool)
-        if gap > 0 and not last:
-            emptiest = np.argsort(fill, kind="stable")[: max(4 * (gap + 1), n // 10)]
+        if not last:
+            emptiest = np.argsort(fill, kind="stable")[: max(4 * (gap + 1), n // 10 if gap > 0 else 0)]
             open_[emptiest[fill[emptiest] < capacity]] = True
         container = (np.int64(level) << np.int64(60)) + (items["grp"].to_numpy(np.int64) << np.int64(24)) + bins
         return items.assign(container_id=container, open=open_[bins])[["budget_name", "capacity", "grp", "doc_id", "piece", "size", "container_id", "open"]]
@@ -104,8 +104,9 @@ def pack(sizes: DataFrame, budgets: DataFrame, group_items: int = GROUP_ITEMS, e
     capacity are left out. Other columns are ignored, an empty input gives no rows.
 
     Items are packed in groups of about group_items by best-fit decreasing. A group whose number of containers meets its
-    lower bound is done; the others give up their emptiest containers, whose items are packed anew together with those of
-    other groups, FAN_IN groups at a time, at most ``exchanges`` times. bounds() sets the result against the lower bound.
+    lower bound is done but for its few emptiest ones, whose room only other groups can use; the others give up their
+    emptiest tenth. What is given up is packed anew together with that of other groups, FAN_IN groups at a time, at most
+    ``exchanges`` times. bounds() sets the result against the lower bound of all items together.
     """
     spark = sizes.sparkSession
     limits = budgets.filter("capacity > 0").groupBy("budget_name", "capacity").agg(F.lit(1)).limit(MAX_BUDGETS + 1).collect()
