@@ -105,7 +105,7 @@ class Reference:
         for i, tokens in self.words.items():
             for t in tokens:
                 holders[t].add(i)
-        many = max(3, len(self.words) // 100)
+        many = max(2, len(self.words) // 100)
         self.shared = {t for t, ids in holders.items() if len(ids) > many and t not in FILLER}  # the words that tell kinds of entries, not entries
         self.naming = {t: sorted(ids) for t, ids in holders.items() if t not in self.shared and t not in FILLER}
         self.weight = {t: 0.0 if t in FILLER else 1.0 if t in self.shared else 3.0 for t in holders}
