@@ -6,7 +6,7 @@ ENTRIES = [
     (1, "Oraopnunov", "ORV-100", "drug"), (2, "warenkaxil receptor", "ORV-100", "gene"), (3, "nazeljoda metabolism", None, "pathway"), (4, "pahynovmel metabolism", None, "pathway"), (5, "Nasoopsel hydrochloride", "NAL-310", "drug"),
     (6, "draxazita tumour", None, "disease"), (7, "gorbucaldy tumour", None, "disease"), (8, "larizelmo-gold nanoshell", "NPL99", "nanoparticle"), (9, "kelcallalu receptor", "KELL3", "gene"), (10, "fiilmasa receptor", "FIA1", "gene"),
     (11, "Ilmosoty hydrochloride", "ILY-195", "drug"), (12, "Waoragorta hydrochloride", "WAA-160", "drug"), (13, "navadawen tumour", None, "disease"), (14, "ulgorzaop metabolism", None, "pathway"), (15, "perlonda-gold nanoshell", "NPP1", "nanoparticle"),
-    (16, "zortemba-gold nanoshell", "NPZ2", "nanoparticle"), (17, "mekrilda-gold nanoshell", None, "nanoparticle"), (18, "sorvandil metabolism", None, "pathway"),
+    (16, "zortemba-gold nanoshell", "NPZ2", "nanoparticle"), (17, "mekrilda-gold nanoshell", None, "nanoparticle"), (18, "sorvandil metabolism", None, "pathway"), (19, "trusojoza kinase", "TRUZ1", "gene"), (20, "vafiyorgli kinase", None, "gene"), (21, "yormelgorren kinase", None, "gene"),
 ]
 CASES = [
     ("oraopnunov", None, 1), (" ORAOPNUNOV tablets", None, 1), ("ORV 100", "drugs", 1), ("orv100", "GENE", 2), ("ORV-100", None, -1), ("the Nazeljoda  Metabolism map", None, 3), ("metabolism, nazeljoda", None, 3), ("nazeljda metabolism", None, 3),
