@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -35,7 +35,28 @@ AFTER_NAME = ["noted", "signed", "tolerated", "will return", "reviewed", "report
 _NO_FAMILY = STARTERS | {w.split()[0] for w in AFTER_NAME} | set("of at and was has is will und war hat wird kommt et y ha fue est".split())
 _G = {g.casefold(): g for g in FEMALE + MALE}
 _SEX = {g.casefold(): "f" for g in FEMALE} | {g.casefold(): "m" for g in MALE}
-_given = "|".join(sorted(map(regex.escape, FEMALE + MALE), key=len, reverse=True))
+
+
+def _any_of(words: Iterable[str]) -> str:
+    """A regular expression of one of the words, by their common beginnings; the longest that fits is tried first."""
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for c in word:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def write(node: dict) -> str:
+        parts = [regex.escape(c) + write(below) for c, below in sorted(node.items()) if c]
+        if not parts:
+            return ""
+        return ("(?:" + "|".join(parts) + ")" + ("?" if "" in node else "")) if len(parts) > 1 or "" in node else parts[0]
+
+    return "(?:" + write(tree) + ")"
+
+
+_given = _any_of(FEMALE + MALE)
+_given_upper, _given_lower = _any_of(g.upper() for g in FEMALE + MALE), _any_of(g.lower() for g in FEMALE + MALE)
 _sp = r"(?:[   \t]+)"
 _cap = r"\p{Lu}[\p{Ll}’']+(?:[-‐‑]\p{Lu}[\p{Ll}’']+)*"
 _upp = r"\p{Lu}{2,}(?:[-‐‑]\p{Lu}{2,})*"
@@ -53,32 +74,44 @@ def _forms(given: str, family: str, particle: str, initial: str = _ini) -> tuple
     return f"(?P<g>{given})(?:{_sp}{initial})*{_sp}(?P<f>{fam})(?:{_sp}(?P<f2>{fam}))?", f"(?P<f>{fam})(?:{_sp}(?P<f2>{family}))?,{_sp}(?P<g>{given})(?:{_sp}{initial})*"
 
 
-_titles = r"(?:Mr|Mrs|Ms|Mx|Miss|Dr|Prof|Dra|Sr|Sra|Srta|Hr|Fr)\.?|Herrn?|Frau|Fräulein|Mme|Mlle|Madame|Monsieur|Mademoiselle|Señora?|Señorita|Don|Doña|Professor(?:in)?|Professeure?|Sir|Dame|Lady"
+# Titles and forms of address, which are no part of a name.
+TITLES = """Mr Mrs Ms Mx Miss Dr Prof Dra Sr Sra Srta Hr Fr Herr Herrn Frau Fräulein Mme Mlle Madame Monsieur Mademoiselle Señor Señora Señorita Don Doña Professor Professorin Professeur Professeure Sir Dame
+Lady""".split()
+# What stands before a colon and a name.
+LABELS = ["Contact", "Contacto", "Kontakt", "Ansprechpartner", "Ansprechpartnerin", "Corresponding author", "Author", "Investigator", "Attn", "Name", "Nombre", "Nom", "Betreuer", "Betreuerin"]
+# What closes a letter before its writer's name.
+CLOSINGS = ["Signed", "Sincerely", "Regards", "Best wishes", "Kind regards", "Yours faithfully", "Atentamente", "Saludos", "Cordialement", "Bien à vous", "Mit freundlichen Grüßen", "Viele Grüße", "Beste Grüße"]
+# Words that a person's name follows.
+BEFORE_NAME = [
+    "According to", "according to", "Laut", "laut", "D'après", "d'après", "D’après", "d’après", "Selon", "selon", "Según", "según", "Según anotó", "según anotó", "Según comentó", "según comentó", "Nach Angaben von",
+    "nach Angaben von", "spoke with", "spoken to", "talked to", "belongs to", "returned by", "Reported by", "reported by", "Signed by", "signed by", "written by", "prepared by", "read by", "checked by", "reviewed by",
+    "curated by", "scored by", "entered by", "data from", "message from", "call from", "copied to", "Dear", "Liebe", "Lieber", "Estimado", "Estimada", "Cher", "Chère", "données de", "datos de", "Daten von", "erstellt von",
+    "unterschrieben von", "signé par", "signé par le", "signé par la", "firmado por", "firmado por el", "firmado por la", "comme l'a noté", "comme l’a noté", ", as", ", wie", "Patient", "patient", "Patientin", "patientin",
+    "Patiente", "patiente", "Patienten", "Paciente", "paciente", "Pacienta", "Teilnehmer", "Teilnehmerin", "Participant", "participant", "Participante", "participante",
+]
+_titles = _any_of(TITLES) + r"\.?"
 _degree = rf"(?:{_sp}(?:med|rer|nat|phil|vet|Dr|habil|hc|h\.c|jur)\.)*"
-_address_form = rf"{_NOT_LETTER}(?:{_titles}){_degree}{_sp}"
-_label = (
-    r"(?:Contact|Contacto|Kontakt|Ansprechpartner(?:in)?|Corresponding author|Author|Investigator|Attn|Name|Nombre|Nom|Betreuer(?:in)?)[  ]?:\s*|"
-    r"(?:Signed|Sincerely|Regards|Best wishes|Kind regards|Yours faithfully|Atentamente|Saludos|Cordialement|Bien à vous|Mit freundlichen Grüßen|Viele Grüße|Beste Grüße),?\s+|"
-    r"(?:[Aa]ccording to|[Ll]aut|[Dd]['’]après|[Ss]elon|[Ss]egún(?: anotó| comentó)?|[Nn]ach Angaben von|spoke with|spoken to|talked to|belongs to|returned by|[Rr]eported by|[Ss]igned by|written by|prepared by|data from|message from|call from|copied to|Dear|Liebe[r]?|Estimad[oa]|Ch[eè]re?|"
-    r"données de|datos de|Daten von|(?:re-?)?(?:read|checked|reviewed|curated|scored|entered) by|erstellt von|unterschrieben von|signé par(?: le| la)?|firmado por(?: el| la)?|comme l['’]a noté|, as|, wie|[Pp]atient(?:in|e|en)?|[Pp]acient[ea]|Teilnehmer(?:in)?|participant(?:e)?)\s+"
-)
-_cue = regex.compile(rf"{_NOT_LETTER}(?:{_label})(?:(?:{_titles}){_degree}{_sp})?|{_address_form}|(?<=, )as\s+|(?<=, )wie\s+")
+_address_form = rf"{_NOT_LETTER}{_titles}{_degree}{_sp}"
+_label = rf"{_any_of(LABELS)}[  ]?:\s*|{_any_of(CLOSINGS)},?\s+|{_any_of(BEFORE_NAME)}\s+"
+_cue = regex.compile(rf"{_NOT_LETTER}(?:(?:{_label})(?:{_titles}{_degree}{_sp})?|{_titles}{_degree}{_sp})")
 
 _any_given = rf"(?:{_cap}|{_ini})"
 _after_cue = [regex.compile(f"(?:{p}){_END}") for p in [*_forms(_any_given, _cap, _part), *_forms(rf"(?:{_upp}|{_ini})", _upp, _partu)]]
-_lower_after_cue = [regex.compile(f"(?:{p}){_END}") for p in _forms(f"(?:{_given.lower()})", _low, _part, r"\p{Ll}\.")]
+_lower_after_cue = [regex.compile(f"(?:{p}){_END}") for p in _forms(_given_lower, _low, _part, r"\p{Ll}\.")]
 _free = [
     regex.compile(f"{_NOT_LETTER}(?:{p}){_END}")
-    for p in [*_forms(f"(?:{_given})", _cap, _part), *_forms(f"(?:{_given.upper()})", _upp, _partu)]
+    for p in [*_forms(_given, _cap, _part), *_forms(_given_upper, _upp, _partu)]
 ]
 _before_word = regex.compile(rf"{_NOT_LETTER}(?:(?P<g>{_ini}(?:{_sp}{_ini})*|{_cap}(?:{_sp}{_ini})*){_sp}(?P<f>(?:{_part}{_sp})?{_cap})(?:{_sp}(?P<f2>{_cap}))?)(?={_sp}(?:{'|'.join(AFTER_NAME)})\b|;[+(\d])")
-_lower_before_word = regex.compile(rf"{_NOT_LETTER}(?:{_forms(f'(?:{_given.lower()})', _low, _part, r'\p{Ll}\.')[0]})(?={_sp}(?:{'|'.join(AFTER_NAME)})\b|;[+(\d])")
+_lower_before_word = regex.compile(rf"{_NOT_LETTER}(?:{_forms(_given_lower, _low, _part, r'\p{Ll}\.')[0]})(?={_sp}(?:{'|'.join(AFTER_NAME)})\b|;[+(\d])")
+_after_any = regex.compile(rf" (?:{'|'.join(AFTER_NAME)})\b|;[+(\d]")
 _initial_family = regex.compile(rf"{_ini}(?:{_sp}{_ini})*{_sp}(?:{_part}{_sp})?{_cap}{_END}")
 _alone = regex.compile(rf"(?:{_part}{_sp})?(?:{_cap}|{_upp}){_END}")
 _joint = regex.compile(rf"{_sp}(?:and|und|y|e|et|&){_sp}")
 _second_ends = regex.compile(rf"[,.;()\n]|$|{_sp}\(|{_sp}(?:{'|'.join(AFTER_NAME)}|of|at|and|und|y|et|war|was|has|is|a été|acudió|ha)\b")
 
 _at = r"(?:@|＠|﹫|[ \t]?[\[({][ \t]?(?:at|AT|arroba)[ \t]?[\])}][ \t]?|[ \t]+(?:AT|arroba)[ \t]+)"
+_at_sign = regex.compile(_at)
 _dot = r"(?:\.|[ \t]?[\[({][ \t]?(?:dot|DOT|punto|punkt|point)[ \t]?[\])}][ \t]?|[ \t]+(?:DOT|punto)[ \t]+)"
 _email = regex.compile(rf"(?<![\p{{L}}\p{{N}}._%+-])[\p{{L}}\p{{N}}_%+-]+(?:{_dot}[\p{{L}}\p{{N}}_%+-]+)*{_at}[\p{{L}}\p{{N}}](?:[\p{{L}}\p{{N}}-]*[\p{{L}}\p{{N}}])?(?:{_dot}[\p{{L}}\p{{N}}](?:[\p{{L}}\p{{N}}-]*[\p{{L}}\p{{N}}])?)*{_dot}\p{{L}}{{2,24}}(?![\p{{L}}\p{{N}}])")
 
@@ -106,7 +139,7 @@ _addresses = [
 _before_number = r"(?<![\p{L}\p{N}_+])(?<![\d\p{L}][-.,:/–])"
 _after_number = r"(?![\p{L}\p{N}_])(?![-.,:/–][\p{L}\p{N}])"
 _ids = regex.compile(
-    _before_number
+    r"(?=[\dA-Z])" + _before_number
     + "(?:"
     + "|".join([
         r"MRN[- ]?\d{5,10}", r"[A-CEGHJ-PR-TW-Z]{2}[ -]?\d{2}[ -]?\d{2}[ -]?\d{2}[ -]?[A-D]", r"QQ[ -]?\d{2}[ -]?\d{2}[ -]?\d{2}[ -]?[A-D]", r"\d{3}([- ])\d{2}\1\d{4}", r"\d{3}([- ])\d{3}\2\d{4}",
@@ -118,7 +151,7 @@ _ids = regex.compile(
 )
 _ext = r"(?:[ \t,]*(?:ext\.?|x|extension|extensión|ext|Durchwahl|DW|poste)[ \t]?\d{1,6})?"
 _phones = regex.compile(
-    _before_number.replace("_+", "_")
+    r"(?=[\d+(])" + _before_number.replace("_+", "_")
     + "(?:"
     + "|".join([
         r"\+\d{1,3}[ .\-/]?(?:\(0?\d{0,4}\)[ ]?)?\d{1,12}(?:[ .\-/]\d{1,9}){0,6}", r"00[1-9]\d{0,2}[ .\-/](?:\(0?\d{0,4}\)[ ]?)?\d{1,12}(?:[ .\-/]\d{1,9}){0,6}",
@@ -165,9 +198,12 @@ def find_entities(text: str) -> list[Entity]:
     Kinds are taken in the order email, address, id_number and phone, person; none overlaps an earlier one.
     """
     found = _Found()
-    if "@" in text or "＠" in text or "﹫" in text or regex.search(r"(?i)\b(?:at|arroba)\b", text):
-        for m in _email.finditer(text):
-            found.add("email", m.start(), m.end())
+    done = 0
+    for sign in _at_sign.finditer(text):  # an address lies within a line
+        if sign.start() >= done:
+            line, done = text.rfind("\n", 0, sign.start()) + 1, text.find("\n", sign.end()) % (len(text) + 1)
+            for m in _email.finditer(text, line, done):
+                found.add("email", m.start(), m.end())
     if any(c.isdigit() for c in text):
         for pattern in _addresses:
             for m in pattern.finditer(text):
@@ -211,7 +247,7 @@ def _clip(text: str, m: regex.Match) -> tuple[int, int] | None:
 def _persons(text: str, found: _Found) -> None:
     for m in _cue.finditer(text):
         at, cue = m.end(), m.group()
-        titled = regex.fullmatch(_address_form, cue) is not None or regex.search(rf"(?:{_titles}){_degree}{_sp}$", cue) is not None
+        titled = regex.fullmatch(_address_form, cue) is not None or regex.search(rf"{_titles}{_degree}{_sp}$", cue) is not None
         best = None
         for pattern in (*_after_cue, *_lower_after_cue):
             if (hit := pattern.match(text, at)) and (span := _clip(text, hit)) and found.free(*span):
@@ -229,7 +265,7 @@ def _persons(text: str, found: _Found) -> None:
         for m in pattern.finditer(text, overlapped=False):
             if (span := _clip(text, m)) and found.add("person", *span):
                 _joined(text, span[1], found)
-    for pattern in (_before_word, _lower_before_word):
+    for pattern in (_before_word, _lower_before_word) if _after_any.search(text) else ():
         for m in pattern.finditer(text):
             if (span := _clip(text, m)) and found.add("person", *span):
                 _joined(text, span[1], found)
