@@ -54,6 +54,14 @@ def edit_distance(a: str, b: str, most: int) -> int:
     """Insertions, deletions, substitutions and swaps of neighbours from a to b; most + 1 if more than ``most``."""
     if abs(len(a) - len(b)) > most:
         return most + 1
+    begin, end_a, end_b = 0, len(a), len(b)
+    while begin < min(end_a, end_b) and a[begin] == b[begin]:
+        begin += 1
+    while min(end_a, end_b) > begin and a[end_a - 1] == b[end_b - 1]:
+        end_a, end_b = end_a - 1, end_b - 1
+    a, b = a[begin:end_a], b[begin:end_b]
+    if not a or not b:
+        return min(len(a) + len(b), most + 1)
     before, last = None, list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         row = [i]
