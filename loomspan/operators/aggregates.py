@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +27,16 @@ def sorted_set(c: Column, n: int | None = None) -> Column:
     return values if n is None else F.slice(values, 1, n)
 
 
+def least_values(df: DataFrame, keys: Sequence[str], value: str, n: int, to: str = "examples", buckets: int = 64) -> DataFrame:
+    """(keys, to): the n least distinct non-null values of each group, without gathering any group.
+
+    Distinct values first, then the n least of each of ``buckets`` parts of a group, then of those.
+    """
+    distinct = df.filter(F.col(q(value)).isNotNull()).select(*keys, F.col(q(value)).alias("_v")).distinct()
+    parts = distinct.groupBy(*keys, F.pmod(F.xxhash64("_v"), F.lit(buckets)).alias("_b")).agg(sorted_set(F.col("_v"), n).alias("_p"))
+    return parts.groupBy(*keys).agg(F.slice(F.array_sort(F.flatten(F.collect_list("_p"))), 1, n).alias(to))
+
+
 def typed_aggregate(df: DataFrame, key: str, order: Sequence[Column], texts_as: str = "first") -> DataFrame:
     """One row per key, each column by its type (AGG-05, AGG-06): numbers by mean, booleans by any, lists by the union of
     their elements, texts by the first non-null in the given order, or (texts_as='list') all distinct ones joined."""
@@ -83,8 +92,10 @@ def relations_to_edges(relations: DataFrame, least_confidence: float = 0.0, weig
 
 def term_statistics(rows: DataFrame, term: str, file: str, context: str, examples: int = 3) -> DataFrame:
     """(term, n_occurrences, n_files, n_contexts, example_files) (AGG-11). The examples are the first files by name."""
-    per = rows.filter(F.col(q(term)).isNotNull()).groupBy(F.col(q(term)).alias("term"), F.col(q(file)).alias("f"), F.col(q(context)).alias("c")).agg(F.count("*").alias("n"))
-    return per.groupBy("term").agg(F.sum("n").alias("n_occurrences"), F.count_distinct("f").alias("n_files"), F.count_distinct("c").alias("n_contexts"), sorted_set(F.col("f"), examples).alias("example_files"))
+    kept = rows.filter(F.col(q(term)).isNotNull()).select(F.col(q(term)).alias("term"), F.col(q(file)).alias("f"), F.col(q(context)).alias("c"))
+    counts = kept.groupBy("term", "f", "c").agg(F.count("*").alias("n")).groupBy("term").agg(F.sum("n").alias("n_occurrences"), F.count_distinct("f").alias("n_files"), F.count_distinct("c").alias("n_contexts"))
+    first = least_values(kept, ["term"], "f", examples, "example_files")
+    return counts.join(first, "term", "left").withColumn("example_files", F.coalesce("example_files", F.array().cast("array<string>")))
 
 
 def conflicts(df: DataFrame, alias: str, normalized: str) -> DataFrame:
@@ -122,14 +133,37 @@ def column_signals(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def exact_quantiles(values: DataFrame, group: str, value: str, shares: Sequence[float]) -> DataFrame:
+    """(group, n, quantiles): exact quantiles, interpolated between neighbours, of any number of values (AGG-15, AGG-26).
+
+    Equal values are counted first, then range-partitioned by (group, value) and numbered: within a partition by a running
+    sum, before it by the partitions' sums (few numbers). So no task holds a whole group, and a value that makes up most of
+    it is one row. Nulls are left out; NaN is the greatest number.
+    """
+    spark = values.sparkSession
+    counts = values.filter(F.col(q(value)).isNotNull()).groupBy(F.col(q(group)).alias("g"), F.col(q(value)).cast("double").alias("v")).agg(F.count("*").alias("c"))
+    ranged = counts.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "g", "v").withColumn("p", F.spark_partition_id()).withColumn("b", F.xxhash64("g", "p"))
+    sums = ranged.groupBy("g", "p", "b").agg(F.sum("c").alias("s"))
+    whole = Window.partitionBy("g")
+    before = F.coalesce(F.sum("s").over(whole.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sums.select(F.col("b").alias("b2"), before.alias("start"), F.sum("s").over(whole).alias("n"))
+    end = F.sum("c").over(Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    rows = ranged.withColumn("e", end).join(F.broadcast(starts), F.col("b") == F.col("b2"))  # one row a group and partition
+    high, low = F.col("start") + F.col("e"), F.col("start") + F.col("e") - F.col("c")
+    at = lambda k: F.max(F.when((low <= k) & (k < high), F.col("v")))
+    place = [(F.col("n") - 1) * F.lit(float(p)) for p in shares]
+    found = rows.groupBy("g", "n").agg(*[x for i, w in enumerate(place) for x in (at(F.floor(w)).alias(f"a{i}"), at(F.ceil(w)).alias(f"z{i}"))])
+    between = [F.col(f"a{i}") + (F.col(f"z{i}") - F.col(f"a{i}")) * (w - F.floor(w)) for i, w in enumerate(place)]
+    return found.select(F.col("g").alias(group), "n", F.array(*between).alias("quantiles"))
+
+
 def described(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, n, mean, std, min, q25, median, q75, max): quartiles exact and interpolated (AGG-15, AGG-26)."""
     cells = df.select(*[F.col(q(c)).cast("double").alias(c) for c in columns]).unpivot([], [F.col(q(c)) for c in columns], "column_name", "v").filter("v is not null")
-    quarter = lambda p: F.round(F.percentile("v", F.lit(p)), 4)
-    return cells.groupBy("column_name").agg(
-        F.count("*").alias("n"), F.round(F.avg("v"), 4).alias("mean"), F.round(F.stddev_samp("v"), 4).alias("std"), F.min("v").alias("min"),
-        quarter(0.25).alias("q25"), quarter(0.5).alias("median"), quarter(0.75).alias("q75"), F.max("v").alias("max"),
-    )
+    quarters = exact_quantiles(cells, "column_name", "v", (0.25, 0.5, 0.75))
+    rest = cells.groupBy("column_name").agg(F.count("*").alias("n"), F.round(F.avg("v"), 4).alias("mean"), F.round(F.stddev_samp("v"), 4).alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
+    of = lambda i: F.round(F.col("quantiles")[i], 4)
+    return rest.join(quarters.drop("n"), "column_name").select("column_name", "n", "mean", "std", "min", of(0).alias("q25"), of(1).alias("median"), of(2).alias("q75"), "max")
 
 
 def merged_counts(per_document: DataFrame, least: int, k: int) -> DataFrame:
@@ -138,9 +172,14 @@ def merged_counts(per_document: DataFrame, least: int, k: int) -> DataFrame:
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[Column], example: str, n: int = 5) -> DataFrame:
-    """(key, n, examples): what occurs more than once, with the first examples (AGG-24)."""
-    groups = df.groupBy(*[k.alias(f"key{i}") for i, k in enumerate(keys)]).agg(F.count("*").alias("n"), F.array_sort(F.collect_set(F.col(q(example)))).alias("examples"))
-    return groups.filter("n > 1").withColumn("examples", F.slice("examples", 1, n))
+    """(key0, ..., n, examples): what occurs more than once, with the n least examples (AGG-24).
+
+    Only groups of more than one row are looked at for examples, and none is gathered.
+    """
+    names = [f"key{i}" for i in range(len(keys))]
+    rows = df.select(*[k.alias(name) for k, name in zip(keys, names, strict=True)], F.col(q(example)).alias("_e"))
+    groups = rows.groupBy(*names).agg(F.count("*").alias("n")).filter("n > 1")
+    return groups.join(least_values(rows, names, "_e", n), names, "left")
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -154,5 +193,15 @@ def regression_quality(df: DataFrame, truth: str, guess: str) -> DataFrame:
     return df.agg(F.round(F.avg((y - p) ** 2), 4).alias("mse"), F.round(1 - F.sum((y - p) ** 2) / (F.var_pop(y) * F.count(y)), 6).alias("r2"))
 
 
-def any_true(columns: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, columns)
+def keyword_columns(profile: DataFrame, keywords: Sequence[str]) -> DataFrame:
+    """(keyword, table_name, column_name, fill_rate): columns whose names hold a keyword, with their fill (TXT-20, JN-13)."""
+    low = F.lower("column_name")
+    hits = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(k.lower())), F.lit(k)) for k in keywords]))
+    return profile.select(F.explode(hits).alias("keyword"), "table_name", "column_name", "fill_rate")
+
+
+def source_gaps(df: DataFrame, topic: str, source: str, missing: Column, n: int = 15) -> DataFrame:
+    """(topic, source, n_missing, rank): of each topic the sources with most gaps, ties by name (RPT-09, AGG-27)."""
+    counts = df.filter(missing).groupBy(F.col(q(topic)).alias("topic"), F.col(q(source)).alias("source")).agg(F.count("*").alias("n_missing"))
+    rank = F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("n_missing"), "source"))
+    return counts.withColumn("rank", rank).filter(F.col("rank") <= n)

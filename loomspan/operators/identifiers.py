@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -106,8 +107,18 @@ def patient_of(c: Column) -> Column:
 
 
 def namespace_hits(df: DataFrame, text: str, namespaces: Mapping[str, str] = NAMESPACES) -> DataFrame:
-    """(namespace, n, examples): rows with an accession of each namespace, and up to five of them (ID-11, AGG-23)."""
-    names = F.array_compact(F.array(*[F.when(F.col(q(text)).rlike(f"(?i)(^|[^A-Za-z0-9_]){p}($|[^A-Za-z0-9_])"), F.lit(n)) for n, p in namespaces.items()]))
+    """(namespace, n, n_distinct): rows with an accession of each namespace (ID-11, AGG-23).
+
+    A text is searched for a namespace only if it holds the letters that its accessions begin with.
+    """
+    low = F.lower(F.col(q(text)))
+
+    def found(pattern: str) -> Column:
+        letters = re.match(r"[A-Za-z]{2,}", pattern)
+        hit = F.col(q(text)).rlike(f"(?i)(^|[^A-Za-z0-9_]){pattern}($|[^A-Za-z0-9_])")
+        return F.contains(low, F.lit(letters.group().lower())) & hit if letters else hit
+
+    names = F.array_compact(F.array(*[F.when(found(p), F.lit(n)) for n, p in namespaces.items()]))
     rows = df.select(F.col(q(text)).alias("v"), F.explode(names).alias("namespace"))
     per = rows.groupBy("namespace", "v").agg(F.count("*").alias("n"))
     return per.groupBy("namespace").agg(F.sum("n").alias("n"), F.count("*").alias("n_distinct"))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from typing import Protocol
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -163,6 +166,52 @@ def mentions(df: DataFrame, key: str, text: str, vocabulary: DataFrame, term: st
     return df.select(F.col(q(key)).alias("key"), F.col(q(text)).alias("text")).mapInArrow(_mention_batches(shared, ignore_case), schema).withColumnRenamed("key", key)
 
 
+def annotated(df: DataFrame, key: str, columns: Sequence[str], vocabulary: DataFrame, term: str, canonical: str, kind: str) -> DataFrame:
+    """The rows with what their texts mention: mentions and normalized_terms, as sorted lists (TXT-07, ABS-02); empty lists without any."""
+    text = F.concat_ws(" ", *[F.col(q(c)) for c in columns])
+    found = mentions(df.select(F.col(q(key)), text.alias("_text")), key, "_text", vocabulary, term, canonical, kind)
+    lists = found.groupBy(key).agg(F.array_sort(F.collect_set("surface")).alias("mentions"), F.array_sort(F.collect_set("normalized")).alias("normalized_terms"))
+    none = F.array().cast("array<string>")
+    return df.join(lists, key, "left").withColumns({c: F.coalesce(c, none) for c in ("mentions", "normalized_terms")})
+
+
+class Backend(Protocol):
+    """A finder of entities: (start, end, text, kind, score) for a sentence."""
+
+    def __call__(self, sentence: str) -> list[tuple[int, int, str, str, float]]: ...
+
+
+def pattern_backend(patterns: Mapping[str, str], score: float) -> Backend:
+    """Entities by regular expressions, one a kind."""
+
+    def find(sentence: str) -> list[tuple[int, int, str, str, float]]:
+        return [(m.start(), m.end(), m.group(), kind, score) for kind, p in patterns.items() for m in re.finditer(p, sentence)]
+
+    return find
+
+
+def entities(df: DataFrame, keys: Sequence[str], sentence: str, backends: Sequence[Backend]) -> DataFrame:
+    """(keys, start, end, text, kind, score): what several finders find, without overlaps (TXT-11, TXT-03).
+
+    Of overlapping entities the first counts, of those the longest, of those the surest. Finders run on batches of rows.
+    """
+    types = {f.name: f.dataType.simpleString() for f in df.schema}
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for *key, text in batch[[*keys, sentence]].itertuples(index=False):
+                spans, last = sorted((s, -e, -score, t, kind) for b in backends for s, e, t, kind, score in (b(text) if text else [])), 0
+                for s, e, score, t, kind in spans:
+                    if s >= last:
+                        last = -e
+                        rows.append((*key, s, -e, t, kind, -score))
+            yield pd.DataFrame(rows, columns=[*keys, "start", "end", "text", "kind", "score"])
+
+    schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", start int, end int, text string, kind string, score double"
+    return df.select(*[F.col(q(k)) for k in keys], F.col(q(sentence))).mapInPandas(find, schema)
+
+
 def mentions_in_context(found: DataFrame, df: DataFrame, key: str, text: str, width: int = 60) -> DataFrame:
     """Mentions with what stands around them (TXT-09)."""
     rows = found.join(df.select(F.col(q(key)), F.col(q(text)).alias("_t")), key)
@@ -182,11 +231,24 @@ def _word(pattern: str) -> str:
     return rf"(?i)(^|[^a-zA-Z0-9_])({pattern})($|[^a-zA-Z0-9_])"
 
 
+def _stems(pattern: str) -> list[str]:
+    """The letters that the pattern's alternatives begin with; none if one of them begins otherwise."""
+    if re.search(r"\([^?]", pattern) or pattern.startswith("(") or re.search(r"\|[^|]*\(\?:[^)]*$", pattern):
+        return []
+    heads = [re.match(r"[a-z]*", part).group() for part in re.split(r"\|(?![^(]*\))", pattern)]
+    return heads if all(len(h) >= 3 for h in heads) else []
+
+
 def predicate(c: Column, rules: Sequence[tuple[str, str]] = PREDICATES) -> Column:
-    """The relation that a sentence states: the first whose words it has, else empty (TXT-12)."""
-    out = None
+    """The relation that a sentence states: the first whose words it has, else empty (TXT-12).
+
+    A pattern is tried only on sentences that hold the letters its words begin with.
+    """
+    out, low = None, F.lower(c)
     for name, pattern in rules:
-        test = c.rlike(_word(pattern))
+        test, stems = c.rlike(_word(pattern)), _stems(pattern)
+        if stems:
+            test = any_contains(low, stems) & test
         out = F.when(test, name) if out is None else out.when(test, name)
     return out.otherwise("")
 

@@ -149,6 +149,15 @@ def q_file_ratios(spark: SparkSession, d: str) -> DataFrame:
     return out.select("source", F.round(F.col("n") * 1000 / F.col("chars"), 6).alias("rows_per_kchar"), F.round(F.col("chars") / F.col("n"), 4).alias("mean_chars"), F.round(F.col("filled") / F.col("n"), 6).alias("fill"))
 
 
+def q_keyword_columns(spark: SparkSession, d: str) -> DataFrame:
+    return aggregates.keyword_columns(q_column_profile(spark, d), ["id", "patient", "term", "name"])
+
+
+def q_source_gaps(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "structured_vocab_raw")
+    return aggregates.source_gaps(rows, "origin", "source_file", F.coalesce(F.trim("term_type"), F.lit("")) == "")
+
+
 QUERIES = {n: f for n, f in list(globals().items()) if n.startswith("q_")}
 
 _PROFILE = """
@@ -185,6 +194,10 @@ SQL = {
     "q_one_hot": "SELECT o_orderkey, " + ", ".join(f"CASE WHEN o_orderstatus = '{s}' THEN 1 ELSE 0 END AS o_orderstatus_{s}" for s in "FOP") + " FROM orders",
     "q_column_profile": _PROFILES,
     "q_best_id_columns": f"SELECT table_name, b.column_name, b.unique_rate FROM (SELECT table_name, max(struct_pack(unique_rate, n_filled, column_name)) AS b FROM ({_PROFILES}) WHERE unique_rate IS NOT NULL GROUP BY table_name)",
+    "q_keyword_columns": f"SELECT keyword, table_name, column_name, fill_rate FROM ({_PROFILES}), (SELECT unnest(['id', 'patient', 'term', 'name']) AS keyword) WHERE contains(lower(column_name), keyword)",
+    "q_source_gaps": """
+SELECT topic, source, n_missing, rank FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY n_missing DESC, source NULLS FIRST) AS rank FROM (
+    SELECT origin AS topic, source_file AS source, count(*) AS n_missing FROM structured_vocab_raw WHERE coalesce(trim(term_type, ' '), '') = '' GROUP BY 1, 2)) WHERE rank <= 15""",
     "q_describe": " UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, count(*) AS n, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, min({c}) AS min, round(quantile_cont({c}, 0.25), 4) AS q25,
         round(quantile_cont({c}, 0.5), 4) AS median, round(quantile_cont({c}, 0.75), 4) AS q75, max({c}) AS max FROM lineitem"""

@@ -113,6 +113,17 @@ def q_filtered_by_vocabulary(spark: SparkSession, d: str) -> DataFrame:
     return _docs(spark, d).join(hits, "doc_id", "left_semi").select("doc_id")
 
 
+def q_annotated(spark: SparkSession, d: str) -> DataFrame:
+    terms = table(spark, d, "canonical_terms").select(F.coalesce("short_form", "canonical").alias("term"), "canonical", "entity")
+    rows = text.annotated(table(spark, d, "alias_map").select("alias_id", "alias", "normalized"), "alias_id", ["alias", "normalized"], terms, "term", "canonical", "entity")
+    return rows.select("alias_id", F.array_join("mentions", "|").alias("mentions"), F.array_join("normalized_terms", "|").alias("normalized_terms"))
+
+
+def q_entities(spark: SparkSession, d: str) -> DataFrame:
+    finders = [text.pattern_backend({"gene": r"\b[A-Z]{3}[0-9]\b", "line": r"\b[A-Z]{3}-[0-9]{3}\b"}, 0.85), text.pattern_backend({"dose": r"\b[0-9]+ (?:mg/kg|mg|nM|µM)"}, 0.6)]
+    return text.entities(text.sentence_rows(_docs(spark, d), "doc_id", "text"), ["doc_id", "sentence_id"], "sentence", finders)
+
+
 QUERIES = {n: f for n, f in list(globals().items()) if n.startswith("q_")}
 
 _LINES = "l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS line_no FROM documents WHERE text IS NOT NULL)"
