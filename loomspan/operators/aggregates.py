@@ -174,7 +174,7 @@ def merged_counts(per_document: DataFrame, least: int, k: int) -> DataFrame:
 def duplicate_groups(df: DataFrame, keys: Sequence[Column], example: str, n: int = 5) -> DataFrame:
     """(key0, ..., n, examples): what occurs more than once, with the n least examples (AGG-24).
 
-    Only groups of more than one row are looked at for examples, and none is gathered.
+    No group is gathered, however many rows it has.
     """
     names = [f"key{i}" for i in range(len(keys))]
     rows = df.select(*[k.alias(name) for k, name in zip(keys, names, strict=True)], F.col(q(example)).alias("_e"))

@@ -119,7 +119,7 @@ def namespace_hits(df: DataFrame, text: str, namespaces: Mapping[str, str] = NAM
         return F.contains(low, F.lit(letters.group().lower())) & hit if letters else hit
 
     names = F.array_compact(F.array(*[F.when(found(p), F.lit(n)) for n, p in namespaces.items()]))
-    rows = df.select(F.col(q(text)).alias("v"), F.explode(names).alias("namespace"))
+    rows = df.select(F.md5(F.col(q(text))).alias("v"), F.explode(names).alias("namespace"))
     per = rows.groupBy("namespace", "v").agg(F.count("*").alias("n"))
     return per.groupBy("namespace").agg(F.sum("n").alias("n"), F.count("*").alias("n_distinct"))
 

@@ -55,28 +55,32 @@ def read_codebook(dictionary: DataFrame) -> list[Attribute]:
 _NUMBER = r"[+-]?[0-9][0-9.,']*(?:[eE][+-]?[0-9]+)?|[+-]?[.,][0-9]+"
 
 
-def parse_number(rows: DataFrame, text: str, unit: str, to: str) -> DataFrame:
-    """rows with a column ``to``: the number that column text states, in the codebook's unit, else null.
+def unit_factors(unit: str | None) -> dict[str, float]:
+    """What a number is multiplied by for each unit that may stand after it, in lower case; no unit and one's own count 1."""
+    own = "".join((unit or "").lower().split())
+    return {written: by for written, target, by in UNIT_FACTORS if target == own} | {"": 1.0, own: 1.0}
+
+
+def parse_number(rows: DataFrame, text: str, factors: str, to: str) -> DataFrame:
+    """rows with a column ``to``: the number that column text states, by the unit_factors in column factors, else null.
 
     Understood are signs (also U+2212), exponents, a decimal point or comma, thousands separators, a unit after the
     number, and outer white space. Of two kinds of separator the last is the decimal one; one separator that comes more
-    than once separates thousands. Each step is a projection of its own, so that no expression is evaluated twice.
+    than once separates thousands. Each step is a projection of its own, so that no expression is evaluated twice and the
+    generated code stays small enough to be compiled.
     """
-    commas, points = F.regexp_count("_digits", F.lit(",")), F.regexp_count("_digits", F.lit(r"\."))
-    point_last = F.regexp_like("_digits", F.lit(r"\.[^,]*$"))
-    drop, keep = F.when((commas > 0) & (points > 0), F.when(point_last, ",").otherwise(".")).when(commas > 1, ",").when(points > 1, "."), F.lit(".")
-    own = F.lower(F.regexp_replace(F.coalesce(unit, F.lit("")), r"(?U)\s+", ""))
-    factor = F.when((F.col("_suffix") == "") | (F.col("_suffix") == own), F.lit(1.0))
-    for written, target, by in UNIT_FACTORS:
-        factor = factor.when((F.col("_suffix") == written) & (own == target), F.lit(by))
+    number = lambda sign: F.length("_digits") - F.length(F.replace("_digits", F.lit(sign), F.lit("")))
+    commas, points = F.col("_commas"), F.col("_points")
+    point_last = F.instr(F.substring_index("_digits", ".", -1), ",") == 0
+    drop = F.when((commas > 0) & (points > 0), F.when(point_last, ",").otherwise(".")).when(commas > 1, ",").when(points > 1, ".").otherwise("'")
     return (
         rows.withColumn("_clean", F.replace(F.regexp_replace(text, r"(?U)\s+", ""), F.lit("−"), F.lit("-")))
         .withColumn("_digits", F.regexp_extract("_clean", f"^({_NUMBER})", 1))
-        .withColumn("_suffix", F.lower(F.substr("_clean", F.length("_digits") + 1)))
-        .withColumn("_digits", F.replace("_digits", F.lit("'"), F.lit("")))
-        .withColumn("_digits", F.replace(F.replace("_digits", F.coalesce(drop, F.lit("'")), F.lit("")), F.lit(","), keep))
-        .withColumn(to, F.col("_digits").try_cast("double") * factor)
-        .drop("_clean", "_digits", "_suffix")
+        .withColumn("_factor", F.try_element_at(factors, F.lower(F.substr("_clean", F.length("_digits") + 1))))
+        .withColumns({"_commas": number(","), "_points": number(".")})
+        .withColumn("_digits", F.replace(F.replace(F.replace("_digits", F.lit("'"), F.lit("")), drop, F.lit("")), F.lit(","), F.lit(".")))
+        .withColumn(to, F.col("_digits").try_cast("double") * F.col("_factor"))
+        .drop("_clean", "_digits", "_factor", "_commas", "_points")
     )
 
 
@@ -87,17 +91,18 @@ def typed_values(facts: DataFrame, book: list[Attribute]) -> DataFrame:
     num and txt are null then. They aren't filtered here, since that would evaluate the parsing twice.
     """
     spark = facts.sparkSession
-    schema = T.StructType([T.StructField(n, t) for n, t in (("_key", T.StringType()), ("slot", T.IntegerType()), ("_kind", T.StringType()), ("_unit", T.StringType()))])
-    entries = spark.createDataFrame([(a.name, i, a.kind, a.unit) for i, a in enumerate(book)], schema).withColumn("_key", attribute_key(F.col("_key")))
-    rows = facts.select(
-        F.col("sample_id").alias("entity"), attribute_key(F.col("feature")).alias("_key"), F.col("value_num").cast("double").alias("_num"),
-        F.col("value_txt").alias("_raw"), F.lower(F.regexp_replace(F.regexp_replace(F.col("value_txt"), r"(?U)^\s+|\s+$", ""), r"(?U)\s+", " ")).alias("_txt"),
-        F.col("measured_at").alias("at"), F.struct("loaded_at", "fact_id").alias("tie"),
-    ).filter(F.col("entity").isNotNull())
-    rows = rows.join(F.broadcast(entries), "_key").withColumn("_txt", F.when(~F.col("_txt").isin(PLACEHOLDER_TEXTS), F.col("_txt")))
-    rows = parse_number(rows.withColumn("_raw", F.when(F.col("_txt").isNotNull() & (F.col("_kind") == "numeric"), F.col("_raw"))), "_raw", "_unit", "_parsed")
-    number = F.when(F.isnan("_num") | F.col("_num").isin(PLACEHOLDER_NUMBERS) | (F.abs("_num") == float("inf")), None).otherwise(F.col("_num"))
-    text, parsed = F.col("_txt"), F.col("_parsed")
+    schema = "_key string, slot int, _kind string, _factors map<string,double>"
+    entries = spark.createDataFrame([(a.name, i, a.kind, unit_factors(a.unit)) for i, a in enumerate(book)], schema).withColumn("_key", attribute_key(F.col("_key")))
+    rows = facts.filter(F.col("sample_id").isNotNull()).select(
+        F.col("sample_id").alias("entity"), F.coalesce(attribute_key(F.col("feature")), F.lit("")).alias("_key"), F.col("value_num").cast("double").alias("_num"),
+        F.col("value_txt").alias("_raw"), F.lower(F.trim(F.regexp_replace("value_txt", r"(?U)\s+", " "))).alias("_txt"), F.col("measured_at").alias("at"), F.struct("loaded_at", "fact_id").alias("tie"),
+    )
+    rows = rows.join(F.broadcast(entries), "_key")
+    no_number = F.isnan("_num") | F.col("_num").isin(PLACEHOLDER_NUMBERS) | (F.abs("_num") == float("inf"))
+    rows = rows.withColumns({"_num": F.when(~no_number, F.col("_num")), "_txt": F.when(~F.col("_txt").isin(PLACEHOLDER_TEXTS), F.col("_txt"))})
+    rows = rows.withColumn("_raw", F.when(F.col("_txt").isNotNull() & F.col("_num").isNull() & (F.col("_kind") == "numeric"), F.col("_raw")))
+    rows = parse_number(rows, "_raw", "_factors", "_parsed")
+    number, text, parsed = F.col("_num"), F.col("_txt"), F.col("_parsed")
     truth = F.when(text.isin(TRUE_TEXTS), 1.0).when(text.isin(FALSE_TEXTS), 0.0)
     parsed = F.when(~parsed.isin(PLACEHOLDER_NUMBERS) & ~F.isnan(parsed), parsed)
     num = (

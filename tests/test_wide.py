@@ -29,7 +29,7 @@ def cells(spark, rows, tables=wide.MAX_TABLES):
      ("7 kg", "mm", None), ("abc", None, None), ("", None, None), (None, None, None), ("-", None, None), ("5.5MV", "mV", 5.5), (".5", None, 0.5)],
 )
 def test_numbers(spark, text, unit, value):
-    rows = spark.createDataFrame([(text, unit)], "t string, u string")
+    rows = spark.createDataFrame([(text, wide.unit_factors(unit))], "t string, u map<string,double>")
     assert wide.parse_number(rows, "t", "u", "n").first()["n"] == value
 
 
