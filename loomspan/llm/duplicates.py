@@ -20,7 +20,9 @@ def words_of(columns: Sequence[str]) -> Column:
 
 
 def pairs_of(groups: Mapping[str, Sequence[str]]) -> Column:
-    """Every (field name, word) pair of a record, in any order."""
+    """Every (field name, word) pair of a record, in any order; of a sole group of fields the words alone."""
+    if len(groups) == 1:
+        return words_of(*groups.values())
     return F.concat(*[F.transform(words_of(columns), lambda w, name=name: F.concat(F.lit(f"{name}="), w)) for name, columns in groups.items()])
 
 
@@ -37,7 +39,7 @@ def multiset_fingerprint(pairs: Column) -> Column:
 def same_multiset(a: Column, b: Column) -> Column:
     """Whether each pair occurs in both equally often; counts are compared, nothing is sorted."""
     count = lambda xs, w: F.size(F.filter(xs, lambda x: x == w))
-    return (F.size(a) == F.size(b)) & ((a == b) | F.forall(F.array_distinct(a), lambda w: count(a, w) == count(b, w)))
+    return (F.size(a) == F.size(b)) & F.forall(F.array_distinct(a), lambda w: count(a, w) == count(b, w))
 
 
 def duplicate_groups(records: DataFrame, id_column: str = "vocab_id", required: str = "term", groups: Mapping[str, Sequence[str]] = RECORD) -> DataFrame:
@@ -55,13 +57,14 @@ def duplicate_groups(records: DataFrame, id_column: str = "vocab_id", required:
     """
     kept = records.filter(F.length(F.regexp_replace(F.col(required), r"(?U)\s+", "")) > 0)
     rows = kept.select(F.col(id_column).alias("record_id"), pairs_of(groups).alias("pairs"))
-    rows = rows.withColumn("fingerprint", multiset_fingerprint(F.col("pairs")))
-    ids = rows.groupBy("fingerprint", "record_id").agg(F.first("pairs").alias("pairs"))
-    heads = ids.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min_by("pairs", "record_id").alias("head"), F.min("record_id").alias("keep_id"))
+    rows = rows.select("record_id", multiset_fingerprint(F.col("pairs")).alias("fingerprint"), F.array_join("pairs", " ").alias("text"))
+    ids = rows.groupBy("fingerprint", "record_id").agg(F.first("text").alias("text"))
+    heads = ids.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min_by("text", "record_id").alias("head"), F.min("record_id").alias("keep_id"))
     heads = cut(heads)
     total = heads.agg(F.sum("n")).first()[0] or 0
     joined = salted_join(ids, heads, "fingerprint", F.col("record_id"), "n", total)
-    joined = joined.withColumn("same", same_multiset(F.col("pairs"), F.col("head")))
+    joined = joined.withColumns({"pairs": F.split("text", " "), "other": F.split("head", " ")})
+    joined = joined.withColumn("same", (F.col("text") == F.col("head")) | same_multiset(F.col("pairs"), F.col("other")))
     counted = F.to_json(F.map_from_entries(F.transform(F.array_sort(F.array_distinct("pairs")), lambda w: F.struct(w, F.size(F.filter("pairs", lambda x: x == w))))))
     settled = cut(joined.select("record_id", "keep_id", "n", "same", F.when(~F.col("same"), F.concat("fingerprint", F.lit("|"), counted)).alias("exact")))
     apart = settled.filter("not same")
