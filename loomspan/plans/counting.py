@@ -196,7 +196,7 @@ SQL = {
     "q_best_id_columns": f"SELECT table_name, b.column_name, b.unique_rate FROM (SELECT table_name, max(struct_pack(unique_rate, n_filled, column_name)) AS b FROM ({_PROFILES}) WHERE unique_rate IS NOT NULL GROUP BY table_name)",
     "q_keyword_columns": f"SELECT keyword, table_name, column_name, fill_rate FROM ({_PROFILES}), (SELECT unnest(['id', 'patient', 'term', 'name']) AS keyword) WHERE contains(lower(column_name), keyword)",
     "q_source_gaps": """
-SELECT topic, source, n_missing, rank FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY n_missing DESC, source NULLS FIRST) AS rank FROM (
+SELECT topic, source, n_missing, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY topic ORDER BY n_missing DESC, source NULLS FIRST) AS INTEGER) AS rank FROM (
     SELECT origin AS topic, source_file AS source, count(*) AS n_missing FROM structured_vocab_raw WHERE coalesce(trim(term_type, ' '), '') = '' GROUP BY 1, 2)) WHERE rank <= 15""",
     "q_describe": " UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, count(*) AS n, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, min({c}) AS min, round(quantile_cont({c}, 0.25), 4) AS q25,
@@ -218,7 +218,7 @@ WITH u AS (SELECT unnest(regexp_extract_all(text, '((?:https?|ftp)://[^ \t\n\r<>
 SELECT lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host, count(*) AS n FROM u GROUP BY 1 HAVING host <> '' ORDER BY n DESC, host LIMIT 15""",
     "q_size_strata": "SELECT CASE WHEN n_chars >= 1000 THEN 'large' ELSE 'small' END AS stratum, count(*) AS n FROM documents GROUP BY 1",
     "q_repeated_failures": "SELECT user_id, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY user_id HAVING count(*) >= 3",
-    "q_exact_duplicates": "SELECT md5(text) AS key0, length(text) AS key1, count(*) AS n, array_to_string(list_sort(list(DISTINCT doc_id))[1:5], ',') AS examples FROM documents WHERE text IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1",
+    "q_exact_duplicates": "SELECT md5(text) AS key0, CAST(length(text) AS INTEGER) AS key1, count(*) AS n, array_to_string(list_sort(list(DISTINCT doc_id))[1:5], ',') AS examples FROM documents WHERE text IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1",
     "q_duplicate_rows": "SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) AS n_duplicated FROM (SELECT count(*) AS n FROM structured_vocab_raw GROUP BY occ_id)",
     "q_column_signals": r"""
 SELECT column_name, round(avg(CASE WHEN regexp_matches(value, '^[ ]*[+-]?[0-9]+([.][0-9]+)?[ ]*$') THEN 1 ELSE 0 END), 6) AS numeric_share, round(avg(length(value)), 4) AS mean_length,

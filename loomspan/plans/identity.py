@@ -193,7 +193,7 @@ WITH {_LEVEL}, m AS (SELECT source_col, {_KEY} AS value, key, round(avg(confiden
 b AS (SELECT *, row_number() OVER (PARTITION BY source_col, value ORDER BY mean_confidence DESC, n DESC, key) AS rn FROM m) SELECT source_col, value, key, mean_confidence, n FROM b WHERE rn = 1""",
     "q_namespaces": "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS namespace, count(*) AS n, count(DISTINCT text) AS n_distinct FROM documents WHERE regexp_matches(text, '(?i)(^|[^A-Za-z0-9_]){p}($|[^A-Za-z0-9_])')" for n, p in identifiers.NAMESPACES.items()) + ") WHERE n > 0",
     "q_stable_ids": "SELECT vocab_id, left(sha256(term), 8) AS uid, left(md5(term), 12) AS file_id, 'P' || upper(left(sha1(term), 12)) AS person_id FROM vocabulary WHERE term IS NOT NULL",
-    "q_well_formed": "SELECT source_file, count(*) FILTER (regexp_matches(raw_value, '^[A-Za-z0-9_.-]+$')) AS n_formed, count(*) AS n, min(length(raw_value)) AS shortest, max(length(raw_value)) AS longest FROM id_map WHERE raw_value IS NOT NULL GROUP BY 1",
+    "q_well_formed": "SELECT source_file, count(*) FILTER (regexp_matches(raw_value, '^[A-Za-z0-9_.-]+$')) AS n_formed, count(*) AS n, CAST(min(length(raw_value)) AS INTEGER) AS shortest, CAST(max(length(raw_value)) AS INTEGER) AS longest FROM id_map WHERE raw_value IS NOT NULL GROUP BY 1",
     "q_sniffed_ids": """
 SELECT column_name, hits, round(hits / n, 6) AS share FROM (SELECT column_name, count(*) FILTER (regexp_matches(value, '(?i)^tcga[-_][a-z0-9]{2}[-_][a-z0-9]{4}')) AS hits, count(*) AS n
 FROM (UNPIVOT (SELECT source_file, source_col, raw_value, patient_key, rule FROM id_map) ON COLUMNS(*) INTO NAME column_name VALUE value) GROUP BY 1) WHERE hits >= 10 AND hits >= n * 0.02""",

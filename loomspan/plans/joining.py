@@ -257,7 +257,7 @@ SELECT doc_id, source, digest FROM (SELECT doc_id, source, md5(text) AS digest,
     "q_alias_winners": """
 SELECT alias_key, alias_id, source FROM (SELECT lower(trim(alias)) AS alias_key, alias_id, source, row_number() OVER (PARTITION BY lower(trim(alias))
     ORDER BY -coalesce(list_position(['base', 'codebook', 'scan_raw', 'scan', 'seed'], source), 0), alias_id) AS rn FROM alias_map WHERE alias IS NOT NULL) WHERE rn = 1""",
-    "q_head_of_group": "SELECT o_custkey, o_orderkey, rn FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) WHERE rn <= 3",
+    "q_head_of_group": "SELECT o_custkey, o_orderkey, rn FROM (SELECT *, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS rn FROM orders) WHERE rn <= 3",
     "q_filled": f"""
 WITH f AS (SELECT *, CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS flag FROM lineitem)
 SELECT {_COLS}, coalesce(last_value(flag IGNORE NULLS) OVER {_W.format(" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")}, first_value(flag IGNORE NULLS) OVER {_W.format(" ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING")}) AS flag_filled FROM f""",

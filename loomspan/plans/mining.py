@@ -135,7 +135,7 @@ _BASE = "CASE WHEN predicate IN ({}) THEN 0.9 WHEN predicate IN ({}) THEN 0.7 WH
 _WORDS = "w AS (SELECT DISTINCT doc_id, w FROM (SELECT doc_id, unnest(string_split(regexp_replace(lower(text), '[^a-z0-9_]+', ' ', 'g'), ' ')) AS w FROM documents) WHERE w <> '')"
 
 SQL = {
-    "q_line_counts": f"WITH {_LINES} SELECT doc_id, count(*) AS n_lines, max(length(line)) AS longest FROM l GROUP BY doc_id",
+    "q_line_counts": f"WITH {_LINES} SELECT doc_id, count(*) AS n_lines, CAST(max(length(line)) AS INTEGER) AS longest FROM l GROUP BY doc_id",
     "q_cleaned_texts": r"""
 SELECT doc_id, md5(regexp_replace(regexp_replace(replace(regexp_replace(text, '([A-Za-z0-9_])-\n([A-Za-z0-9_])', '\1\2', 'g'), chr(13), ''), '[ \t]+', ' ', 'g'), '\n\n+', chr(10) || chr(10), 'g')) AS digest FROM documents""",
     "q_token_hits": f"""

@@ -88,7 +88,7 @@ s AS (SELECT term, count(*) AS n, 'structured' AS s FROM structured_vocab_raw WH
 g AS (SELECT lower(term) AS candidate, {_GUESS} AS suggested_type, n, s FROM (SELECT * FROM u UNION ALL SELECT * FROM s))
 SELECT candidate, suggested_type, CAST(sum(n) AS BIGINT) AS total_count, string_agg(DISTINCT s, '|' ORDER BY s) AS sources FROM g WHERE candidate NOT IN (SELECT lower(term) FROM vocabulary WHERE term IS NOT NULL) GROUP BY 1, 2""",
     "q_regression_line": """
-SELECT regr_count(l_extendedprice, l_quantity) AS n, round(regr_slope(l_extendedprice, l_quantity), 6) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept, round(regr_r2(l_extendedprice, l_quantity), 6) AS r2 FROM lineitem""",
+SELECT CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n, round(regr_slope(l_extendedprice, l_quantity), 6) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept, round(regr_r2(l_extendedprice, l_quantity), 6) AS r2 FROM lineitem""",
     "q_manifest_dropped": "SELECT DISTINCT source_file FROM id_map WHERE source_file IS NOT NULL AND source_file NOT IN (SELECT source_file FROM id_map WHERE master_patient_id = 'UNASSIGNED' AND source_file IS NOT NULL)",
     "q_json_values": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, CAST(date_diff('day', CAST(ts AS DATE), DATE '2024-12-31') AS INTEGER) AS age_days FROM events",
 }
