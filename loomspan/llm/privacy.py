@@ -6,6 +6,7 @@ import hashlib
 import hmac
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -86,15 +87,17 @@ BEFORE_NAME = [
     "According to", "according to", "Laut", "laut", "D'après", "d'après", "D’après", "d’après", "Selon", "selon", "Según", "según", "Según anotó", "según anotó", "Según comentó", "según comentó", "Nach Angaben von",
     "nach Angaben von", "spoke with", "spoken to", "talked to", "belongs to", "returned by", "Reported by", "reported by", "Signed by", "signed by", "written by", "prepared by", "read by", "checked by", "reviewed by",
     "curated by", "scored by", "entered by", "data from", "message from", "call from", "copied to", "Dear", "Liebe", "Lieber", "Estimado", "Estimada", "Cher", "Chère", "données de", "datos de", "Daten von", "erstellt von",
-    "unterschrieben von", "signé par", "signé par le", "signé par la", "firmado por", "firmado por el", "firmado por la", "comme l'a noté", "comme l’a noté", ", as", ", wie", "Patient", "patient", "Patientin", "patientin",
+    "unterschrieben von", "signé par", "signé par le", "signé par la", "firmado por", "firmado por el", "firmado por la", "comme l'a noté", "comme l’a noté", "Patient", "patient", "Patientin", "patientin",
     "Patiente", "patiente", "Patienten", "Paciente", "paciente", "Pacienta", "Teilnehmer", "Teilnehmerin", "Participant", "participant", "Participante", "participante",
 ]
 _titles = _any_of(TITLES) + r"\.?"
 _degree = rf"(?:{_sp}(?:med|rer|nat|phil|vet|Dr|habil|hc|h\.c|jur)\.)*"
 _address_form = rf"{_NOT_LETTER}{_titles}{_degree}{_sp}"
 _label = rf"{_any_of(LABELS)}[  ]?:\s*|{_any_of(CLOSINGS)},?\s+|{_any_of(BEFORE_NAME)}\s+"
-_cue = regex.compile(rf"{_NOT_LETTER}(?:(?:{_label})(?:{_titles}{_degree}{_sp})?|{_titles}{_degree}{_sp})")
+_cue = regex.compile(rf"(?:{_NOT_LETTER}(?:{_label})|(?<=, )(?:as|wie)\s+)(?:{_titles}{_degree}{_sp})?|{_address_form}")
+_titled = regex.compile(rf"(?:.*\s)?{_titles}{_degree}{_sp}", regex.DOTALL)
 
+_joint_between = rf"{_sp}(?:and|und|y|e|et|&){_sp}"
 _any_given = rf"(?:{_cap}|{_ini})"
 _after_cue = [regex.compile(f"(?:{p}){_END}") for p in [*_forms(_any_given, _cap, _part), *_forms(rf"(?:{_upp}|{_ini})", _upp, _partu)]]
 _lower_after_cue = [regex.compile(f"(?:{p}){_END}") for p in _forms(_given_lower, _low, _part, r"\p{Ll}\.")]
@@ -104,10 +107,12 @@ _free = [
 ]
 _before_word = regex.compile(rf"{_NOT_LETTER}(?:(?P<g>{_ini}(?:{_sp}{_ini})*|{_cap}(?:{_sp}{_ini})*){_sp}(?P<f>(?:{_part}{_sp})?{_cap})(?:{_sp}(?P<f2>{_cap}))?)(?={_sp}(?:{'|'.join(AFTER_NAME)})\b|;[+(\d])")
 _lower_before_word = regex.compile(rf"{_NOT_LETTER}(?:{_forms(_given_lower, _low, _part, r'\p{Ll}\.')[0]})(?={_sp}(?:{'|'.join(AFTER_NAME)})\b|;[+(\d])")
-_after_any = regex.compile(rf" (?:{'|'.join(AFTER_NAME)})\b|;[+(\d]")
+_initials = regex.compile(_ini)
+_before_joint = regex.compile(rf"(?:^|{_NOT_LETTER})({_ini}(?:{_sp}{_ini})*{_sp}(?:{_part}{_sp})?{_cap}){_joint_between}$")
+_semicolon = regex.compile(r";[+(\d]")
 _initial_family = regex.compile(rf"{_ini}(?:{_sp}{_ini})*{_sp}(?:{_part}{_sp})?{_cap}{_END}")
 _alone = regex.compile(rf"(?:{_part}{_sp})?(?:{_cap}|{_upp}){_END}")
-_joint = regex.compile(rf"{_sp}(?:and|und|y|e|et|&){_sp}")
+_joint = regex.compile(_joint_between)
 _second_ends = regex.compile(rf"[,.;()\n]|$|{_sp}\(|{_sp}(?:{'|'.join(AFTER_NAME)}|of|at|and|und|y|et|war|was|has|is|a été|acudió|ha)\b")
 
 _at = r"(?:@|＠|﹫|[ \t]?[\[({][ \t]?(?:at|AT|arroba)[ \t]?[\])}][ \t]?|[ \t]+(?:AT|arroba)[ \t]+)"
@@ -136,6 +141,7 @@ _addresses = [
     )
 ]
 
+_GERMAN = 3
 _before_number = r"(?<![\p{L}\p{N}_+])(?<![\d\p{L}][-.,:/–])"
 _after_number = r"(?![\p{L}\p{N}_])(?![-.,:/–][\p{L}\p{N}])"
 _ids = regex.compile(
@@ -167,6 +173,10 @@ _id_cue = regex.compile(r"(?:SSN|Record|Identity no|ID|Nr|N[o°º]|n[°º]|DNI|N
 _other_cue = regex.compile(r"(?:catalogue no|catalog no|[Ll]ot|[Rr]atio|Messwert|Bestell-Nr|COSMIC id|chr\w*|doi|code|Grant|Pedido|Référence|colis|caja|seed|build|version|pages?|accession|Charge|Katalog-Nr|Ref)\b[.:]?[ \t]?$")
 
 
+_threes, _no_number, _digit = regex.compile(r"\d{3}[- ]\d{3}[- ]\d{4}"), regex.compile(r"[^\d\s()+./-]"), regex.compile(r"\d")
+_de_place = regex.compile(r"\p{L}+[   \t]+(?:(?:der|dem|den)[   \t]+)?\p{Lu}[\p{L}’'‐‑-]+[   \t]+\d")
+
+
 @dataclass(frozen=True)
 class Entity:
     kind: str
@@ -197,19 +207,20 @@ def find_entities(text: str) -> list[Entity]:
 
     Kinds are taken in the order email, address, id_number and phone, person; none overlaps an earlier one.
     """
-    found = _Found()
-    done = 0
+    found, places, done = _Found(), _places(text), 0
     for sign in _at_sign.finditer(text):  # an address lies within a line
         if sign.start() >= done:
             line, done = text.rfind("\n", 0, sign.start()) + 1, text.find("\n", sign.end()) % (len(text) + 1)
             for m in _email.finditer(text, line, done):
                 found.add("email", m.start(), m.end())
-    if any(c.isdigit() for c in text):
+    if _digit.search(text):
         for pattern in _addresses:
+            if pattern is _addresses[_GERMAN] and not places.german:
+                continue
             for m in pattern.finditer(text):
                 found.add("address", m.start(), m.end())
         _numbers(text, found)
-    _persons(text, found)
+    _persons(text, places, found)
     return sorted(found.spans, key=lambda e: e.start)
 
 
@@ -222,9 +233,9 @@ def _numbers(text: str, found: _Found) -> None:
             continue
         phone, number = (start, end) in phones, (start, end) in ids
         if phone and number:
-            shape = regex.fullmatch(r"\d{3}[- ]\d{3}[- ]\d{4}", word)
+            shape = _threes.fullmatch(word)
             phone = bool(_phone_cue.search(before)) or (shape is not None and word[4:7] == "555" and not _id_cue.search(before))
-        if phone and not 9 <= _digits(regex.split(r"[^\d\s()+./-]", word)[0]) <= 15:
+        if phone and not 9 <= _digits(_no_number.split(word)[0]) <= 15:
             continue
         found.add("phone" if phone else "id_number", start, end)
 
@@ -244,14 +255,81 @@ def _clip(text: str, m: regex.Match) -> tuple[int, int] | None:
     return m.start(), end
 
 
-def _persons(text: str, found: _Found) -> None:
-    for m in _cue.finditer(text):
-        at, cue = m.end(), m.group()
-        titled = regex.fullmatch(_address_form, cue) is not None or regex.search(rf"{_titles}{_degree}{_sp}$", cue) is not None
+@lru_cache(maxsize=1)
+def _triggers():
+    """An automaton of (what, length): 0 what can begin a cue, 1 given names in three spellings, 2 endings of German streets,
+    3 words that begin other German addresses, 4 words that follow names."""
+    import ahocorasick
+
+    automaton = ahocorasick.Automaton()
+    blank = " \t\n\r\u00a0\u2009\u202f"
+    for words, ends in ((LABELS, blank + ":"), (CLOSINGS, blank + ","), (BEFORE_NAME, blank), (TITLES, blank + ".")):
+        for word in words:
+            for end in ends:
+                automaton.add_word(word + end, (0, len(word)))
+    for word in ("as", "wie"):
+        for end in blank:
+            automaton.add_word(f", {word}{end}", (0, len(word)))
+    for name in FEMALE + MALE:
+        for spelled in (name, name.upper(), name.lower()):
+            automaton.add_word(spelled, (1, len(spelled)))
+    for word in ("straße", "strasse", "str.", "Str.", "weg", "Weg", "gasse", "Gasse", "allee", "Allee", "platz", "Platz", "ring", "Ring", "damm", "Damm", "ufer", "Ufer", "steig", "pfad", "Straße", "Strasse"):
+        for end in blank:
+            automaton.add_word(word + end, (2, 0))
+    for word in ("An", "Am", "Auf", "Im", "In", "Zum", "Zur", "Unter", "Hinter"):
+        for end in blank:
+            automaton.add_word(word + end, (3, len(word)))
+    for word in AFTER_NAME:
+        automaton.add_word(f" {word}", (4, 0))
+    automaton.make_automaton()
+    return automaton
+
+
+#: So far around a given name the rest of the name is looked for.
+NAME_REACH = 200
+
+
+@dataclass
+class _Places:
+    """Where cues may begin, the stretches that have given names in them, and whether some patterns can match at all."""
+
+    cues: list[int]
+    stretches: list[tuple[int, int]]
+    german: bool
+    after: bool
+
+
+def _places(text: str) -> _Places:
+    cues, stretches, german, after = set(), [], False, ";" in text and _semicolon.search(text) is not None
+    for end, (what, length) in _triggers().iter(text):
+        if what == 0:
+            cues.add(end - length)
+        elif what == 1:
+            start = end + 1 - length
+            if (start == 0 or not text[start - 1].isalnum()) and (end + 1 == len(text) or not text[end + 1].isalnum()):
+                low, high = max(0, start - NAME_REACH), min(len(text), end + NAME_REACH)
+                if stretches and low <= stretches[-1][1]:
+                    stretches[-1] = (stretches[-1][0], max(high, stretches[-1][1]))
+                else:
+                    stretches.append((low, high))
+        elif what == 4:
+            after = True
+        elif not german:
+            german = text[end + 1 : end + 4].lstrip()[:1].isdigit() if what == 2 else _de_place.match(text, end - length) is not None
+    return _Places(sorted(cues), stretches, german, after)
+
+
+def _persons(text: str, places: _Places, found: _Found) -> None:
+    last = 0
+    for place in places.cues:
+        if place < last or not (m := _cue.match(text, place)):
+            continue
+        at = last = m.end()
+        titled = _titled.fullmatch(m.group()) is not None
         best = None
         for pattern in (*_after_cue, *_lower_after_cue):
             if (hit := pattern.match(text, at)) and (span := _clip(text, hit)) and found.free(*span):
-                known = hit.group("g").casefold() in _G or regex.fullmatch(_ini, hit.group("g"))
+                known = hit.group("g").casefold() in _G or _initials.fullmatch(hit.group("g"))
                 first = hit.start("f") < hit.start("g")
                 if first and not known:
                     continue
@@ -262,21 +340,24 @@ def _persons(text: str, found: _Found) -> None:
         if best is not None and found.add("person", *best):
             _joined(text, best[1], found)
     for pattern in _free:
-        for m in pattern.finditer(text, overlapped=False):
-            if (span := _clip(text, m)) and found.add("person", *span):
-                _joined(text, span[1], found)
-    for pattern in (_before_word, _lower_before_word) if _after_any.search(text) else ():
-        for m in pattern.finditer(text):
-            if (span := _clip(text, m)) and found.add("person", *span):
-                _joined(text, span[1], found)
+        _take(text, pattern, places.stretches, found)
+    if places.after:
+        _take(text, _before_word, [(0, len(text))], found)
+        _take(text, _lower_before_word, places.stretches, found)
     for e in list(found.spans):  # M. Holt and Priya Quill: what stands before the joint
         if e.kind == "person":
-            head = text[max(0, e.start - 60) : e.start]
-            if (m := regex.search(rf"(?:^|{_NOT_LETTER})({_ini}(?:{_sp}{_ini})*{_sp}(?:{_part}{_sp})?{_cap}){_joint.pattern}$", head)) is not None:
-                base = max(0, e.start - 60)
+            base = max(0, e.start - 60)
+            if (m := _before_joint.search(text[base : e.start])) is not None:
                 found.add("person", base + m.start(1), base + m.end(1))
 
 
+def _take(text: str, pattern: regex.Pattern, stretches: list[tuple[int, int]], found: _Found) -> None:
+    for low, high in stretches:
+        for m in pattern.finditer(text, low, high):
+            if (span := _clip(text, m)) and found.add("person", *span):
+                _joined(text, span[1], found)
+
+
 def _joined(text: str, at: int, found: _Found) -> None:
     if joint := _joint.match(text, at):
         for pattern in (_initial_family, *_lower_after_cue):
