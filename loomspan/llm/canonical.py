@@ -33,6 +33,8 @@ _WORDS = regex.compile(r"[\p{L}\p{N}]+\.?")
 
 
 def _plain(text: str) -> str:
+    if text.isascii():
+        return text.lower()
     marks_off = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
     return marks_off.casefold()
 
@@ -178,22 +180,31 @@ class Reference:
     def _similar(self, words: list[str], dotted: list[bool], hint: str) -> tuple[int, float]:
         """The entry of greatest token-set similarity: its words' weights, each times the likeness of its best partner."""
         read = [_unscan(w) for w in words]
-        joined = [(read[k] + read[k + 1], False, 2) for k in range(len(read) - 1)]
-        units = [*zip(read, dotted, [1] * len(read), strict=True), *joined]
+        present = {t for w in read for t in self._shared_like(w)}
+        single = [(w, dot) for w, dot in zip(read, dotted, strict=True) if len(w) >= 4]
+        ids, score = self._best(single, present)
+        if not ids:  # a name written apart
+            ids, score = self._best([*single, *((read[k] + read[k + 1], False) for k in range(len(read) - 1))], present)
+        return self._settle(ids, hint, score) if ids else (-1, score)
+
+    def _best(self, units: list[tuple[str, bool]], present: set[str]) -> tuple[list[int], float]:
+        """The entries of greatest similarity, if it is enough, and that similarity."""
         likeness: dict[str, float] = {}
-        for w, dot, n in units:
-            if w in self.shared or (n == 1 and len(w) < 4) or len(w) > 60:
+        for w, dot in units:
+            if w in self.shared or len(w) > 60:
                 continue
             if dot:
                 for t in self.prefixes.get(w, ()):
                     likeness[t] = max(likeness.get(t, 0), 0.9 if len(w) >= 5 else 0.8)
-            for d in _deletions(w, _allowed(w)):
-                for t in self.deletions.get(d, ()):
-                    most = min(_allowed(w), _allowed(t))
-                    if (away := edit_distance(w, t, most)) <= most:
-                        likeness[t] = max(likeness.get(t, 0), 1 - away / max(len(w), len(t)))
+            near: set[str] = set()
+            for held in map(self.deletions.get, _deletions(w, _allowed(w))):
+                if held:
+                    near |= held
+            for t in near:
+                most = min(_allowed(w), _allowed(t))
+                if (away := edit_distance(w, t, most)) <= most:
+                    likeness[t] = max(likeness.get(t, 0), 1 - away / max(len(w), len(t)))
         scores: dict[int, float] = {}
-        present = {t for w in read for t in self._shared_like(w)}
         for t in likeness:
             for i in self.naming[t]:
                 if i in scores:
@@ -204,9 +215,9 @@ class Reference:
                 scores[i] = got / (total + alien)
         good = {i: s for i, s in scores.items() if s >= LEAST_SIMILARITY}
         if not good:
-            return -1, max(scores.values(), default=0.0)
+            return [], max(scores.values(), default=0.0)
         top = max(good.values())
-        return self._settle([i for i, s in good.items() if s >= top - 1e-9], hint, top)
+        return [i for i, s in good.items() if s >= top - 1e-9], top
 
     def _shared_like(self, word: str) -> list[str]:
         """The shared word that this is, or that it is one edit away from."""
