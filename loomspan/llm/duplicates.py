@@ -58,7 +58,7 @@ def duplicate_groups(records: DataFrame, id_column: str = "vocab_id", required:
     kept = records.filter(F.length(F.regexp_replace(F.col(required), r"(?U)\s+", "")) > 0)
     rows = kept.select(F.col(id_column).alias("record_id"), pairs_of(groups).alias("pairs"))
     rows = rows.select("record_id", multiset_fingerprint(F.col("pairs")).alias("fingerprint"), F.array_join("pairs", " ").alias("text"))
-    ids = rows.groupBy("fingerprint", "record_id").agg(F.first("text").alias("text"))
+    ids = cut(rows.groupBy("fingerprint", "record_id").agg(F.first("text").alias("text")))
     heads = ids.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min_by("text", "record_id").alias("head"), F.min("record_id").alias("keep_id"))
     heads = cut(heads)
     total = heads.agg(F.sum("n")).first()[0] or 0
