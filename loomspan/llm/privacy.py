@@ -59,9 +59,10 @@ def _any_of(words: Iterable[str]) -> str:
 _given = _any_of(FEMALE + MALE)
 _given_upper, _given_lower = _any_of(g.upper() for g in FEMALE + MALE), _any_of(g.lower() for g in FEMALE + MALE)
 _sp = r"(?:[   \t]+)"
-_cap = r"\p{Lu}[\p{Ll}’']+(?:[-‐‑]\p{Lu}[\p{Ll}’']+)*"
-_upp = r"\p{Lu}{2,}(?:[-‐‑]\p{Lu}{2,})*"
-_low = r"\p{Ll}{3,}(?:[-‐‑]\p{Ll}{2,})*"
+_cased = r"(?!(?:PhD|DPhil|PharmD|PsyD|EdD|MSc|BSc)\b)\p{Lu}(?=[\p{Lu}’']*\p{Ll})[\p{L}’']+"
+_cap = rf"{_cased}(?:[-‐‑]{_cased})*"
+_upp = r"\p{Lu}(?:[’']?\p{Lu})+(?:[-‐‑]\p{Lu}(?:[’']?\p{Lu})+)*"
+_low = r"\p{Ll}(?:[’']?\p{Ll}){2,}(?:[-‐‑]\p{Ll}{2,})*"
 _ini = r"\p{Lu}\.(?:[-‐‑]?\p{Lu}\.)*"
 _part = "(?:" + "|".join(p.replace(" ", _sp) for p in PARTICLES) + ")"
 _partu = _part.upper().replace("\\U00A0", "\\u00a0").replace("\\U2009", "\\u2009").replace("\\T", "\\t")

@@ -62,3 +62,16 @@ def test_surrogates():
     assert len(made) == 500 and all(m[:3].isalpha() and m[3:].isdigit() for m in made)
     names = {a.word(f"name{i}x") for i in range(2000)}
     assert len(names) == 2000
+
+
+INNER_CAPITALS = [
+    ("Dr. O'Brien called.", ["O'Brien"]), ("Sarah McDonald will return.", ["Sarah McDonald"]), ("SARAH O’BRIEN signed.", ["SARAH O’BRIEN"]), ("Contact: MacLeod, Sarah", ["MacLeod, Sarah"]),
+    ("Kevin DeLuca noted it.", ["Kevin DeLuca"]), ("Signed, D’Angelo Russo-McKay", ["D’Angelo Russo-McKay"]), ("According to sarah o'brien, it held.", ["sarah o'brien"]), ("Dr. Dana Holt PhD, of the MacroLab", ["Dana Holt"]),
+]
+
+
+@pytest.mark.parametrize(("text", "want"), INNER_CAPITALS)
+def test_names_with_inner_capitals(text, want):
+    assert [text[e.start : e.end] for e in privacy.find_entities(text) if e.kind == "person"] == want
+    made = privacy.Surrogates(b"key").of("person", want[0])
+    assert not {"Brien", "Donald", "McDonald", "MacLeod", "DeLuca"} & set(made.replace("'", " ").replace(",", " ").split())
