@@ -171,6 +171,14 @@ _phones = regex.compile(
 )
 _phone_cue = regex.compile(r"(?:[Pp]hone|[Mm]obile|[Cc]all|[Tt][ée]l|[Ff]ax|[Hh]andy|[Mm]óvil|[Ll]lame al|[Aa]ppelez le|unter|[Rr]ing|[Pp]ager|portable)\b[^\p{L}\d]{0,6}(?:at |on |to )?$|;$")
 _id_cue = regex.compile(r"(?:SSN|Record|Identity no|ID|Nr|N[o°º]|n[°º]|DNI|NIE|MRN|NHS|Documento|nummer|sociale?|[Pp]assport|[Pp]asaporte|Reisepass|[Nn]úm|number|no)\b[^\p{L}\d]{0,5}$")
+#: So many characters before a number words of the sentence tell its kind.
+WIDE_CUE = 100
+_same_sentence = regex.compile(r"(?:(?!\d{3}|\n|[.!?;][ \t\n\u00a0\u2009]+\p{Lu}).)*$", regex.DOTALL)
+_wide_cue = regex.compile(
+    r"(?<![\p{L}\p{N}])(?:(?P<phone>[Pp]honed?|[Tt]elephoned?|[Tt]elefon\w*|[Tt]él[ée]phon\w*|[Tt]eléfono|[Mm]obile|[Cc]ell|[Cc]all(?:ed|s|ing)?|[Tt][ée]l|[Ff]ax|[Hh]andy|[Mm]óvil|[Ll]lame|[Aa]ppelez|[Rr]ing|[Rr]each(?:ed|able)?|[Dd]ial|[Tt]ext|[Pp]ager|[Vv]oicemail|portable)"
+    r"|SSN|ID|DNI|NIE|MRN|NHS|[Rr]ecords?|[Pp]atient (?:no|number)|[Ii]dentity|[Ii]dentification|[Dd]ocumento|[Nn]ational insurance|[Ii]nsurance|[Vv]ersicher\w*|[Pp]assport|[Pp]asaporte|Reisepass|[Ss]ocial security|[Ss]écurité sociale)(?![\p{L}\p{N}])"
+)
+_nanp = regex.compile(r"(?![2-9]11)[2-9][0-8]\d(?!\d11)[2-9]\d{6}")
 _other_cue = regex.compile(r"(?:catalogue no|catalog no|[Ll]ot|[Rr]atio|Messwert|Bestell-Nr|COSMIC id|chr\w*|doi|code|Grant|Pedido|Référence|colis|caja|seed|build|version|pages?|accession|Charge|Katalog-Nr|Ref)\b[.:]?[ \t]?$")
 
 
@@ -234,13 +242,38 @@ def _numbers(text: str, found: _Found) -> None:
             continue
         phone, number = (start, end) in phones, (start, end) in ids
         if phone and number:
-            shape = _threes.fullmatch(word)
-            phone = bool(_phone_cue.search(before)) or (shape is not None and word[4:7] == "555" and not _id_cue.search(before))
+            phone = _is_phone(text, start, end)
         if phone and not 9 <= _digits(_no_number.split(word)[0]) <= 15:
             continue
         found.add("phone" if phone else "id_number", start, end)
 
 
+def _is_phone(text: str, start: int, end: int) -> bool:
+    """Whether a number that has the form of a phone and of an id number is a phone.
+
+    A phone's cue right before it decides; else the last word of the sentence so far that tells a kind; else the structure:
+    a North American area and exchange make a phone, unless an id's cue stands before or it is a valid NHS number as these
+    are written, with blanks.
+    """
+    before, word = text[max(0, start - 24) : start], text[start:end]
+    if _phone_cue.search(before):
+        return True
+    if not _threes.fullmatch(word):
+        return False
+    said = 0
+    for m in _wide_cue.finditer(_same_sentence.search(text[max(0, start - WIDE_CUE) : start]).group()):
+        said = 1 if m.group("phone") else -1
+    digits = regex.sub(r"\D", "", word)
+    if _id_cue.search(before) or not _nanp.fullmatch(digits) or " " in word and _nhs_number(digits):
+        return said > 0
+    return said >= 0
+
+
+def _nhs_number(digits: str) -> bool:
+    """Whether the last of ten digits is the check digit of the others (modulo 11)."""
+    return (11 - sum((10 - i) * int(d) for i, d in enumerate(digits[:9])) % 11) % 11 == int(digits[9])
+
+
 def _clip(text: str, m: regex.Match) -> tuple[int, int] | None:
     """The span of a name, without a second family name that begins the next sentence; None if it is no name."""
     given, family = m.group("g"), m.group("f")

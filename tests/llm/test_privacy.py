@@ -75,3 +75,15 @@ def test_names_with_inner_capitals(text, want):
     assert [text[e.start : e.end] for e in privacy.find_entities(text) if e.kind == "person"] == want
     made = privacy.Surrogates(b"key").of("person", want[0])
     assert not {"Brien", "Donald", "McDonald", "MacLeod", "DeLuca"} & set(made.replace("'", " ").replace(",", " ").split())
+
+
+NUMBERS = [
+    ("Leave word for 415-867-5309 before noon.", "phone"), ("Leave word for 415 867 5309 before noon.", "phone"), ("Phone number 415-867-5309.", "phone"), ("You can reach the ward every day on 415-867-5309.", "phone"),
+    ("The patient's record, as we were told, is 415-867-5309.", "id_number"), ("Record 415-867-5309 was closed.", "id_number"), ("Seen again: 943 476 5919 on the ward.", "id_number"), ("Seen again: 999-120-1727.", "id_number"),
+    ("Seen again: 911-555-0123.", "id_number"), ("NHS 415-555-5309.", "id_number"), ("The MRN is wrong. Leave word for 415-867-5309.", "phone"), ("Seen again: 401 023 2137.", "id_number"), ("His record is kept as 415-555-0163.", "id_number"),
+]
+
+
+@pytest.mark.parametrize(("text", "want"), NUMBERS)
+def test_phone_or_id_number(text, want):
+    assert [e.kind for e in privacy.find_entities(text) if e.kind in ("phone", "id_number")] == [want]
