@@ -108,6 +108,11 @@ _free = [
 ]
 _before_word = regex.compile(rf"{_NOT_LETTER}(?:(?P<g>{_ini}(?:{_sp}{_ini})*|{_cap}(?:{_sp}{_ini})*){_sp}(?P<f>(?:{_part}{_sp})?{_cap})(?:{_sp}(?P<f2>{_cap}))?)(?={_sp}(?:{'|'.join(AFTER_NAME)})\b|;[+(\d])")
 _lower_before_word = regex.compile(rf"{_NOT_LETTER}(?:{_forms(_given_lower, _low, _part, r'\p{Ll}\.')[0]})(?={_sp}(?:{'|'.join(AFTER_NAME)})\b|;[+(\d])")
+_before_after_name = rf"(?={_sp}(?:{'|'.join(AFTER_NAME)})\b|;[+(\d])"
+_learnt_first = [regex.compile(f"(?:{_forms(given, family, part, initial)[0]}){end}") for given, family, part, initial, end in ((_cap, _cap, _part, _ini, _END), (_upp, _upp, _partu, _ini, _END), (_low, _low, _part, r"\p{Ll}\.", _before_after_name))]
+_learnt_after_cue = [regex.compile(f"(?:{p}){_END}") for p in _forms(_low, _low, _part, r"\p{Ll}\.")]
+_family_before = regex.compile(rf"{_NOT_LETTER}(?P<f>(?:{_part}{_sp})?{_cap}(?:{_sp}{_cap})?|(?:{_partu}{_sp})?{_upp}(?:{_sp}{_upp})?),{_sp}$")
+_rest_of_given = regex.compile(rf"\p{{L}}+(?:{_sp}{_ini})*{_END}")
 _initials = regex.compile(_ini)
 _before_joint = regex.compile(rf"(?:^|{_NOT_LETTER})({_ini}(?:{_sp}{_ini})*{_sp}(?:{_part}{_sp})?{_cap}){_joint_between}$")
 _semicolon = regex.compile(r";[+(\d]")
@@ -211,12 +216,12 @@ class _Found:
         return False
 
 
-def find_entities(text: str) -> list[Entity]:
-    """The personal information in a text, in order: kind and code point positions.
+def find_entities(text: str, learnt: frozenset[str] = frozenset()) -> list[Entity]:
+    """The personal information in a text, in order: kind and code point positions. learnt are further given names, case-folded.
 
     Kinds are taken in the order email, address, id_number and phone, person; none overlaps an earlier one.
     """
-    found, places, done = _Found(), _places(text), 0
+    found, places, done = _Found(), _places(text, learnt), 0
     for sign in _at_sign.finditer(text):  # an address lies within a line
         if sign.start() >= done:
             line, done = text.rfind("\n", 0, sign.start()) + 1, text.find("\n", sign.end()) % (len(text) + 1)
@@ -229,7 +234,7 @@ def find_entities(text: str) -> list[Entity]:
             for m in pattern.finditer(text):
                 found.add("address", m.start(), m.end())
         _numbers(text, found)
-    _persons(text, places, found)
+    _persons(text, places, found, learnt)
     return sorted(found.spans, key=lambda e: e.start)
 
 
@@ -289,10 +294,10 @@ def _clip(text: str, m: regex.Match) -> tuple[int, int] | None:
     return m.start(), end
 
 
-@lru_cache(maxsize=1)
-def _triggers():
+@lru_cache(maxsize=2)
+def _triggers(learnt: frozenset[str]):
     """An automaton of (what, length): 0 what can begin a cue, 1 given names in three spellings, 2 endings of German streets,
-    3 words that begin other German addresses, 4 words that follow names."""
+    3 words that begin other German addresses, 4 words that follow names, 5 learnt given names."""
     import ahocorasick
 
     automaton = ahocorasick.Automaton()
@@ -307,6 +312,9 @@ def _triggers():
     for name in FEMALE + MALE:
         for spelled in (name, name.upper(), name.lower()):
             automaton.add_word(spelled, (1, len(spelled)))
+    for name in learnt - _G.keys():
+        for spelled in (name, name.upper(), name.title()):
+            automaton.add_word(spelled, (5, len(spelled)))
     for word in ("straße", "strasse", "str.", "Str.", "weg", "Weg", "gasse", "Gasse", "allee", "Allee", "platz", "Platz", "ring", "Ring", "damm", "Damm", "ufer", "Ufer", "steig", "pfad", "Straße", "Strasse"):
         for end in blank:
             automaton.add_word(word + end, (2, 0))
@@ -331,11 +339,12 @@ class _Places:
     stretches: list[tuple[int, int]]
     german: bool
     after: bool
+    learnt: list[int]
 
 
-def _places(text: str) -> _Places:
-    cues, stretches, german, after = set(), [], False, ";" in text and _semicolon.search(text) is not None
-    for end, (what, length) in _triggers().iter(text):
+def _places(text: str, names: frozenset[str] = frozenset()) -> _Places:
+    cues, stretches, learnt, german, after = set(), [], [], False, ";" in text and _semicolon.search(text) is not None
+    for end, (what, length) in _triggers(names).iter(text):
         if what == 0:
             cues.add(end - length)
         elif what == 1:
@@ -348,36 +357,52 @@ def _places(text: str) -> _Places:
                     stretches.append((low, high))
         elif what == 4:
             after = True
+        elif what == 5:
+            start = end + 1 - length
+            if (start == 0 or not (text[start - 1].isalnum() or text[start - 1] == "@")) and (end + 1 == len(text) or not text[end + 1].isalnum()):
+                learnt.append(start)
         elif not german:
             german = text[end + 1 : end + 4].lstrip()[:1].isdigit() if what == 2 else _de_place.match(text, end - length) is not None
-    return _Places(sorted(cues), stretches, german, after)
+    return _Places(sorted(cues), stretches, german, after, learnt)
 
 
-def _persons(text: str, places: _Places, found: _Found) -> None:
+def _cued(text: str, places: _Places, found: _Found, learnt: frozenset[str] = frozenset()) -> Iterator[tuple[tuple[int, int], str, str, bool]]:
+    """(span, given name or empty, family name, whether after a title) of the persons after cues, each added to found."""
     last = 0
     for place in places.cues:
         if place < last or not (m := _cue.match(text, place)):
             continue
         at = last = m.end()
         titled = _titled.fullmatch(m.group()) is not None
-        best = None
+        best, given, family = None, "", ""
         for pattern in (*_after_cue, *_lower_after_cue):
             if (hit := pattern.match(text, at)) and (span := _clip(text, hit)) and found.free(*span):
-                known = hit.group("g").casefold() in _G or _initials.fullmatch(hit.group("g"))
+                known = (fold := hit.group("g").casefold()) in _G or fold in learnt or _initials.fullmatch(hit.group("g"))
                 first = hit.start("f") < hit.start("g")
                 if first and not known:
                     continue
                 if best is None or (span[1] - span[0]) > (best[1] - best[0]) and first:
-                    best = span
+                    best, given, family = span, hit.group("g"), hit.group("f")
+        for pattern in _learnt_after_cue if best is None and learnt else ():
+            if (hit := pattern.match(text, at)) and hit.group("g") in learnt and (span := _clip(text, hit)) and found.free(*span):
+                best, given, family = span, hit.group("g"), hit.group("f")
+                break
         if best is None and titled and (hit := _alone.match(text, at)) and hit.group().split()[-1] not in STARTERS:
             best = hit.span()
         if best is not None and found.add("person", *best):
-            _joined(text, best[1], found)
+            yield best, given, family, titled
+
+
+def _persons(text: str, places: _Places, found: _Found, learnt: frozenset[str] = frozenset()) -> None:
+    for span, _, _, _ in _cued(text, places, found, learnt):
+        _joined(text, span[1], found)
     for pattern in _free:
         _take(text, pattern, places.stretches, found)
     if places.after:
         _take(text, _before_word, [(0, len(text))], found)
         _take(text, _lower_before_word, places.stretches, found)
+    for start in places.learnt:
+        _learnt_at(text, start, learnt, found)
     for e in list(found.spans):  # M. Holt and Priya Quill: what stands before the joint
         if e.kind == "person":
             base = max(0, e.start - 60)
@@ -385,6 +410,18 @@ def _persons(text: str, places: _Places, found: _Found) -> None:
                 found.add("person", base + m.start(1), base + m.end(1))
 
 
+def _learnt_at(text: str, start: int, learnt: frozenset[str], found: _Found) -> None:
+    """The person with the learnt given name that begins here."""
+    for pattern in _learnt_first:
+        if (m := pattern.match(text, start)) and regex.split("[-‐‑]", m.group("g"))[0].casefold() in learnt and m.group("f").split()[-1] not in _NO_FAMILY:
+            if (span := _clip(text, m)) and found.add("person", *span):
+                _joined(text, span[1], found)
+            return
+    base = max(0, start - 80)
+    if (rest := _rest_of_given.match(text, start)) and not text[start].islower() and (m := _family_before.search(text[base:start])) and not set(m.group("f").split()) & STARTERS:
+        found.add("person", base + m.start("f"), rest.end())
+
+
 def _take(text: str, pattern: regex.Pattern, stretches: list[tuple[int, int]], found: _Found) -> None:
     for low, high in stretches:
         for m in pattern.finditer(text, low, high):
@@ -470,7 +507,39 @@ class Surrogates:
         return regex.sub(r"\d+", lambda m: self.signs(m.group()), text)
 
 
-def _find_batches(key: bytes):
+#: A given name is learnt from so many mentions after titles, or from so many different family names after any cue.
+LEARN_TITLED, LEARN_FAMILIES = 2, 3
+#: More learnt names than this are refused, as every task holds them.
+MOST_LEARNT = 200_000
+
+
+def _cued_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for text in batch.column(0).to_pylist():
+            if text:
+                for _, given, family, titled in _cued(text, _places(text), _Found()):
+                    fold = given.casefold()
+                    if fold.isalpha() and len(fold) > 1 and fold not in _G:
+                        rows.append({"given": fold, "family": family.casefold(), "titled": int(titled)})
+        yield pa.RecordBatch.from_pylist(rows, pa.schema([("given", pa.string()), ("family", pa.string()), ("titled", pa.int64())]))
+
+
+def learnt_names(documents: DataFrame, text: str = "text") -> frozenset[str]:
+    """Given names that are not listed but stand after titles or other cues of the texts, case-folded.
+
+    Reads the texts once, at once. A word counts as a name if it stands after titles LEARN_TITLED times or has, after any
+    cue, LEARN_FAMILIES different family names; texts are counted as often as they occur.
+    """
+    cued = documents.select(documents[text].cast("string").alias("text")).mapInArrow(_cued_batches, "given string, family string, titled bigint")
+    names = cued.groupBy("given", "family").agg(F.sum("titled").alias("titled")).groupBy("given").agg(F.sum("titled").alias("titled"), F.count("*").alias("families"))
+    names = names.filter((F.col("titled") >= LEARN_TITLED) | (F.col("families") >= LEARN_FAMILIES)).select("given").limit(MOST_LEARNT + 1).collect()
+    if len(names) > MOST_LEARNT:
+        raise ValueError(f"more than {MOST_LEARNT} given names learnt")
+    return frozenset(r[0] for r in names)
+
+
+def _find_batches(key: bytes, learnt: frozenset[str] = frozenset()):
     kind = pa.list_(pa.struct([("kind", pa.string()), ("char_start", pa.int64()), ("char_end", pa.int64()), ("surrogate", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -479,7 +548,7 @@ def _find_batches(key: bytes):
             rows = []
             for text in batch.column(1).to_pylist():
                 surrogates.restart()
-                rows.append([{"kind": e.kind, "char_start": e.start, "char_end": e.end, "surrogate": surrogates.of(e.kind, text[e.start : e.end])} for e in find_entities(text)] if text else [])
+                rows.append([{"kind": e.kind, "char_start": e.start, "char_end": e.end, "surrogate": surrogates.of(e.kind, text[e.start : e.end])} for e in find_entities(text, learnt)] if text else [])
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(rows, kind)], names=["key", "text", "entities"])
 
     return run
@@ -491,11 +560,12 @@ def personal_information(documents: DataFrame, key: str = "doc_id", text: str =
     entities is an array of (kind, char_start, char_end, surrogate) in order, without overlaps; positions count Unicode code
     points from 0, the end is exclusive. Null and empty texts have none. One row per row, repeated rows and null keys
     included; other columns are ignored; texts are read whole. Surrogates depend on ``secret`` and the value alone, but for
-    the rare one drawn anew within a text. Nothing is shuffled.
+    the rare one drawn anew within a text. The texts are read twice, the first time at once, for the given names that stand
+    after cues anywhere in them (learnt_names); only those names are shuffled.
     """
     kind = documents.schema[key].dataType.simpleString()
     rows = documents.select(documents[key].alias("key"), documents[text].cast("string").alias("text"))
-    found = rows.mapInArrow(_find_batches(secret), f"key {kind}, text string, entities array<struct<kind:string,char_start:bigint,char_end:bigint,surrogate:string>>")
+    found = rows.mapInArrow(_find_batches(secret, learnt_names(rows)), f"key {kind}, text string, entities array<struct<kind:string,char_start:bigint,char_end:bigint,surrogate:string>>")
     return found.withColumnRenamed("key", key)
 
 

@@ -87,3 +87,12 @@ NUMBERS = [
 @pytest.mark.parametrize(("text", "want"), NUMBERS)
 def test_phone_or_id_number(text, want):
     assert [e.kind for e in privacy.find_entities(text) if e.kind in ("phone", "id_number")] == [want]
+
+
+def test_given_names_learnt_from_the_corpus(spark):
+    texts = ["Dr. Ahmed Karim called.", "Mr. Ahmed Nasser called.", "Contact: Giulia Rossi", "Contact: Giulia Conti", "Dear Giulia Ferri", "Dr. Kevin Alder called.", "Contact: Customer Service", "Dear Customer Service"]
+    plain = ["Later Ahmed Salim spoke.", "Later GIULIA BRUNO spoke.", "Salim, Ahmed spoke.", "then ahmed salim noted it", "according to ahmed salim, it held", "Kevin Holt spoke.", "The Customer Service spoke."]
+    df = spark.createDataFrame(list(enumerate([*texts, *plain])), "doc_id bigint, text string")
+    assert privacy.learnt_names(df) == {"ahmed", "giulia"}
+    got = {r["doc_id"] - len(texts): plain[r["doc_id"] - len(texts)][r["char_start"] : r["char_end"]] for r in privacy.occurrences(privacy.personal_information(df)).collect() if r["doc_id"] >= len(texts)}
+    assert got == {0: "Ahmed Salim", 1: "GIULIA BRUNO", 2: "Salim, Ahmed", 3: "ahmed salim", 4: "ahmed salim"}
