@@ -58,7 +58,9 @@ def _any_of(words: Iterable[str]) -> str:
 
 _given = _any_of(FEMALE + MALE)
 _given_upper, _given_lower = _any_of(g.upper() for g in FEMALE + MALE), _any_of(g.lower() for g in FEMALE + MALE)
-_sp = r"(?:[   \t]+)"
+#: The blanks between the words of a name.
+BLANKS = " \u00a0\u2009\t"
+_sp = rf"(?:[{BLANKS}]+)"
 _cased = r"(?!(?:PhD|DPhil|PharmD|PsyD|EdD|MSc|BSc)\b)\p{Lu}(?=[\p{Lu}’']*\p{Ll})[\p{L}’']+"
 _cap = rf"{_cased}(?:[-‐‑]{_cased})*"
 _upp = r"\p{Lu}(?:[’']?\p{Lu})+(?:[-‐‑]\p{Lu}(?:[’']?\p{Lu})+)*"
@@ -322,7 +324,8 @@ def _triggers(learnt: frozenset[str]):
         for end in blank:
             automaton.add_word(word + end, (3, len(word)))
     for word in AFTER_NAME:
-        automaton.add_word(f" {word}", (4, 0))
+        for before in BLANKS:
+            automaton.add_word(before + word, (4, 0))
     automaton.make_automaton()
     return automaton
 

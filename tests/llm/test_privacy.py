@@ -96,3 +96,8 @@ def test_given_names_learnt_from_the_corpus(spark):
     assert privacy.learnt_names(df) == {"ahmed", "giulia"}
     got = {r["doc_id"] - len(texts): plain[r["doc_id"] - len(texts)][r["char_start"] : r["char_end"]] for r in privacy.occurrences(privacy.personal_information(df)).collect() if r["doc_id"] >= len(texts)}
     assert got == {0: "Ahmed Salim", 1: "GIULIA BRUNO", 2: "Salim, Ahmed", 3: "ahmed salim", 4: "ahmed salim"}
+
+
+@pytest.mark.parametrize("blank", [" ", " ", " ", "\t"])
+def test_blanks_before_words_after_names(blank):
+    assert [e.kind for e in privacy.find_entities(f"Then K. Holt{blank}noted it.")] == ["person"]
