@@ -58,22 +58,24 @@ def duplicate_groups(records: DataFrame, id_column: str = "vocab_id", required:
     kept = records.filter(F.length(F.regexp_replace(F.col(required), r"(?U)\s+", "")) > 0)
     rows = kept.select(F.col(id_column).alias("record_id"), pairs_of(groups).alias("pairs"))
     rows = rows.select("record_id", multiset_fingerprint(F.col("pairs")).alias("fingerprint"), F.array_join("pairs", " ").alias("text"))
-    ids = cut(rows.groupBy("fingerprint", "record_id").agg(F.first("text").alias("text")))
-    heads = ids.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min_by("text", "record_id").alias("head"), F.min("record_id").alias("keep_id"))
+    no_id = F.col("record_id").isNull()
+    ids = rows.groupBy("fingerprint", "record_id", F.when(no_id, F.col("text")).alias("words")).agg(F.first("text").alias("text"), F.count("*").alias("rows"))
+    ids = cut(ids.select("fingerprint", "record_id", "text", F.when(no_id, F.col("rows")).otherwise(1).alias("copies")))
+    heads = ids.groupBy("fingerprint").agg(F.count("*").alias("n"), F.sum("copies").alias("n_copies"), F.min_by("text", "record_id").alias("head"), F.min("record_id").alias("keep_id"))
     heads = cut(heads)
     total = heads.agg(F.sum("n")).first()[0] or 0
-    joined = salted_join(ids, heads, "fingerprint", F.col("record_id"), "n", total)
+    joined = salted_join(ids, heads, "fingerprint", F.concat_ws(" ", "record_id", F.when(no_id, F.col("text"))), "n", total)
     joined = joined.withColumns({"pairs": F.split("text", " "), "other": F.split("head", " ")})
     joined = joined.withColumn("same", (F.col("text") == F.col("head")) | same_multiset(F.col("pairs"), F.col("other")))
     counted = F.to_json(F.map_from_entries(F.transform(F.array_sort(F.array_distinct("pairs")), lambda w: F.struct(w, F.size(F.filter("pairs", lambda x: x == w))))))
-    settled = cut(joined.select("record_id", "keep_id", "n", "same", F.when(~F.col("same"), F.concat("fingerprint", F.lit("|"), counted)).alias("exact")))
+    settled = cut(joined.select("record_id", "keep_id", "copies", "n_copies", "same", F.when(~F.col("same"), F.concat("fingerprint", F.lit("|"), counted)).alias("exact")))
     apart = settled.filter("not same")
     if apart.isEmpty():
-        return settled.filter("record_id is not null").select("record_id", "keep_id", F.col("n").alias("n_copies"))
-    again = apart.groupBy("exact").agg(F.min("record_id").alias("keep_id"), F.count("*").alias("n_copies"))
+        return settled.filter("record_id is not null").select("record_id", "keep_id", "n_copies")
+    again = apart.groupBy("exact").agg(F.min("record_id").alias("keep_id"), F.sum("copies").alias("n_copies"))
     split = apart.select("record_id", "exact").join(again, "exact").select("record_id", "keep_id", "n_copies")
-    stay = settled.filter("same").select("record_id", "keep_id")
-    sizes = stay.groupBy("keep_id").agg(F.count("*").alias("n_copies"))
+    stay = settled.filter("same").select("record_id", "keep_id", "copies")
+    sizes = stay.groupBy("keep_id").agg(F.sum("copies").alias("n_copies"))
     return stay.join(sizes, "keep_id").select("record_id", "keep_id", "n_copies").unionByName(split).filter("record_id is not null")
 
 

@@ -61,3 +61,14 @@ def test_fields_apart(spark):
     rows = [(1, "a", "b"), (2, "b", "a")]
     apart = {"term": ("term",), "term_type": ("term_type",)}
     assert duplicates.copies(frame(spark, rows), groups=apart).count() == 0 and duplicates.copies(frame(spark, rows)).count() == 1
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_every_record_without_an_id_counts(spark, monkeypatch, collide):
+    from pyspark.sql import functions as F
+
+    if collide:
+        monkeypatch.setattr(duplicates, "multiset_fingerprint", lambda pairs: F.lit("same"))
+    rows = [(1, "a b", None), *[(None, "B a", None)] * 3, *[(None, "a-b", None)] * 2, (2, "a b", None), (2, "b a", None), (3, "c", None), (None, "C.", None), (None, "C", None), (None, "d", None)]
+    assert {(r["record_id"], r["n_copies"]) for r in duplicates.duplicate_groups(frame(spark, rows)).collect()} == {(1, 7), (2, 7), (3, 3)}
+    assert {(r["vocab_id"], r["n_copies"]) for r in duplicates.collapse(frame(spark, rows)).collect()} == {(1, 7), (3, 3)}
