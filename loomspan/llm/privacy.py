@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
 import hmac
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from math import isqrt
 
 import pyarrow as pa
 import regex
@@ -441,58 +441,110 @@ def _joined(text: str, at: int, found: _Found) -> None:
 
 # Surrogates
 
-_SYLLABLES = [a + b for a in "bdfgklmnprstv" for b in "aeiou"]
+def _range(first: int, last: int) -> str:
+    return "".join(c for c in map(chr, range(first, last + 1)) if c.isalpha() and c.islower())
 
 
-class Surrogates:
-    """Keyed replacements that keep kind, sex, script, case and format; one value has one surrogate, two have two.
+# Of each script the consonants and vowels of invented syllables, a consonant in none of them, and the letters that names are counted by.
+_SCRIPTS = {
+    "Latin": ("bdfgklmnprstv", "aeiou", "z", "abcdefghijklmnopqrstuvwxyz" + _range(0xDF, 0x17E)),
+    "Cyrillic": ("бдфгклмнпрств", "аеиоу", "з", _range(0x430, 0x45F)),
+    "Greek": ("βδφγκλμνπρστθ", "αειου", "ζ", _range(0x3AC, 0x3CE)),
+    "Armenian": ("բդֆգկլմնպրստվ", "աեիոօ", "զ", _range(0x561, 0x586)),
+}
+_script_of = regex.compile("|".join(rf"(?P<{name}>\p{{Script={name}}})" for name in _SCRIPTS))
+_ASCII = "abcdefghijklmnopqrstuvwxyz"
 
-    The key decides every replacement, so that a person, an address or a number comes out alike in all documents; a name's
-    parts are replaced one by one, so that a family name alone refers to the same person as with a given name before it.
-    Within a text, a surrogate that another value already has is drawn anew.
-    """
 
-    def __init__(self, key: bytes) -> None:
-        self.key, self.used, self.known = key, {}, {}
+def _count(word: str, letters: str) -> int:
+    """A number that no other word has; characters that are not among the letters are spelled out."""
+    base, n = len(letters) + 1, 0
+    for c in word:
+        at = letters.find(c)
+        for d in (at,) if at >= 0 else (base - 1, *(ord(c) // len(letters) ** i % len(letters) for i in range(5))):
+            n = n * base + d + 1
+    return n
 
-    def restart(self) -> None:
-        self.used, self.known = {}, {}
 
-    def _bytes(self, what: str, value: str, turn: int) -> bytes:
-        return hmac.new(self.key, f"{what}\0{turn}\0{value}".encode("utf-8", "surrogatepass"), hashlib.sha256).digest()
+class Surrogates:
+    """Keyed replacements that keep kind, sex, script, case and format; one value has one surrogate, two have two, in all texts.
 
-    def _unique(self, what: str, value: str, make) -> str:
-        if (what, value) in self.known:
-            return self.known[what, value]
-        for turn in range(1000):
-            out = make(self._bytes(what, value, turn))
-            if self.used.setdefault((what, out), value) == value and out != value:
-                break
-        self.known[what, value] = out
-        return out
+    The key decides every replacement, and every replacement is a keyed permutation: of the given names of a sex, of the
+    letters an initial may be, of all numbers of a format, and of all words, which are counted and written in syllables of
+    their script (at most as many words as syllables of a length can tell apart). So no state is kept, and a name's parts,
+    replaced one by one, refer to the same person everywhere. Words of other scripts than the four listed turn Latin.
+    """
+
+    def __init__(self, key: bytes) -> None:
+        self.key = key
+        self.word, self.signs = lru_cache(maxsize=100_000)(self._word), lru_cache(maxsize=100_000)(self._signs)
+
+    def _permuted(self, what: str, x: int, n: int, back: bool = False) -> int:
+        """Another of the numbers below n for each of them: a Feistel network, walked until it stays below n."""
+        high = isqrt(n - 1) + 1
+        low = -(-n // high)
+        while True:
+            left, right = divmod(x, low)
+            for turn in range(7, -1, -1) if back else range(8):
+                drawn = int.from_bytes(hmac.digest(self.key, f"{what}\0{n}\0{turn}\0{left if turn % 2 else right}".encode("utf-8", "surrogatepass"), "sha512"), "big")
+                drawn = -drawn if back else drawn
+                left, right = (left, (right + drawn) % low) if turn % 2 else ((left + drawn) % high, right)
+            x = left * low + right
+            if x < n:
+                return x
+
+    def _moved(self, what: str, x: int, n: int) -> int:
+        """As _permuted, but no number stays as it is, unless it is the only one."""
+        return self._permuted(what, (self._permuted(what, x, n) + 1) % n, n, back=True)
 
     @staticmethod
     def _like(model: str, word: str) -> str:
         return word.upper() if len(model) > 1 and model.isupper() else word.lower() if model.islower() else word[:1].upper() + word[1:].lower()
 
-    def word(self, model: str) -> str:
+    def _word(self, model: str) -> str:
         """A name's part: a given name becomes one of its sex, an initial another letter, anything else invented syllables."""
         fold = model.casefold()
         if len(model) == 1:
-            return self._unique("initial", model, lambda h: chr(65 + h[0] % 26))
+            return self.signs(model)
         if fold in _SEX:
             pool = FEMALE if _SEX[fold] == "f" else MALE
-            return self._like(model, self._unique("given", fold, lambda h: pool[int.from_bytes(h[:4], "big") % len(pool)].casefold()))
-        return self._like(model, self._unique("family", fold, lambda h: "".join(_SYLLABLES[b % len(_SYLLABLES)] for b in h[: 3 + h[31] % 2])))
-
-    def signs(self, model: str) -> str:
-        """A number or code: every digit another digit, every letter another letter, all else kept."""
-
-        def make(h: bytes) -> str:
-            stream = (h * (len(model) // 32 + 1))[: len(model)]
-            return "".join(str(b % 10) if c.isdigit() else chr((65 if c.isupper() else 97) + b % 26) if c.isalpha() and c.isascii() else c for c, b in zip(model, stream, strict=True))
-
-        return self._unique("signs", model, make)
+            return self._like(model, pool[self._moved(_SEX[fold], pool.index(_G[fold]), len(pool))])
+        script = (m := _script_of.search(fold)) and m.lastgroup or "Latin"
+        consonants, vowels, further, letters = _SCRIPTS[script]
+        plain = all(c in _ASCII for c in fold)
+        number = 2 * _count(fold, _ASCII) if plain else 2 * _count(fold, letters) + 1
+        length, base = 3, len(consonants) * len(vowels)
+        while number >= base**length:
+            length += 1
+        drawn, made = self._permuted(f"word {script}", number, base**length), ""
+        for _ in range(length):
+            drawn, c = divmod(drawn, base)
+            made += consonants[c // len(vowels)] + vowels[c % len(vowels)]
+        if made == fold or made in _SEX:  # longer, by a syllable that no other has
+            made += further + vowels[0]
+        return self._like(model, made)
+
+    def _signs(self, model: str) -> str:
+        """A number or code: its digits and letters become others of their kinds, at least one of them another; all else is kept."""
+        kinds = []
+        for c in model:
+            if c.isdecimal():
+                zero = ord(c) - int(c)
+                kinds.append("".join(map(chr, range(zero, zero + 10))))
+            else:
+                script = (m := _script_of.match(c)) and m.lastgroup
+                letters = _ASCII if c.isascii() else "".join(x for x in _SCRIPTS[script][3] if not x.isascii() and len(x.upper()) == 1 and x.upper().lower() == x) if script else ""
+                kinds.append(next((k for k in (letters, letters.upper()) if c in k), c))
+        number, total = 0, 1
+        for c, kind in zip(model, kinds, strict=True):
+            number, total = number * len(kind) + kind.index(c), total * len(kind)
+        if total == 1:
+            return model
+        number, made = self._moved("signs " + "|".join(k[0] for k in kinds), number, total), []
+        for kind in reversed(kinds):
+            number, d = divmod(number, len(kind))
+            made.append(kind[d])
+        return "".join(reversed(made))
 
     def of(self, kind: str, text: str) -> str:
         if kind == "person":
@@ -550,7 +602,6 @@ def _find_batches(key: bytes, learnt: frozenset[str] = frozenset()):
         for batch in batches:
             rows = []
             for text in batch.column(1).to_pylist():
-                surrogates.restart()
                 rows.append([{"kind": e.kind, "char_start": e.start, "char_end": e.end, "surrogate": surrogates.of(e.kind, text[e.start : e.end])} for e in find_entities(text, learnt)] if text else [])
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(rows, kind)], names=["key", "text", "entities"])
 
@@ -562,8 +613,7 @@ def personal_information(documents: DataFrame, key: str = "doc_id", text: str =
 
     entities is an array of (kind, char_start, char_end, surrogate) in order, without overlaps; positions count Unicode code
     points from 0, the end is exclusive. Null and empty texts have none. One row per row, repeated rows and null keys
-    included; other columns are ignored; texts are read whole. Surrogates depend on ``secret`` and the value alone, but for
-    the rare one drawn anew within a text. The texts are read twice, the first time at once, for the given names that stand
+    included; other columns are ignored; texts are read whole. Surrogates depend on ``secret`` and the value alone. The texts are read twice, the first time at once, for the given names that stand
     after cues anywhere in them (learnt_names); only those names are shuffled.
     """
     kind = documents.schema[key].dataType.simpleString()

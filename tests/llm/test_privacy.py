@@ -101,3 +101,23 @@ def test_given_names_learnt_from_the_corpus(spark):
 @pytest.mark.parametrize("blank", [" ", " ", " ", "\t"])
 def test_blanks_before_words_after_names(blank):
     assert [e.kind for e in privacy.find_entities(f"Then K. Holt{blank}noted it.")] == ["person"]
+
+
+def test_surrogates_are_distinct_and_the_same_everywhere():
+    import unicodedata
+
+    s, again = privacy.Surrogates(b"key"), privacy.Surrogates(b"key")
+    again.of("person", "Zoltan B. Quill")  # what came before makes no difference
+    names = [f"{g} {f}" for g in privacy.FEMALE + privacy.MALE for f in ("Holt", "K.")]
+    made = [s.of("person", n) for n in names]
+    assert made == [again.of("person", n) for n in reversed(names)][::-1]
+    assert len(set(made)) == len(names) and all(x.split()[0] != n.split()[0] for x, n in zip(made, names, strict=True))
+    letters = [chr(c) for c in range(65, 91)]
+    assert sorted(s.word(c) for c in letters) == letters and all(s.word(c) != c for c in letters)
+    assert sorted(s.signs(f"{i:02}") for i in range(100)) == [f"{i:02}" for i in range(100)]
+    words = {a + b + c for a in "abkzäñ" for b in ("", "e", "ü", "'", "ил") for c in ("", "tt", "1", "ж")} | {"li", "dana", "ll", "x" * 60, "x" * 61} - set(privacy._SEX)
+    words = {w for w in words if len(w) > 1}
+    assert len({s.word(w) for w in words}) == len(words)
+    for name, script in (("Иван Петров", "CYRILLIC"), ("Νίκος Παππάς", "GREEK"), ("Արմեն Պետրոսյան", "ARMENIAN"), ("José Muñoz", "LATIN")):
+        assert all(unicodedata.name(c).startswith(script) for c in s.of("person", name) if c.isalpha()) and s.of("person", name) != name
+    assert s.of("person", "И. Петров")[0] not in "ИABCDEFGHIJKLMNOPQRSTUVWXYZ" and s.signs("٣٤") != "٣٤"
