@@ -126,6 +126,7 @@ _second_ends = regex.compile(rf"[,.;()\n]|$|{_sp}\(|{_sp}(?:{'|'.join(AFTER_NAME
 _at = r"(?:@|＠|﹫|[ \t]?[\[({][ \t]?(?:at|AT|arroba)[ \t]?[\])}][ \t]?|[ \t]+(?:AT|arroba)[ \t]+)"
 _at_sign = regex.compile(_at)
 _dot = r"(?:\.|[ \t]?[\[({][ \t]?(?:dot|DOT|punto|punkt|point)[ \t]?[\])}][ \t]?|[ \t]+(?:DOT|punto)[ \t]+)"
+_labels = regex.compile(f"({_dot})")
 _email = regex.compile(rf"(?<![\p{{L}}\p{{N}}._%+-])[\p{{L}}\p{{N}}_%+-]+(?:{_dot}[\p{{L}}\p{{N}}_%+-]+)*{_at}[\p{{L}}\p{{N}}](?:[\p{{L}}\p{{N}}-]*[\p{{L}}\p{{N}}])?(?:{_dot}[\p{{L}}\p{{N}}](?:[\p{{L}}\p{{N}}-]*[\p{{L}}\p{{N}}])?)*{_dot}\p{{L}}{{2,24}}(?![\p{{L}}\p{{N}}])")
 
 _town = rf"{_cap}(?:[-‐‑](?:\p{{L}}+))*"
@@ -552,12 +553,16 @@ class Surrogates:
             return regex.sub(r"\p{L}+", lambda m: m.group() if m.group().lower() in keep else self.word(m.group()), text)
         if kind == "email":
             at = regex.search(_at, text)
-            domain = regex.sub(r"\p{L}+(?=.*(?:\.|dot|DOT))", "example", text[at.end() :], count=1)
-            return regex.sub(r"\p{L}+", lambda m: self.word(m.group()), self.signs_in(text[: at.start()])) + at.group() + domain
+            *labels, top = _labels.split(text[at.end() :])
+            domain = "".join(x if i % 2 else self._parts(x) for i, x in enumerate(labels)) + top  # every second is a dot
+            return "".join(x if i % 2 else self._parts(x) for i, x in enumerate(_labels.split(text[: at.start()]))) + at.group() + domain
         if kind == "address":
             return regex.sub(r"\p{Lu}[\p{L}’']{2,}", lambda m: m.group() if regex.fullmatch(_road, m.group()) or m.group() in STARTERS else self.word(m.group()), self.signs_in(text))
         return self.signs(text)
 
+    def _parts(self, text: str) -> str:
+        return regex.sub(r"\p{L}+", lambda m: self.word(m.group()), self.signs_in(text))
+
     def signs_in(self, text: str) -> str:
         return regex.sub(r"\d+", lambda m: self.signs(m.group()), text)
 

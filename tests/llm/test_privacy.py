@@ -121,3 +121,17 @@ def test_surrogates_are_distinct_and_the_same_everywhere():
     for name, script in (("Иван Петров", "CYRILLIC"), ("Νίκος Παππάς", "GREEK"), ("Արմեն Պետրոսյան", "ARMENIAN"), ("José Muñoz", "LATIN")):
         assert all(unicodedata.name(c).startswith(script) for c in s.of("person", name) if c.isalpha()) and s.of("person", name) != name
     assert s.of("person", "И. Петров")[0] not in "ИABCDEFGHIJKLMNOPQRSTUVWXYZ" and s.signs("٣٤") != "٣٤"
+
+
+EMAILS = ["j.holt@pontclair.example", "j.holt@velbury.example", "j.holt@mail.brantwick.example", "j.holt@onco-lab.example", "j.holt@onco-lab2.example", "J.HOLT@PONTCLAIR.ORG", "j(punto)holt(at)mail(punto)brantwick(punto)example", "j.holt [at] data [dot] velbury [dot] invalid"]
+
+
+def test_surrogates_of_emails_replace_the_whole_domain():
+    s = privacy.Surrogates(b"key")
+    made = [s.of("email", e) for e in EMAILS]
+    assert len(set(made)) == len(EMAILS)
+    for old, new in zip(EMAILS, made, strict=True):
+        assert [(e.kind, e.start, e.end) for e in privacy.find_entities(new)] == [("email", 0, len(new))]
+        assert not set("pontclair velbury brantwick onco lab data mail holt".split()) & set(new.lower().replace("-", " ").replace(".", " ").replace("(", " ").replace(")", " ").split())
+        assert new.split()[-1][-3:] == old[-3:] and new.count("(punto)") == old.count("(punto)") and new.count("[dot]") == old.count("[dot]")
+    assert made[0].split("@")[0] == made[1].split("@")[0]
