@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomspan.operators.shape import q
+from loomspan.session import cut
 
 
 def top_values(df: DataFrame, column: str, n: int) -> DataFrame:
@@ -142,13 +143,14 @@ def exact_quantiles(values: DataFrame, group: str, value: str, shares: Sequence[
     """
     spark = values.sparkSession
     counts = values.filter(F.col(q(value)).isNotNull()).groupBy(F.col(q(group)).alias("g"), F.col(q(value)).cast("double").alias("v")).agg(F.count("*").alias("c"))
-    ranged = counts.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "g", "v").withColumn("p", F.spark_partition_id()).withColumn("b", F.xxhash64("g", "p"))
-    sums = ranged.groupBy("g", "p", "b").agg(F.sum("c").alias("s"))
+    ranged = counts.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "g", "v").withColumn("p", F.spark_partition_id())
+    # Written: a second evaluation might sample other bounds, and sums and rows must be of the same partitions.
+    ranged = cut(ranged.withColumn("e", F.sum("c").over(Window.partitionBy("p", "g").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))))
+    sums = ranged.groupBy("g", "p").agg(F.sum("c").alias("s"))
     whole = Window.partitionBy("g")
     before = F.coalesce(F.sum("s").over(whole.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sums.select(F.col("b").alias("b2"), before.alias("start"), F.sum("s").over(whole).alias("n"))
-    end = F.sum("c").over(Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    rows = ranged.withColumn("e", end).join(F.broadcast(starts), F.col("b") == F.col("b2"))  # one row a group and partition
+    starts = sums.select(F.col("g").alias("g2"), F.col("p").alias("p2"), before.alias("start"), F.sum("s").over(whole).alias("n"))
+    rows = ranged.join(F.broadcast(starts), F.col("g").eqNullSafe(F.col("g2")) & (F.col("p") == F.col("p2")))  # one row a group and partition
     high, low = F.col("start") + F.col("e"), F.col("start") + F.col("e") - F.col("c")
     at = lambda k: F.max(F.when((low <= k) & (k < high), F.col("v")))
     place = [(F.col("n") - 1) * F.lit(float(p)) for p in shares]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomspan.operators.joins import first_by
 from loomspan.operators.shape import q
+from loomspan.session import cut
 
 # Sources of aliases, the most trusted last.
 SOURCE_PRECEDENCE = ["base", "codebook", "scan_raw", "scan", "seed"]
@@ -58,18 +59,28 @@ def carried(df: DataFrame, keys: Sequence[str], order: Sequence[Column], header:
     return df.withColumn(to, F.coalesce(F.last(header, ignorenulls=True).over(w), F.lit(default)))
 
 
-def numbered(df: DataFrame, order: str, to: str, pattern: str = "P%08d") -> DataFrame:
-    """Sequential ids in the order of a distinct column (WIN-09), without gathering all rows in one partition.
+def _ranged(df: DataFrame, *order: str) -> DataFrame:
+    """The rows range-partitioned and sorted, with their partition _p and their place _n in it, as a written table.
 
-    Rows are range-partitioned and sorted; each partition's size (one number a partition) gives where its numbers begin.
+    Written, because a second evaluation may sample other bounds; whoever reads sizes and rows must read the same ones.
     """
     spark = df.sparkSession
-    ranged = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), order).sortWithinPartitions(order).withColumn("_p", F.spark_partition_id())
-    ranged = ranged.withColumn("_n", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
+    rows = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
+    return cut(rows.withColumns({"_p": F.spark_partition_id(), "_n": F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)}))
+
+
+def numbered(df: DataFrame, order: str, to: str, pattern: str | None = "P%08d") -> DataFrame:
+    """Sequential ids in the order of a distinct column (WIN-09), without gathering all rows in one partition.
+
+    Rows are range-partitioned, sorted and written; each partition's size (one number a partition) gives where its numbers
+    begin. Without a pattern the ids are numbers from 1. Rows of equal order come one after the other, in any order.
+    """
+    ranged = _ranged(df, order)
     sizes = ranged.groupBy("_p").agg(F.count("*").alias("n"))
-    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
     starts = sizes.select(F.col("_p").alias("_q"), F.coalesce(F.sum("n").over(w), F.lit(0)).alias("_start"))
-    return ranged.join(F.broadcast(starts), F.col("_p") == F.col("_q")).withColumn(to, F.format_string(pattern, F.col("_start") + F.col("_n") + 1)).drop("_p", "_n", "_q", "_start")
+    number = F.col("_start") + F.col("_n") + 1
+    return ranged.join(F.broadcast(starts), F.col("_p") == F.col("_q")).withColumn(to, F.format_string(pattern, number) if pattern else number).drop("_p", "_n", "_q", "_start")
 
 
 def every_kth(df: DataFrame, number: str, k: int) -> DataFrame:
@@ -91,17 +102,13 @@ def split_by_id(df: DataFrame, key: str, test: int = 20) -> DataFrame:
 def balanced(df: DataFrame, label: str, key: str) -> DataFrame:
     """As many rows of each class as the smallest has, chosen by the md5 of the key (ABS-05); rows without a label go.
 
-    Rows are ranked without gathering a class in one task: they are range-partitioned by class and md5, numbered within a
-    partition, and each partition's number of rows of a class (few numbers) tells where its ranks begin.
+    Rows are ranked without gathering a class in one task: they are range-partitioned by class and md5, sorted and written;
+    each partition's number of rows of a class (few numbers) tells where its ranks begin.
     """
-    spark = df.sparkSession
-    rows = df.filter(F.col(q(label)).isNotNull()).withColumn("_h", F.md5(F.col(q(key)).cast("string")))
-    ranged = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), label, "_h", key).withColumn("_p", F.spark_partition_id())
-    ranged = ranged.withColumn("_b", F.xxhash64(label, "_p"))
-    sizes = ranged.groupBy(label, "_p", "_b").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy(label).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select(F.col("_b").alias("_c"), before.alias("_start"), F.sum("n").over(Window.partitionBy(label)).alias("_all"))
+    ranged = _ranged(df.filter(F.col(q(label)).isNotNull()).withColumn("_h", F.md5(F.col(q(key)).cast("string"))), q(label), "_h", q(key))
+    sizes = ranged.groupBy(F.col(q(label)).alias("_label"), F.col("_p").alias("_q")).agg(F.count("*").alias("n"), F.min("_n").alias("_first"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("_label").orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("_label", "_q", (before - F.col("_first")).alias("_start"), F.sum("n").over(Window.partitionBy("_label")).alias("_all"))
     starts = starts.join(F.broadcast(starts.agg(F.min("_all").alias("_least"))), how="cross")  # one row
-    inside = F.row_number().over(Window.partitionBy("_b").orderBy("_h", key))
-    out = ranged.withColumn("_n", inside).join(F.broadcast(starts), F.col("_b") == F.col("_c"))  # one row a class and partition
-    return out.withColumn("rn", F.col("_start") + F.col("_n")).filter("rn <= _least").drop("_h", "_p", "_b", "_c", "_n", "_start", "_all", "_least")
+    out = ranged.join(F.broadcast(starts), (F.col(q(label)) == F.col("_label")) & (F.col("_p") == F.col("_q")))  # one row a class and partition
+    return out.withColumn("rn", F.col("_start") + F.col("_n") + 1).filter("rn <= _least").drop("_h", "_p", "_n", "_q", "_label", "_first", "_start", "_all", "_least")

@@ -148,7 +148,8 @@ def q_within_budget(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_sequential_ids(spark: SparkSession, d: str) -> DataFrame:
-    return windows.numbered(table(spark, d, "vocabulary").select("term").filter("term is not null").distinct(), "term", "master_id")
+    terms = table(spark, d, "vocabulary").filter("term is not null").groupBy("term").agg(F.min("vocab_id").alias("first_id"), F.count("*").alias("n"))
+    return windows.numbered(terms, "term", "master_id")
 
 
 def q_every_kth(spark: SparkSession, d: str) -> DataFrame:
@@ -165,7 +166,7 @@ def q_section_carried(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_balanced(spark: SparkSession, d: str) -> DataFrame:
-    return windows.balanced(table(spark, d, "customer"), "c_mktsegment", "c_custkey").select("c_custkey", "c_mktsegment", "rn")
+    return windows.balanced(table(spark, d, "customer"), "c_mktsegment", "c_custkey").select("c_custkey", "c_mktsegment", "c_name", "c_acctbal", "rn")
 
 
 def q_split(spark: SparkSession, d: str) -> DataFrame:
@@ -263,7 +264,7 @@ WITH f AS (SELECT *, CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS flag
 SELECT {_COLS}, coalesce(last_value(flag IGNORE NULLS) OVER {_W.format(" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")}, first_value(flag IGNORE NULLS) OVER {_W.format(" ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING")}) AS flag_filled FROM f""",
     "q_neighbours": f"SELECT {_COLS}, lag(l_partkey) OVER {_W.format('')} AS prev_l_partkey, lead(l_partkey) OVER {_W.format('')} AS next_l_partkey FROM lineitem",
     "q_within_budget": f"SELECT {_COLS}, greatest(0, least(l_quantity, 60 - (sum(l_quantity) OVER {_W.format(' ROWS UNBOUNDED PRECEDING')} - l_quantity))) AS taken FROM lineitem",
-    "q_sequential_ids": "SELECT term, printf('P%08d', row_number() OVER (ORDER BY term)) AS master_id FROM (SELECT DISTINCT term FROM vocabulary WHERE term IS NOT NULL)",
+    "q_sequential_ids": "SELECT term, min(vocab_id) AS first_id, count(*) AS n, printf('P%08d', row_number() OVER (ORDER BY term)) AS master_id FROM vocabulary WHERE term IS NOT NULL GROUP BY term",
     "q_every_kth": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 10 = 0",
     "q_section_carried": r"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents WHERE text IS NOT NULL),
@@ -271,7 +272,7 @@ h AS (SELECT *, nullif(regexp_extract(line, '^([A-Za-z]+)[ :,]', 1), '') AS h FR
 c AS (SELECT *, coalesce(last_value(h IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING), 'UNKNOWN') AS head FROM h)
 SELECT doc_id, count(*) AS n_lines, count(DISTINCT head) AS n_heads, arg_max(head, line_no) AS last_head FROM c GROUP BY doc_id""",
     "q_balanced": """
-WITH r AS (SELECT c_custkey, c_mktsegment, row_number() OVER (PARTITION BY c_mktsegment ORDER BY md5(CAST(c_custkey AS VARCHAR)), c_custkey) AS rn FROM customer WHERE c_mktsegment IS NOT NULL)
+WITH r AS (SELECT c_custkey, c_mktsegment, c_name, c_acctbal, row_number() OVER (PARTITION BY c_mktsegment ORDER BY md5(CAST(c_custkey AS VARCHAR)), c_custkey) AS rn FROM customer WHERE c_mktsegment IS NOT NULL)
 SELECT * FROM r WHERE rn <= (SELECT min(n) FROM (SELECT count(*) AS n FROM r GROUP BY c_mktsegment))""",
     "q_split": "SELECT o_orderkey, CASE WHEN (o_orderkey * 7919 + 104729) % 100 < 20 THEN 'test' ELSE 'train' END AS part FROM orders",
     "q_transposed": """

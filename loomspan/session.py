@@ -34,10 +34,13 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset, one of our own on a single machine only:
+    on a cluster each executor would write to its own disk, so that is refused."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dir:
         _own_dir[app] = "file://" + tempfile.mkdtemp(prefix="loomspan-")

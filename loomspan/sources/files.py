@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomspan.operators.shape import q
+from loomspan.operators.windows import numbered
 
 # Texts that a table's reader takes for missing cells.
 MISSING = ["", "NA", "N/A", "#N/A", "NaN", "nan", "null", "NULL", "None", "n/a"]
@@ -310,8 +311,6 @@ def unpacked(path: str, to: str) -> list[str]:
     return sorted(os.path.join(root, n) for n in names)
 
 
-def with_positions(df: DataFrame, order: Column) -> DataFrame:
-    """Rows with a running number in the given order, for files whose order matters."""
-    from pyspark.sql import Window
-
-    return df.withColumn("row_no", F.row_number().over(Window.orderBy(order)))
+def with_positions(df: DataFrame, order: str) -> DataFrame:
+    """Rows with a running number in the order of a column, for files whose order matters."""
+    return numbered(df, order, "row_no", None)

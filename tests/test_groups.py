@@ -91,3 +91,14 @@ def test_profile(spark):
     got = {r["column_name"]: (r["n_rows"], r["n_filled"], r["n_distinct"]) for r in aggregates.column_profile(df, "t").collect()}
     assert got == {"x": (3, 2, 1), "y": (3, 2, 2)}
     assert Counter(r["column_name"] for r in aggregates.best_id_column(aggregates.column_profile(df, "t")).collect()) == Counter(["y"])
+
+
+def test_numbered_with_other_columns(spark):
+    """Ids are contiguous and distinct and classes equal, whatever columns are carried or read."""
+    n = 600_000
+    rows = spark.range(0, n, 1, 8).select((F.col("id") * 7919 % n).alias("k"), F.repeat(F.md5(F.col("id").cast("string")), 4).alias("payload"), F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("id") % 3 + 1).cast("int")).alias("label"))
+    got = windows.numbered(rows, "k", "id").agg(F.count_distinct("id"), F.min("id"), F.max("id"), F.count_distinct("payload"), F.sum((F.substring("id", 2, 8).cast("bigint") != F.col("k") + 1).cast("int"))).first()
+    assert tuple(got) == (n, "P00000001", f"P{n:08}", n, 0)
+    kept = windows.balanced(rows.filter("label <> 'c' or k % 2 = 0"), "label", "k")
+    by = {r["label"]: (r["n"], r["d"], r["m"]) for r in kept.groupBy("label").agg(F.count("*").alias("n"), F.count_distinct("rn").alias("d"), F.max("rn").alias("m")).collect()}
+    assert len(by) == 3 and len(set(by.values())) == 1 and all(a == b == c for a, b, c in by.values())
