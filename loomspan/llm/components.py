@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from loomspan.session import cut
 from loomspan.skew import salted_join
 
-#: A union-find holds at most about so many links at once.
-FOREST_LINKS = 1_500_000
+#: A union-find merges about so many links at once.
+FOREST_LINKS = 500_000
 
 # What stands for no identifier, compared like identifiers: upper case, no white space, - for _.
 NO_IDENTIFIER = ["", "NA", "N/A", "#N/A", "#NA", "N.A.", "NAN", "NULL", "NONE", "NIL", "UNKNOWN", "UNK", "UNASSIGNED", "UNDEFINED", "MISSING", "NOTAVAILABLE", "NOT-AVAILABLE", "NOTASSIGNED", "NOTAPPLICABLE", "NOID", "TBD", "ANONYMOUS"]
@@ -38,14 +38,25 @@ def _priority(nodes: np.ndarray, level: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _distinct(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct 128-bit nodes (rows of two numbers), and the place of each given node among them."""
+    order = np.lexsort((nodes[:, 1], nodes[:, 0]))
+    there = nodes[order]
+    new = np.ones(len(there), bool)
+    new[1:] = (there[1:] != there[:-1]).any(axis=1)
+    where = np.empty(len(there), np.int64)
+    where[order] = np.cumsum(new) - 1
+    return there[new], where
+
+
 def spanning_forest(a: np.ndarray, b: np.ndarray, level: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(node, root) for every node of the links: union-find with whole arrays.
+    """(nodes, roots) of the links between nodes a and b, 128-bit numbers as rows of two: union-find with whole arrays.
 
     Each round hooks the larger root of every link under the smallest root it meets, then halves paths until all nodes
     point at roots; links within one tree are dropped. The root of a tree is its node of least priority.
     """
-    nodes, where = np.unique(np.concatenate([a, b]), return_inverse=True)
-    order = np.argsort(_priority(nodes, level), kind="stable")
+    nodes, where = _distinct(np.concatenate([a, b]))
+    order = np.argsort(_priority(nodes[:, 0], level), kind="stable")
     rank = np.empty(len(nodes), np.int64)
     rank[order] = np.arange(len(nodes))
     u, v = rank[where[: len(a)]], rank[where[len(a) :]]
@@ -67,92 +78,151 @@ def spanning_forest(a: np.ndarray, b: np.ndarray, level: int = 0) -> tuple[np.nd
     return nodes, nodes[order[parent[rank]]]
 
 
-def _forests(level: int, limit: int):
+_LINK = "a1 bigint, a2 bigint, b1 bigint, b2 bigint"
+
+
+def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    column = lambda i: batch.column(i).to_numpy(zero_copy_only=False)
+    return np.stack([column(0), column(1)], axis=1), np.stack([column(2), column(3)], axis=1)
+
+
+def _batches(names: list[str], *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(columns[0]), 100_000):
+        yield pa.record_batch([pa.array(c[at : at + 100_000]) for c in columns], names=names)
+
+
+class _Forest:
+    """Links held as a spanning forest: whenever they are more than the limit, they are merged, and only the forest stays."""
+
+    def __init__(self, level: int, limit: int) -> None:
+        self.level, self.limit = level, limit
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.n = 0
+
+    def add(self, batch: pa.RecordBatch) -> bool:
+        """Whether the links have been merged now."""
+        self.held.append(_arrays(batch))
+        self.n += batch.num_rows
+        if self.n <= self.limit:
+            return False
+        self.held = [self.merged()]
+        self.n = len(self.held[0][0])
+        return True
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        return spanning_forest(np.concatenate([a for a, _ in self.held]), np.concatenate([b for _, b in self.held]), self.level)
+
+
+def _edge_forests(level: int, limit: int):
+    """Of an edge partition, as it lies, the spanning forest; of a very large one, several."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        n = 0
+        forest = _Forest(level, limit)
+        rows = lambda f: _batches(["a1", "a2", "b1", "b2"], f[0][:, 0], f[0][:, 1], f[1][:, 0], f[1][:, 1])
+        for batch in batches:
+            if batch.num_rows and forest.add(batch) and forest.n > limit // 2:  # the forest alone is as much as may be held
+                yield from rows(forest.held[0])
+                forest = _Forest(level, limit)
+        if forest.n:
+            yield from rows(forest.merged())
+
+    return run
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            return spanning_forest(np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held]), level)
 
-        def rows(forest: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(forest[0]), 100_000):
-                yield pa.record_batch([pa.array(forest[0][at : at + 100_000]), pa.array(forest[1][at : at + 100_000])], names=["node", "root"])
+def _merged_forests(level: int, limit: int):
+    """A partition of nodes with their roots from all edge partitions, merged: (node, head, False) for each node, and
+    (root, head, True) for each root that has another head here, which links this partition with the others."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest, own, ends = _Forest(level, limit), [], []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append((batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)))
-            n += batch.num_rows
-            if n > limit:
-                held = [merged()]
-                n = len(held[0][0])
-                if n > limit // 2:  # the forest alone is as much as may be held
-                    yield from rows(held[0])
-                    held, n = [], 0
-        if held:
-            yield from rows(merged())
+            if batch.num_rows:
+                a, b = _arrays(batch)
+                own.append(a)
+                ends.append(b)
+                forest.add(batch)
+        if not forest.n:
+            return
+        nodes, heads = forest.merged()
+        of = {True: _distinct(np.concatenate(ends))[0], False: _distinct(np.concatenate(own))[0]}
+        for is_link, kept in of.items():
+            places, where = _distinct(np.concatenate([nodes, kept]))
+            head = np.empty((len(places), 2), np.int64)
+            head[where[: len(nodes)]] = heads
+            top = head[where[len(nodes) :]]
+            if is_link:
+                apart = (kept != top).any(axis=1)
+                kept, top = kept[apart], top[apart]
+            yield from _batches(["a1", "a2", "b1", "b2", "is_link"], kept[:, 0], kept[:, 1], top[:, 0], top[:, 1], np.full(len(kept), is_link))
 
     return run
 
 
-def components(links: DataFrame, limit: int = FOREST_LINKS) -> DataFrame:
-    """(node, root): the component of every node of the links (a, b), both BIGINT.
+def components(links: DataFrame, limit: int = FOREST_LINKS, levels: list[int] | None = None) -> DataFrame:
+    """(a1, a2, b1, b2): the component (b1, b2) of every node (a1, a2) of the links (a1, a2, b1, b2), all BIGINT.
+
+    Union-find runs over each edge partition as it lies and keeps the spanning forest only. Forests are merged through as
+    many partitions, by hash of the node, as hold about ``limit`` rows each: there union-find runs again, each node gets its
+    head, and of the forests remain the roots that have different heads in different partitions, as links between roots
+    alone. They are the next level's graph, and a level of one partition leaves none. The order of roots changes at random
+    with each level, so that of roots with links at most half stay roots, in expectation; levels grow with the logarithm of
+    the links. A node with any share of all links leaves an edge partition as one row.
 
-    Union-find runs over each partition as it lies and keeps the spanning forest only. While the forests together exceed
-    ``limit``, they are merged through bounded partitions: a node's roots from all partitions are linked with the smallest
-    of them, which gives a graph of roots alone, smaller by at least a constant share in expectation (the roots' order
-    changes at random with each level); its components are found in the same way, and carried back. The last forest, within
-    the limit, is merged in one partition. A node with any share of all links leaves a partition as one row.
+    The same steps run at every size. ``levels``, if given, receives the number of merging partitions of each level.
     """
     named: list[DataFrame] = []
-    level = 0
-    graph = links.select("a", "b")
+    graph = links.select("a1", "a2", "b1", "b2")
     while True:
-        forest = cut(graph.mapInArrow(_forests(level, limit), "node bigint, root bigint"))
-        if forest.count() <= limit:
-            labels = cut(forest.coalesce(1).mapInArrow(_forests(level, limit * 4), "node bigint, root bigint"))
+        level = len(named)
+        forest = cut(graph.mapInArrow(_edge_forests(level, limit), _LINK))
+        parts = -(-max(1, forest.count()) // limit)
+        merged = cut(forest.repartition(parts, "a1", "a2").mapInArrow(_merged_forests(level, limit), _LINK + ", is_link boolean"))
+        named.append(merged.filter("not is_link").drop("is_link"))
+        if levels is not None:
+            levels.append(parts)
+        graph = merged.filter("is_link").drop("is_link")
+        if parts == 1 or graph.isEmpty():
             break
-        heads = cut(forest.groupBy("node").agg(F.min("root").alias("head")))
-        named.append(heads)
-        graph = forest.join(heads, "node").filter("root <> head").select(F.col("root").alias("a"), F.col("head").alias("b")).distinct()
-        level += 1
-    for heads in reversed(named):
-        above = labels.select(F.col("node").alias("head"), F.col("root").alias("top"))
-        labels = heads.join(above, "head", "left").select("node", F.coalesce("top", "head").alias("root"))
-    return cut(labels) if named else labels
+    labels = named.pop()
+    for below in reversed(named):
+        sizes = below.groupBy("b1", "b2").agg(F.count("*").alias("n"))
+        tops = sizes.join(labels.select(F.col("a1").alias("b1"), F.col("a2").alias("b2"), F.col("b1").alias("t1"), F.col("b2").alias("t2")), ["b1", "b2"], "left")
+        joined = salted_join(below, tops, ["b1", "b2"], F.col("a1"), "n", below.count())
+        labels = cut(joined.select("a1", "a2", F.coalesce("t1", "b1").alias("b1"), F.coalesce("t2", "b2").alias("b2")))
+    return labels
+
+
+def node(name: Column) -> tuple[Column, Column]:
+    """The two halves of an identifier's 128-bit number, hashes with different seeds."""
+    return F.xxhash64(name), F.xxhash64(F.lit(7), name)
 
 
 def link_rows(rows: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """(key, a, b): for every row the links of its first identifier with each of the others, by 64-bit hash."""
+    """(a1, a2, b1, b2): for every row the links of its first identifier with each of the others, as 128-bit nodes."""
     ids = F.array_compact(F.array(*[identifier(F.col(f)) for f in fields]))
     stars = rows.select(ids.alias("ids")).filter("size(ids) > 1")
-    stars = stars.select(F.transform("ids", lambda x: F.xxhash64(x)).alias("ids"))
-    return stars.select(F.col("ids")[0].alias("a"), F.explode(F.slice("ids", 2, len(fields))).alias("b")).filter("a <> b")
+    stars = stars.select(F.transform("ids", lambda x: F.struct(node(x)[0].alias("h1"), node(x)[1].alias("h2"))).alias("ids"))
+    pairs = stars.select(F.col("ids")[0].alias("a"), F.explode(F.slice("ids", 2, len(fields))).alias("b")).filter("a <> b")
+    return pairs.select(F.col("a.h1").alias("a1"), F.col("a.h2").alias("a2"), F.col("b.h1").alias("b1"), F.col("b.h2").alias("b2"))
 
 
-def linked_groups(rows: DataFrame, key: str = "patient_key", others: Sequence[str] = ("raw_value", "master_patient_id"), limit: int = FOREST_LINKS) -> DataFrame:
+def linked_groups(rows: DataFrame, key: str = "patient_key", others: Sequence[str] = ("raw_value", "master_patient_id"), limit: int = FOREST_LINKS, levels: list[int] | None = None) -> DataFrame:
     """(key, group_key): every distinct identifier of the key field with the smallest one, by bytes, that it is linked with.
 
     Identifiers of all fields are compared in upper case, without white space, with ``-`` for ``_``, and are one space of
     names. A row links all its identifiers; nulls, blanks and placeholders link nothing. An identifier without links has
     itself as group. Repeated rows change nothing, other columns are ignored, an empty input gives no rows.
 
-    Identifiers are nodes by 64-bit hash; should two of them share a hash (checked over all), the rows are refused rather
-    than joined wrongly. Groups of any size are safe: their smallest key is combined before it is sent, and the join that
-    hands it to the members is salted where a group is hot.
+    Identifiers are nodes by 128-bit hash (two seeded 64-bit hashes): even of a trillion identifiers two share one with a
+    chance below 1 in 10^14. Groups of any size are safe: their smallest key is combined before it is sent, and the join
+    that hands it to the members is salted where a group is hot.
     """
-    names = identifier(F.col(key)).alias("name")
-    keys = cut(rows.select(names).filter("name is not null").groupBy("name").agg(F.xxhash64("name").alias("node")))
-    every = rows.select(F.explode(F.array(*[identifier(F.col(f)) for f in (key, *others)])).alias("name")).filter("name is not null")
-    clash = every.groupBy(F.xxhash64("name").alias("h")).agg(F.min("name").alias("x"), F.max("name").alias("y")).filter("x <> y")
-    if not clash.isEmpty():
-        raise ValueError("two identifiers share a 64-bit hash")
-    labels = components(link_rows(rows, (key, *others)), limit)
-    members = cut(keys.join(labels, "node", "left").select("name", F.coalesce("root", "node").alias("root")))
-    heads = cut(members.groupBy("root").agg(F.min("name").alias("group_key"), F.count("*").alias("n")))
-    total = heads.agg(F.sum("n")).first()[0] or 0
-    return salted_join(members, heads, "root", F.col("name"), "n", total).select(F.col("name").alias(key), "group_key")
+    labels = components(link_rows(rows, (key, *others)), limit, levels)
+    names = rows.select(identifier(F.col(key)).alias("name")).filter("name is not null").distinct()
+    keys = names.select("name", *[h.alias(n) for h, n in zip(node(F.col("name")), ("a1", "a2"), strict=True)])
+    members = cut(keys.join(labels, ["a1", "a2"], "left").select("name", F.coalesce("b1", "a1").alias("r1"), F.coalesce("b2", "a2").alias("r2")))
+    heads = members.groupBy("r1", "r2").agg(F.min("name").alias("group_key"), F.count("*").alias("n"))
+    return salted_join(members, heads, ["r1", "r2"], F.col("name"), "n", members.count()).select(F.col("name").alias(key), "group_key")
 
 
 def group_sizes(groups: DataFrame) -> DataFrame:

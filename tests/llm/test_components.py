@@ -58,10 +58,27 @@ def test_random(spark, rows):
     assert run(spark, rows, limit=10) == brute(rows)
 
 
+def test_levels(spark):
+    """Links far beyond the limit are merged over several levels of bounded partitions; the groups stay the same."""
+    rows = [(f"r{i % 700}", f"k{i * 37 % 900}", f"m{i // 3}") for i in range(1500)] + [(f"s{i}", f"t{i}", f"s{i + 1}") for i in range(600)]
+    levels = []
+    assert run(spark, rows, limit=200, levels=levels) == brute(rows)
+    assert len(levels) >= 3 and levels[0] > 5 and levels[-1] == 1
+
+
+def test_equal_halves():
+    """Nodes that share one half of their number stay apart."""
+    a, b = np.array([[1, 1], [1, 2], [2, 1]]), np.array([[5, 1], [5, 2], [5, 1]])
+    nodes, roots = components.spanning_forest(a, b)
+    up = dict(zip(map(tuple, nodes.tolist()), map(tuple, roots.tolist()), strict=True))
+    assert len(up) == 5 and len(set(up.values())) == 2 and up[1, 1] == up[2, 1] == up[5, 1] != up[1, 2] == up[5, 2]
+
+
 def test_forest():
     rng = np.random.default_rng(5)
     a, b = rng.integers(0, 500, 400), rng.integers(0, 500, 400)
-    nodes, roots = components.spanning_forest(a, b, 3)
+    wide = lambda x: np.stack([x, x % 3], axis=1)
+    nodes, roots = (x[:, 0] for x in components.spanning_forest(wide(a), wide(b), 3))
     up = dict(zip(nodes.tolist(), roots.tolist(), strict=True))
     assert all(up[x] == up[y] for x, y in zip(a.tolist(), b.tolist(), strict=True)) and all(up[r] == r for r in up.values())
     links = {}
