@@ -11,14 +11,32 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Of one radix partition so much is aggregated at once; a larger one is split by further hash bits first.
-PARTITION_BYTES = 64 << 20
+from loomspan.session import cut
+
+#: Of one radix partition so much is aggregated at once, little enough that its hash tables stay in a core's cache; a larger
+#: one is split by further hash bits first.
+PARTITION_BYTES = 4 << 20
 #: Hash bits per level of splitting.
 RADIX_BITS = 4
 #: What one aggregation may hold in memory before it spills by itself.
 AGGREGATE_MEMORY = "192MB"
 
-_PARTIAL = "term string, source_file string, freq bigint"
+#: A term with more than this share of all rows is hot: its rows are spread over all partitions.
+HOT_SHARE = 0.001
+#: Counters of the search for hot terms; it errs by at most one in so many rows, so few enough terms are hot.
+COUNTERS = 4000
+
+_PARTIAL = "term string, source_file string, freq bigint, n_files bigint, hot boolean"
+_ONCE = """SELECT term, source_file, freq, hot FROM (
+               SELECT term, source_file, hot, max(freq) AS freq FROM rows WHERE occ_id IS NOT NULL GROUP BY occ_id, term, source_file, hot
+               UNION ALL SELECT term, source_file, hot, freq FROM rows WHERE occ_id IS NULL)"""
+#: What a radix partition is aggregated to: of occurrences the final row of each term, or, of hot terms, one by source file;
+#: of those the share of this partition in the term.
+_OCCURRENCES = f"""WITH once AS ({_ONCE})
+    SELECT term, NULL AS source_file, sum(freq) AS freq, count(DISTINCT source_file) AS n_files, false AS hot FROM once WHERE NOT hot GROUP BY term
+    UNION ALL SELECT term, source_file, sum(freq), NULL, true FROM once WHERE hot GROUP BY term, source_file"""
+_BY_FILE = """SELECT term, NULL AS source_file, sum(freq) AS freq, count(source_file) AS n_files, true AS hot
+    FROM (SELECT term, source_file, sum(freq) AS freq FROM rows GROUP BY term, source_file) GROUP BY term"""
 
 
 def term_key(term: Column) -> Column:
@@ -29,21 +47,16 @@ def term_key(term: Column) -> Column:
 
 def _scratch() -> str:
     """A folder of this task's own on the executor's spill disk; it holds nothing that another task needs."""
-    local = (os.environ.get("LOCAL_DIRS") or os.environ.get("SPARK_LOCAL_DIRS") or "").split(",")[0]
-    return tempfile.mkdtemp(prefix="radix-", dir=local if local and os.path.isdir(local) else None)
+    local = next((d for d in (os.environ.get("LOCAL_DIRS") or os.environ.get("SPARK_LOCAL_DIRS") or "").split(",") if os.path.isdir(d)), None)
+    return tempfile.mkdtemp(prefix="radix-", dir=local)
 
 
-def _aggregate(rows: pa.Table, folder: str) -> pa.Table:
+def _aggregate(rows: pa.Table, folder: str, sql: str) -> pa.Table:
     import duckdb
 
     with duckdb.connect(config={"memory_limit": AGGREGATE_MEMORY, "threads": 1, "temp_directory": folder, "preserve_insertion_order": False}) as db:
         db.register("rows", rows)
-        return db.sql(
-            """SELECT term, source_file, CAST(sum(freq) AS BIGINT) AS freq FROM (
-                   SELECT term, source_file, max(freq) AS freq FROM rows WHERE occ_id IS NOT NULL GROUP BY occ_id, term, source_file
-                   UNION ALL SELECT term, source_file, freq FROM rows WHERE occ_id IS NULL
-               ) GROUP BY term, source_file"""
-        ).to_arrow_table()
+        return db.sql(sql).to_arrow_table()
 
 
 class _Spill:
@@ -81,19 +94,19 @@ class _Spill:
             os.remove(self.path(b))
 
 
-def _drain(spill: _Spill, folder: str, limit: int) -> Iterator[pa.Table]:
+def _drain(spill: _Spill, folder: str, limit: int, sql: str) -> Iterator[pa.Table]:
     for size, rows in spill.parts():
-        if size <= limit or RADIX_BITS * (spill.level + 2) > 48:
-            yield _aggregate(rows, folder)
+        if size <= limit or RADIX_BITS * (spill.level + 2) > 64:
+            yield _aggregate(rows, folder, sql)
         else:
             deeper = _Spill(folder, spill.level + 1)
             for batch in rows.to_batches(max_chunksize=50_000):
                 deeper.add(batch)
             del rows
-            yield from _drain(deeper, folder, limit)
+            yield from _drain(deeper, folder, limit, sql)
 
 
-def _radix_aggregate(limit: int):
+def _radix_aggregate(limit: int, sql: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         folder = _scratch()
         try:
@@ -108,20 +121,50 @@ def _radix_aggregate(limit: int):
                     spill.add(pa.Table.from_batches(held).combine_chunks())
                     held, held_bytes = [], 0
             if spill is None:
-                tables = iter([_aggregate(pa.Table.from_batches(held), folder)] if held else [])
+                tables = iter([_aggregate(pa.Table.from_batches(held), folder, sql)] if held else [])
             else:
                 if held:
                     spill.add(pa.Table.from_batches(held).combine_chunks())
-                tables = _drain(spill, folder, limit)
+                tables = _drain(spill, folder, limit, sql)
+            schema = pa.schema([("term", pa.string()), ("source_file", pa.string()), ("freq", pa.int64()), ("n_files", pa.int64()), ("hot", pa.bool_())])
             for table in tables:
-                yield from table.cast(pa.schema([("term", pa.string()), ("source_file", pa.string()), ("freq", pa.int64())])).to_batches(max_chunksize=50_000)
+                yield from table.cast(schema).to_batches(max_chunksize=50_000)
         finally:
             shutil.rmtree(folder, ignore_errors=True)
 
     return run
 
 
-def term_frequencies(occurrences: DataFrame, rare: int = 3, common: float = 0.5, partition_bytes: int = PARTITION_BYTES) -> DataFrame:
+def _heavy(counters: int):
+    """Of each partition the counters of the most frequent hashes (Misra and Gries), each short by at most rows / counters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        for batch in batches:
+            new, n = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_counts=True)
+            keys, where = np.unique(np.concatenate([keys, new]), return_inverse=True)
+            counts = np.bincount(where, np.concatenate([counts, n]), len(keys)).astype(np.int64)
+            if len(keys) > counters:
+                counts = counts - np.partition(counts, -counters - 1)[-counters - 1]
+                keys, counts = keys[counts > 0], counts[counts > 0]
+        yield pa.record_batch([pa.array(keys), pa.array(counts)], names=["h", "n"])
+
+    return run
+
+
+def hot_hashes(hashes: DataFrame, share: float = HOT_SHARE, counters: int = COUNTERS) -> list[int]:
+    """The hashes (column h) that more than the share of all rows have, and perhaps some nearly as frequent ones.
+
+    All rows are counted, with a bounded number of counters a partition. At most 1 / (share - 1 / counters) are returned.
+    """
+    total = hashes.count()
+    per = hashes.select("h").mapInArrow(_heavy(counters), "h bigint, n bigint")
+    return [r["h"] for r in per.groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") > total * (share - 1 / counters)).collect()]
+
+
+def term_frequencies(occurrences: DataFrame, rare: int = 3, common: float = 0.5, partition_bytes: int = PARTITION_BYTES, hot_share: float = HOT_SHARE) -> DataFrame:
     """(term, freq, n_files, rare, common): every distinct term with its total freq and number of source files.
 
     Terms are compared in lower case, trimmed, with single blanks; null and blank terms are left out. Rows with one occ_id
@@ -130,23 +173,27 @@ def term_frequencies(occurrences: DataFrame, rare: int = 3, common: float = 0.5,
     the share ``common`` of all distinct non-null source files of the whole input, those of blank terms included. Other
     columns are ignored; an empty input gives no rows; texts of any length are terms like others.
 
-    Terms are partitioned by hash bits of term, file and a salt from occ_id, so that redelivered rows meet and a term that
-    holds a third of all rows is spread over all partitions. Within a task, rows beyond partition_bytes go to disk by four
-    further hash bits at a time until each part is small enough for one out-of-core aggregation. What leaves the tasks is
-    combined by (term, file), then by term, each combined before it is sent.
+    Terms are partitioned by hash. Within a task, rows beyond partition_bytes go to disk by four hash bits at a time until
+    each part is small enough for one out-of-core aggregation, which gives the term's final row. Only hot terms, those with
+    more than ``hot_share`` of all rows (found first, by a bounded summary of all rows), are spread: a salt from occ_id, so
+    that redelivered rows still meet, joins their hash; what leaves the tasks, one row a file, goes through the same
+    aggregation by hash of term and file, and the shares of a hot term (one a partition) are added up.
     """
     spark = occurrences.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = occurrences.select(F.col("occ_id").cast("bigint").alias("occ_id"), term_key(F.col("term")).alias("term"), "source_file", F.coalesce(F.col("freq").cast("bigint"), F.lit(1)).alias("freq"))
-    rows = rows.filter("term is not null")
+    rows = rows.filter("term is not null").withColumn("h", F.xxhash64("term"))
+    hot = hot_hashes(rows.select("h"), hot_share)
     salt = F.when(F.col("occ_id").isNull(), F.floor(F.rand(7) * parts)).otherwise(F.pmod(F.xxhash64("occ_id"), F.lit(parts)))
-    rows = rows.withColumn("h", F.shiftrightunsigned(F.xxhash64("term", "source_file", salt), 1))
-    spread = rows.repartition(parts, F.shiftright("h", 48))
-    partial = spread.mapInArrow(_radix_aggregate(partition_bytes), _PARTIAL)
-    by_file = partial.groupBy("term", "source_file").agg(F.sum("freq").alias("freq"))
-    terms = by_file.groupBy("term").agg(F.sum("freq").alias("freq"), F.count("source_file").alias("n_files"))
+    rows = rows.withColumn("hot", F.col("h").isin(hot)).withColumn("h", F.when(F.col("hot"), F.xxhash64("h", salt)).otherwise(F.col("h")))
+    first = rows.repartition(parts, "h").mapInArrow(_radix_aggregate(partition_bytes, _OCCURRENCES), _PARTIAL)
+    if hot:
+        first = cut(first)
+        by_file = first.filter("hot").drop("n_files").withColumn("h", F.xxhash64("term", "source_file")).repartition(parts, "h")
+        shares = by_file.mapInArrow(_radix_aggregate(partition_bytes, _BY_FILE), _PARTIAL)
+        first = first.filter("not hot").unionByName(shares.groupBy("term").agg(F.sum("freq").alias("freq"), F.sum("n_files").alias("n_files")), allowMissingColumns=True)
     files = occurrences.agg(F.count_distinct("source_file").alias("all_files"))
-    marked = terms.join(F.broadcast(files), how="cross")  # one row, by construction
+    marked = first.join(F.broadcast(files), how="cross")  # one row, by construction
     return marked.select("term", "freq", "n_files", (F.col("freq") <= rare).alias("rare"), (F.col("n_files") > F.col("all_files") * common).alias("common"))
 
 

@@ -43,6 +43,17 @@ def test_equals_brute_force(spark, rows, limit):
     assert run(spark, rows, partition_bytes=limit) == brute(rows)
 
 
+def test_hot_terms(spark):
+    """Terms that hold much of all rows are found, spread, and counted like others."""
+    rng = random.Random(9)
+    rows = [(i, "hot" if i % 3 == 0 else "warm" if i % 20 == 1 else f"t{rng.randrange(3000)}", f"f{rng.randrange(30)}", rng.choice([None, 1, 5])) for i in range(20_000)]
+    rows += rows[::7] + [(None, "hot", "f1", 2)] * 500
+    hashes = spark.createDataFrame([(hash(r[1]) % 1000003,) for r in rows], "h bigint")
+    assert {hash("hot") % 1000003, hash("warm") % 1000003} == set(frequency.hot_hashes(hashes, 0.02))
+    for limit in (frequency.PARTITION_BYTES, 20_000):
+        assert run(spark, rows, partition_bytes=limit, hot_share=0.02) == brute(rows)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 20)), st.sampled_from([None, "", "a", "A ", "b c", "b c", "é"]), st.sampled_from([None, "", "f", "g"]), st.one_of(st.none(), st.integers(0, 4))), max_size=30))
 def test_random(spark, rows):
