@@ -51,12 +51,21 @@ def _scratch() -> str:
     return tempfile.mkdtemp(prefix="radix-", dir=local)
 
 
-def _aggregate(rows: pa.Table, folder: str, sql: str) -> pa.Table:
-    import duckdb
+class _Aggregate:
+    """Aggregations of tables in memory that spill into the folder; one database for all of a task."""
 
-    with duckdb.connect(config={"memory_limit": AGGREGATE_MEMORY, "threads": 1, "temp_directory": folder, "preserve_insertion_order": False}) as db:
-        db.register("rows", rows)
-        return db.sql(sql).to_arrow_table()
+    def __init__(self, folder: str, sql: str) -> None:
+        import duckdb
+
+        self.sql = sql
+        self.db = duckdb.connect(config={"memory_limit": AGGREGATE_MEMORY, "threads": 1, "temp_directory": folder, "preserve_insertion_order": False})
+
+    def __call__(self, rows: pa.Table) -> pa.Table:
+        self.db.register("rows", rows)
+        try:
+            return self.db.sql(self.sql).to_arrow_table()
+        finally:
+            self.db.unregister("rows")
 
 
 class _Spill:
@@ -94,22 +103,23 @@ class _Spill:
             os.remove(self.path(b))
 
 
-def _drain(spill: _Spill, folder: str, limit: int, sql: str) -> Iterator[pa.Table]:
+def _drain(spill: _Spill, folder: str, limit: int, aggregate: _Aggregate) -> Iterator[pa.Table]:
     for size, rows in spill.parts():
         if size <= limit or RADIX_BITS * (spill.level + 2) > 64:
-            yield _aggregate(rows, folder, sql)
+            yield aggregate(rows)
         else:
             deeper = _Spill(folder, spill.level + 1)
             for batch in rows.to_batches(max_chunksize=50_000):
                 deeper.add(batch)
             del rows
-            yield from _drain(deeper, folder, limit, sql)
+            yield from _drain(deeper, folder, limit, aggregate)
 
 
 def _radix_aggregate(limit: int, sql: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         folder = _scratch()
         try:
+            aggregate = _Aggregate(folder, sql)
             held, held_bytes, spill = [], 0, None
             for batch in batches:
                 if not batch.num_rows:
@@ -121,14 +131,15 @@ def _radix_aggregate(limit: int, sql: str):
                     spill.add(pa.Table.from_batches(held).combine_chunks())
                     held, held_bytes = [], 0
             if spill is None:
-                tables = iter([_aggregate(pa.Table.from_batches(held), folder, sql)] if held else [])
+                tables = iter([aggregate(pa.Table.from_batches(held))] if held else [])
             else:
                 if held:
                     spill.add(pa.Table.from_batches(held).combine_chunks())
-                tables = _drain(spill, folder, limit, sql)
+                tables = _drain(spill, folder, limit, aggregate)
             schema = pa.schema([("term", pa.string()), ("source_file", pa.string()), ("freq", pa.int64()), ("n_files", pa.int64()), ("hot", pa.bool_())])
             for table in tables:
                 yield from table.cast(schema).to_batches(max_chunksize=50_000)
+            aggregate.db.close()
         finally:
             shutil.rmtree(folder, ignore_errors=True)
 
@@ -136,20 +147,22 @@ def _radix_aggregate(limit: int, sql: str):
 
 
 def _heavy(counters: int):
-    """Of each partition the counters of the most frequent hashes (Misra and Gries), each short by at most rows / counters."""
+    """Of each partition the counters of the most frequent hashes (Misra and Gries), each short by at most rows / counters,
+    and, under null, its number of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        keys, counts, rows = np.empty(0, np.int64), np.empty(0, np.int64), 0
         for batch in batches:
+            rows += batch.num_rows
             new, n = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_counts=True)
             keys, where = np.unique(np.concatenate([keys, new]), return_inverse=True)
             counts = np.bincount(where, np.concatenate([counts, n]), len(keys)).astype(np.int64)
             if len(keys) > counters:
                 counts = counts - np.partition(counts, -counters - 1)[-counters - 1]
                 keys, counts = keys[counts > 0], counts[counts > 0]
-        yield pa.record_batch([pa.array(keys), pa.array(counts)], names=["h", "n"])
+        yield pa.record_batch([pa.array([*keys.tolist(), None], pa.int64()), pa.array([*counts.tolist(), rows], pa.int64())], names=["h", "n"])
 
     return run
 
@@ -159,9 +172,9 @@ def hot_hashes(hashes: DataFrame, share: float = HOT_SHARE, counters: int = COUN
 
     All rows are counted, with a bounded number of counters a partition. At most 1 / (share - 1 / counters) are returned.
     """
-    total = hashes.count()
-    per = hashes.select("h").mapInArrow(_heavy(counters), "h bigint, n bigint")
-    return [r["h"] for r in per.groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") > total * (share - 1 / counters)).collect()]
+    per = cut(hashes.select("h").mapInArrow(_heavy(counters), "h bigint, n bigint"))
+    total = per.filter("h is null").agg(F.sum("n")).first()[0] or 0
+    return [r["h"] for r in per.filter("h is not null").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") > total * (share - 1 / counters)).collect()]
 
 
 def term_frequencies(occurrences: DataFrame, rare: int = 3, common: float = 0.5, partition_bytes: int = PARTITION_BYTES, hot_share: float = HOT_SHARE) -> DataFrame:
