@@ -19,14 +19,16 @@ FOREST_LINKS = 500_000
 NO_IDENTIFIER = ["", "NA", "N/A", "#N/A", "#NA", "N.A.", "NAN", "NULL", "NONE", "NIL", "UNKNOWN", "UNK", "UNASSIGNED", "UNDEFINED", "MISSING", "NOTAVAILABLE", "NOT-AVAILABLE", "NOTASSIGNED", "NOTAPPLICABLE", "NOID", "TBD", "ANONYMOUS"]
 
 
-def identifier(raw: Column) -> Column:
-    """An identifier as it is compared; null for nulls, blanks and placeholders.
+def with_identifiers(rows: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """(_i0, _i1, ...): the identifiers of the fields as they are compared; null for nulls, blanks and placeholders.
 
     Placeholders are the words of NO_IDENTIFIER, anything without letters and digits, and zeros alone or after one letter
-    (0, P00000000): a counter that was never set.
+    (0, P00000000): a counter that was never set. The compared form is a projection of its own, evaluated once.
     """
-    key = F.replace(F.regexp_replace(F.upper(raw), r"(?U)\s+", ""), F.lit("_"), F.lit("-"))
-    return F.when(~key.isin(NO_IDENTIFIER) & key.rlike(r"[\p{L}\p{N}]") & ~key.rlike(r"^[A-Z]?[-]?0+$"), key)
+    plain = lambda c: F.replace(F.regexp_replace(F.upper(c), r"(?U)\s+", ""), F.lit("_"), F.lit("-"))
+    keys = rows.select(*[plain(rows[f].cast("string")).alias(f"_i{i}") for i, f in enumerate(fields)])
+    names = lambda c: F.when(~c.isin(NO_IDENTIFIER) & c.rlike(r"[\p{L}\p{N}]") & ~c.rlike(r"^[A-Z]?[-]?0+$"), c)
+    return keys.select(*[names(F.col(c)).alias(c) for c in keys.columns])
 
 
 def _priority(nodes: np.ndarray, level: int) -> np.ndarray:
@@ -158,38 +160,44 @@ def _merged_forests(level: int, limit: int):
     return run
 
 
-def components(links: DataFrame, limit: int = FOREST_LINKS, levels: list[int] | None = None) -> DataFrame:
-    """(a1, a2, b1, b2): the component (b1, b2) of every node (a1, a2) of the links (a1, a2, b1, b2), all BIGINT.
+def forest_levels(links: DataFrame, limit: int = FOREST_LINKS, sizes: list[int] | None = None) -> list[DataFrame]:
+    """Tables (a1, a2, b1, b2), written: the head (b1, b2) of every node (a1, a2) of the links, then of every head that another
+    one lies above, and so on; a head that is no node of the table above is a root. All columns are BIGINT.
 
     Union-find runs over each edge partition as it lies and keeps the spanning forest only. Forests are merged through as
     many partitions, by hash of the node, as hold about ``limit`` rows each: there union-find runs again, each node gets its
     head, and of the forests remain the roots that have different heads in different partitions, as links between roots
     alone. They are the next level's graph, and a level of one partition leaves none. The order of roots changes at random
     with each level, so that of roots with links at most half stay roots, in expectation; levels grow with the logarithm of
-    the links. A node with any share of all links leaves an edge partition as one row.
+    the links. A node with any share of all links leaves an edge partition as one row; a component has at most one head in
+    each merging partition.
 
-    The same steps run at every size. ``levels``, if given, receives the number of merging partitions of each level.
+    The same steps run at every size. ``sizes``, if given, receives the number of merging partitions of each level.
     """
-    named: list[DataFrame] = []
+    levels: list[DataFrame] = []
     graph = links.select("a1", "a2", "b1", "b2")
     while True:
-        level = len(named)
+        level = len(levels)
         forest = cut(graph.mapInArrow(_edge_forests(level, limit), _LINK))
         parts = -(-max(1, forest.count()) // limit)
         merged = cut(forest.repartition(parts, "a1", "a2").mapInArrow(_merged_forests(level, limit), _LINK + ", is_link boolean"))
-        named.append(merged.filter("not is_link").drop("is_link"))
-        if levels is not None:
-            levels.append(parts)
+        levels.append(merged.filter("not is_link").drop("is_link"))
+        if sizes is not None:
+            sizes.append(parts)
         graph = merged.filter("is_link").drop("is_link")
         if parts == 1 or graph.isEmpty():
-            break
-    labels = named.pop()
-    for below in reversed(named):
-        sizes = below.groupBy("b1", "b2").agg(F.count("*").alias("n"))
-        tops = sizes.join(labels.select(F.col("a1").alias("b1"), F.col("a2").alias("b2"), F.col("b1").alias("t1"), F.col("b2").alias("t2")), ["b1", "b2"], "left")
-        joined = salted_join(below, tops, ["b1", "b2"], F.col("a1"), "n", below.count())
-        labels = cut(joined.select("a1", "a2", F.coalesce("t1", "b1").alias("b1"), F.coalesce("t2", "b2").alias("b2")))
-    return labels
+            return levels
+
+
+def _above(levels: list[DataFrame]) -> DataFrame:
+    """(b1, b2, t1, t2): the root (t1, t2) of every node (b1, b2) of the first of the levels."""
+    names = ("b1", "b2", "t1", "t2")
+    top = levels[-1].toDF(*names)
+    for below in reversed(levels[:-1]):
+        counts = below.groupBy("b1", "b2").agg(F.count("*").alias("n")).join(top, ["b1", "b2"], "left")
+        joined = salted_join(below, counts, ["b1", "b2"], F.col("a1"), "n", below.count())
+        top = cut(joined.select("a1", "a2", F.coalesce("t1", "b1"), F.coalesce("t2", "b2")).toDF(*names))
+    return top
 
 
 def node(name: Column) -> tuple[Column, Column]:
@@ -199,14 +207,14 @@ def node(name: Column) -> tuple[Column, Column]:
 
 def link_rows(rows: DataFrame, fields: Sequence[str]) -> DataFrame:
     """(a1, a2, b1, b2): for every row the links of its first identifier with each of the others, as 128-bit nodes."""
-    ids = F.array_compact(F.array(*[identifier(F.col(f)) for f in fields]))
-    stars = rows.select(ids.alias("ids")).filter("size(ids) > 1")
+    ids = with_identifiers(rows, fields)
+    stars = ids.select(F.array_compact(F.array(*ids.columns)).alias("ids")).filter("size(ids) > 1")
     stars = stars.select(F.transform("ids", lambda x: F.struct(node(x)[0].alias("h1"), node(x)[1].alias("h2"))).alias("ids"))
     pairs = stars.select(F.col("ids")[0].alias("a"), F.explode(F.slice("ids", 2, len(fields))).alias("b")).filter("a <> b")
     return pairs.select(F.col("a.h1").alias("a1"), F.col("a.h2").alias("a2"), F.col("b.h1").alias("b1"), F.col("b.h2").alias("b2"))
 
 
-def linked_groups(rows: DataFrame, key: str = "patient_key", others: Sequence[str] = ("raw_value", "master_patient_id"), limit: int = FOREST_LINKS, levels: list[int] | None = None) -> DataFrame:
+def linked_groups(rows: DataFrame, key: str = "patient_key", others: Sequence[str] = ("raw_value", "master_patient_id"), limit: int = FOREST_LINKS, sizes: list[int] | None = None) -> DataFrame:
     """(key, group_key): every distinct identifier of the key field with the smallest one, by bytes, that it is linked with.
 
     Identifiers of all fields are compared in upper case, without white space, with ``-`` for ``_``, and are one space of
@@ -214,15 +222,19 @@ def linked_groups(rows: DataFrame, key: str = "patient_key", others: Sequence[st
     itself as group. Repeated rows change nothing, other columns are ignored, an empty input gives no rows.
 
     Identifiers are nodes by 128-bit hash (two seeded 64-bit hashes): even of a trillion identifiers two share one with a
-    chance below 1 in 10^14. Groups of any size are safe: their smallest key is combined before it is sent, and the join
-    that hands it to the members is salted where a group is hot.
+    chance below 1 in 10^14. Groups of any size are safe: their smallest key is found by head (combined before it is sent),
+    then by root (a root has at most one head in each merging partition), and the join that hands it to the members is
+    salted where a head is hot.
     """
-    labels = components(link_rows(rows, (key, *others)), limit, levels)
-    names = rows.select(identifier(F.col(key)).alias("name")).filter("name is not null").distinct()
+    base, *upper = forest_levels(link_rows(rows, (key, *others)), limit, sizes)
+    names = with_identifiers(rows, [key]).select(F.col("_i0").alias("name")).filter("name is not null").distinct()
     keys = names.select("name", *[h.alias(n) for h, n in zip(node(F.col("name")), ("a1", "a2"), strict=True)])
-    members = cut(keys.join(labels, ["a1", "a2"], "left").select("name", F.coalesce("b1", "a1").alias("r1"), F.coalesce("b2", "a2").alias("r2")))
-    heads = members.groupBy("r1", "r2").agg(F.min("name").alias("group_key"), F.count("*").alias("n"))
-    return salted_join(members, heads, ["r1", "r2"], F.col("name"), "n", members.count()).select(F.col("name").alias(key), "group_key")
+    members = cut(keys.join(base, ["a1", "a2"], "left").select("name", F.coalesce("b1", "a1").alias("b1"), F.coalesce("b2", "a2").alias("b2")))
+    heads = members.groupBy("b1", "b2").agg(F.min("name").alias("group_key"), F.count("*").alias("n"))
+    if upper:
+        heads = cut(heads.join(_above(upper), ["b1", "b2"], "left").withColumns({"t1": F.coalesce("t1", "b1"), "t2": F.coalesce("t2", "b2")}))
+        heads = heads.drop("group_key").join(heads.groupBy("t1", "t2").agg(F.min("group_key").alias("group_key")), ["t1", "t2"]).drop("t1", "t2")
+    return salted_join(members, heads, ["b1", "b2"], F.col("name"), "n", members.count()).select(F.col("name").alias(key), "group_key")
 
 
 def group_sizes(groups: DataFrame) -> DataFrame:

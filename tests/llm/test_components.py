@@ -62,7 +62,7 @@ def test_levels(spark):
     """Links far beyond the limit are merged over several levels of bounded partitions; the groups stay the same."""
     rows = [(f"r{i % 700}", f"k{i * 37 % 900}", f"m{i // 3}") for i in range(1500)] + [(f"s{i}", f"t{i}", f"s{i + 1}") for i in range(600)]
     levels = []
-    assert run(spark, rows, limit=200, levels=levels) == brute(rows)
+    assert run(spark, rows, limit=200, sizes=levels) == brute(rows)
     assert len(levels) >= 3 and levels[0] > 5 and levels[-1] == 1
 
 
