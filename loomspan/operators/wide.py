@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomspan.session import write_out
-
 # Texts that stand for a missing value, compared trimmed and in lower case.
 PLACEHOLDER_TEXTS = ["", "-", "--", ".", "?", "#n/a", "#na", "n/a", "na", "n.a.", "nan", "null", "none", "nil", "missing", "unknown", "unk", "not done", "not available", "not applicable", "nd", "tbd", "-9999", "-9999.0"]
 # Numbers that stand for a missing value.
@@ -21,8 +22,8 @@ FALSE_TEXTS = ["false", "f", "no", "n", "nein", "non", "negative", "negativ", "n
 # Fixed values: (unit as written, unit of the codebook, factor), units in lower case.
 UNIT_FACTORS = [("cm", "mm", 10.0), ("µm", "nm", 1000.0), ("um", "nm", 1000.0), ("g", "mg", 1000.0), ("µg", "mg", 0.001), ("ug", "mg", 0.001), ("v", "mv", 1000.0)]
 
-#: Up to so many distinct attribute signatures each get a dense table of their own; beyond it, signatures are merged.
-MAX_TABLES = 32
+#: So many cells of the united table are laid out at once.
+LAID_OUT = 2_000_000
 #: A codebook larger than this is refused: its entries are the columns of the result.
 MAX_ATTRIBUTES = 5000
 
@@ -85,7 +86,7 @@ def parse_number(rows: DataFrame, text: str, factors: str, to: str) -> DataFrame
 
 
 def typed_values(facts: DataFrame, book: list[Attribute]) -> DataFrame:
-    """Rows (entity, slot, at, tie, num, txt) of the facts about an attribute of the codebook.
+    """Rows (entity, slot, at, tie, num, txt) of the facts; slot is the attribute's place in the codebook, null if it has none.
 
     Booleans are 0 and 1 in num. Null values, placeholders, and texts that aren't of the attribute's kind carry no value:
     num and txt are null then. They aren't filtered here, since that would evaluate the parsing twice.
@@ -97,7 +98,7 @@ def typed_values(facts: DataFrame, book: list[Attribute]) -> DataFrame:
         F.col("sample_id").alias("entity"), F.coalesce(attribute_key(F.col("feature")), F.lit("")).alias("_key"), F.col("value_num").cast("double").alias("_num"),
         F.col("value_txt").alias("_raw"), F.lower(F.trim(F.regexp_replace("value_txt", r"(?U)\s+", " "))).alias("_txt"), F.col("measured_at").alias("at"), F.struct("loaded_at", "fact_id").alias("tie"),
     )
-    rows = rows.join(F.broadcast(entries), "_key")
+    rows = rows.join(F.broadcast(entries), "_key", "left")
     no_number = F.isnan("_num") | F.col("_num").isin(PLACEHOLDER_NUMBERS) | (F.abs("_num") == float("inf"))
     rows = rows.withColumns({"_num": F.when(~no_number, F.col("_num")), "_txt": F.when(~F.col("_txt").isin(PLACEHOLDER_TEXTS), F.col("_txt"))})
     rows = rows.withColumn("_raw", F.when(F.col("_txt").isNotNull() & F.col("_num").isNull() & (F.col("_kind") == "numeric"), F.col("_raw")))
@@ -113,15 +114,42 @@ def typed_values(facts: DataFrame, book: list[Attribute]) -> DataFrame:
     return rows.select("entity", "slot", "at", "tie", (num + 0.0).alias("num"), txt.alias("txt"))
 
 
-def _wide_row(cells: Column, book: list[Attribute]) -> list[Column]:
-    out = []
-    for i, a in enumerate(book):
-        cell = F.try_element_at(cells, F.lit(i))
-        out.append((cell["num"] if a.kind == "numeric" else (cell["num"] == 1.0) if a.kind == "boolean" else cell["txt"]).alias(a.name))
-    return out
-
+def _united(names: list[str], kinds: list[str]):
+    """Rows (sample_id, signature, cells), sorted by signature, to rows of the united table.
 
-def wide_table(facts: DataFrame, dictionary: DataFrame, max_tables: int = MAX_TABLES) -> DataFrame:
+    Rows of one signature form a dense table: their cells lie row by row, one for each attribute of the set and no others.
+    Each such table has its columns placed among all columns, by attribute; columns that a set lacks are null.
+    """
+    width = len(names)
+
+    def laid_out(ids: pa.Array, signatures: pa.Array, cells: pa.ListArray) -> pa.RecordBatch:
+        n, flat = len(ids), cells.flatten()
+        slots, numbers, texts = flat.field(0).to_numpy(zero_copy_only=False), flat.field(1), flat.field(2)
+        lengths = pc.list_value_length(cells).to_numpy(zero_copy_only=False)
+        starts = np.concatenate([[0], np.cumsum(lengths)])
+        edges = np.flatnonzero(pc.not_equal(signatures[1:], signatures[:-1]).to_numpy(zero_copy_only=False)) + 1
+        at = np.full((n, width), -1, np.int64)
+        for first, last in zip([0, *edges.tolist()], [*edges.tolist(), n], strict=True):
+            if (k := lengths[first]) > 0:
+                low = starts[first]
+                dense = np.arange(low, starts[last]).reshape(last - first, k)
+                at[first:last, slots[low : low + k]] = dense
+        columns = [ids]
+        for j, kind in enumerate(kinds):
+            where = pa.array(at[:, j], mask=at[:, j] < 0)
+            columns.append(numbers.take(where) if kind == "numeric" else pc.equal(numbers.take(where), 1.0) if kind == "boolean" else texts.take(where))
+        return pa.record_batch(columns, names=["sample_id", *names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, LAID_OUT // width)
+        for batch in batches:
+            for low in range(0, batch.num_rows, step):
+                yield laid_out(*(c.slice(low, step) for c in batch.columns))
+
+    return run
+
+
+def wide_table(facts: DataFrame, dictionary: DataFrame) -> DataFrame:
     """One row per sample_id with one typed column per attribute of the codebook, null where the sample has no value.
 
     The value with the latest measured_at counts; ties go to the latest loaded_at, then the largest fact_id; a null
@@ -130,51 +158,25 @@ def wide_table(facts: DataFrame, dictionary: DataFrame, max_tables: int = MAX_TA
     (unknown_attributes lists them); columns that the facts have beside those named are ignored. Numbers are DOUBLE,
     boolean attributes BOOLEAN, all others STRING (lower case, trimmed, single blanks).
 
-    Entities are grouped by characteristic set (the exact set of attributes they have). While the facts have at most
-    max_tables such sets, each gets a dense table with just its columns. Real stores can have as many sets as entities;
-    then sets are merged by their pattern over the few attributes whose presence is nearest to one half, so that there are
-    at most max_tables merged sets, each with the columns its members have. The tables are written side by side, one
-    folder a set, and united by name with missing columns allowed, each read with its own columns only.
+    Entities are grouped by characteristic set, the exact set of attributes that they have values of: within a partition
+    their rows are sorted by that signature, each signature's rows make a dense table with just its columns, and the tables
+    are united by name with missing columns null. Any number of sets will do; real stores can have as many as entities. Sets
+    aren't brought together across partitions, so a set that a third of the entities share makes no partition large.
 
-    A hot sample costs nothing: the first aggregation has combined its rows before they are sent, to one per attribute.
+    Facts are read once and sent twice: to the value of each (entity, attribute), combined before it is sent, so a hot
+    sample costs nothing; and to one packed row per entity, whose cells are at most the codebook's.
     """
     book = read_codebook(dictionary)
     if not book:
         return facts.select("sample_id").filter("sample_id is not null").distinct()
     values = typed_values(facts, book)
     carries = F.col("num").isNotNull() | F.col("txt").isNotNull()
-    best = values.groupBy("entity", "slot").agg(F.max(F.when(carries, F.struct("at", "tie", "num", "txt"))).alias("v")).filter("v is not null")
-    entities = best.groupBy("entity").agg(F.collect_list(F.struct("slot", "v.num", "v.txt")).alias("cells"))
-    marks = _discriminating(values, len(book), max_tables)
-    present = F.transform("cells", lambda c: c["slot"])
-    signature = F.array_join(F.array_sort(present), ",")
-    merged = reduce(lambda a, b: a + b, [F.array_contains(present, m).cast("int") * F.lit(2**k) for k, m in enumerate(marks)], F.lit(0))
-    by_slot = F.map_from_entries(F.transform("cells", lambda c: F.struct(c["slot"], F.struct(c["num"].alias("num"), c["txt"].alias("txt")))))
-    rows = entities.select("entity", by_slot.alias("m"), signature.alias("_sig"), merged.alias("_set"))
-    names = [a.name for a in book]
-    path = write_out(rows.select(F.col("entity").alias("sample_id"), *_wide_row(F.col("m"), book), "_sig", "_set"), "_set")
-    spark = facts.sparkSession
-    types = {a.name: T.DoubleType() if a.kind == "numeric" else T.BooleanType() if a.kind == "boolean" else T.StringType() for a in book}
-    schema = T.StructType([T.StructField("sample_id", T.StringType()), *[T.StructField(n, types[n]) for n in names], T.StructField("_sig", T.StringType()), T.StructField("_set", T.IntegerType())])
-    stored = spark.read.schema(schema).parquet(path)
-    exact = [r["_sig"] for r in stored.select("_sig").distinct().limit(max_tables + 1).collect()]
-    if len(exact) <= max_tables:
-        sets = [(F.col("_sig") == s, [names[int(i)] for i in s.split(",")]) for s in sorted(exact)]
-    else:
-        sets = [(F.col("_set") == k, [n for i, n in enumerate(names) if i not in marks or k >> marks.index(i) & 1]) for k in range(2 ** len(marks))]
-    tables = [stored.filter(of).select("sample_id", *columns) for of, columns in sets]
-    empty = spark.createDataFrame([], T.StructType(schema.fields[: 1 + len(names)]))
-    bare = facts.select("sample_id").filter("sample_id is not null").distinct().join(stored.select("sample_id"), "sample_id", "left_anti")
-    wide = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [empty, *tables, bare])
-    return wide.select("sample_id", *names)
-
-
-def _discriminating(values: DataFrame, slots: int, max_tables: int) -> list[int]:
-    """The attributes whose presence among entities is nearest to one half, at most log2(max_tables) of them."""
-    counts = {r["slot"]: r["n"] for r in values.groupBy("slot").agg(F.approx_count_distinct("entity").alias("n")).collect()}
-    all_of = max([1, *counts.values()])
-    order = sorted((s for s in range(slots) if counts.get(s)), key=lambda s: (abs(counts[s] / all_of - 0.5), s))
-    return sorted(order[: min(3, max(0, max_tables.bit_length() - 1))])
+    best = values.groupBy("entity", "slot").agg(F.max(F.when(F.col("slot").isNotNull() & carries, F.struct("at", "tie", "num", "txt"))).alias("v"))
+    cells = F.array_sort(F.collect_list(F.when(F.col("v").isNotNull(), F.struct("slot", "v.num", "v.txt"))))
+    packed = best.groupBy("entity").agg(cells.alias("cells")).select("entity", F.array_join(F.transform("cells", lambda c: c["slot"].cast("string")), ",").alias("signature"), "cells")
+    types = {"numeric": T.DoubleType(), "boolean": T.BooleanType()}
+    schema = T.StructType([T.StructField("sample_id", T.StringType()), *[T.StructField(a.name, types.get(a.kind, T.StringType())) for a in book]])
+    return packed.sortWithinPartitions("signature").mapInArrow(_united([a.name for a in book], [a.kind for a in book]), schema)
 
 
 def cell_text(name: str, kind: str) -> Column:

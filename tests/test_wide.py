@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 
@@ -17,9 +18,9 @@ def fact(i, sample, feature, num=None, txt=None, day=0, loaded=0):
     return (i, sample, feature, num, txt, "x", None if day is None else DAY[day], None if loaded is None else DAY[loaded], "clash", "clash")
 
 
-def cells(spark, rows, tables=wide.MAX_TABLES):
+def cells(spark, rows):
     facts = spark.createDataFrame(rows, FACTS)
-    table = wide.wide_table(facts, book(spark), tables)
+    table = wide.wide_table(facts, book(spark))
     return {(r["sample_id"], r["feature"]): r["cell"] for r in wide.long_cells(table, wide.read_codebook(book(spark))).collect()}, table
 
 
@@ -33,20 +34,37 @@ def test_numbers(spark, text, unit, value):
     assert wide.parse_number(rows, "t", "u", "n").first()["n"] == value
 
 
-@pytest.mark.parametrize("tables", [32, 4, 1])
-def test_cells(spark, tables):
+@pytest.mark.parametrize("laid_out", [wide.LAID_OUT, 8, 1])
+def test_cells(spark, laid_out, monkeypatch):
+    monkeypatch.setattr(wide, "LAID_OUT", laid_out)
     rows = [
         fact(1, "a", "Size-MM ", 3.0, day=1), fact(2, "a", "size.mm", None, "4,25 mm", day=2), fact(3, "a", "SIZE_MM", -9999.0, None, day=3), fact(4, "a", "er status", None, "Ja", day=1),
         fact(5, "a", "stage", None, "  II  a ", day=1), fact(6, "b", "er_status", 0.0, day=None), fact(7, "b", "er_status", 1.0, day=0), fact(8, "c", "stage", None, "n/a"), fact(9, None, "stage", None, "i"),
         fact(10, "d", "nothing", 1.0), fact(11, "e", "zeta", float("nan"), "−0.0", day=1), fact(12, "e", "zeta", 7.0, None, day=1, loaded=None), fact(13, "e", None, 7.0), fact(14, "f", "er_status", None, "maybe"),
     ]
-    found, table = cells(spark, rows, tables)
+    found, table = cells(spark, rows)
     assert found == {("a", "size_mm"): "4.2500", ("a", "er_status"): "true", ("a", "stage"): "ii a", ("b", "er_status"): "true", ("e", "zeta"): "0.0000"}
     assert table.columns == ["sample_id", "er_status", "size_mm", "stage", "zeta"]
     assert sorted(r["sample_id"] for r in table.collect()) == list("abcdef")
     assert dict(table.dtypes)["er_status"] == "boolean" and dict(table.dtypes)["size_mm"] == "double"
 
 
+@pytest.mark.parametrize("sets", [1, 3, 300])
+def test_sets(spark, sets):
+    """Few sets or as many as entities: the same cells as placed one by one."""
+    rng, names = random.Random(sets), [n for n, _, _ in BOOK]
+    chosen = [rng.sample(names, rng.randrange(5)) for _ in range(sets)]
+    rows, want = [], {}
+    for i in range(300):
+        for name in chosen[i % sets]:
+            rows.append(fact(len(rows), f"s{i}", name, float(rng.randrange(2)) if name != "stage" else None, f"iv {i}" if name == "stage" else None))
+            v = rows[-1]
+            want[f"s{i}", name] = v[4] if name == "stage" else ("true" if v[3] else "false") if name == "er_status" else f"{v[3]:.4f}"
+        rows.append(fact(len(rows), f"s{i}", "no such", 1.0))
+    found, table = cells(spark, rows)
+    assert found == want and table.count() == 300
+
+
 def test_ties_and_repeats(spark):
     rows = [fact(i, "hot", "size_mm", float(i % 7), day=3, loaded=i % 5) for i in range(3000)] * 2
     found, table = cells(spark, rows)
