@@ -3,31 +3,30 @@
 from __future__ import annotations
 
 import unicodedata
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: A reference list larger than this is refused; it is broadcast.
-MAX_ENTRIES = 200_000
+#: A reference list larger than this is refused: it is broadcast, and each worker keeps about 4 KB of it an entry.
+MAX_ENTRIES = 100_000
 #: Token-set similarity from which a value counts as an entry.
 LEAST_SIMILARITY = 0.70
-#: A worker keeps the answers to so many distinct values.
+#: A worker keeps the answers to so many distinct values, and the neighbours of so many distinct words.
 CACHE_VALUES = 500_000
 
-# Spellings and abbreviations of words that names of this domain share, in lower case without marks.
-SAME_WORD = {
-    "tumor": "tumour", "tumors": "tumour", "tumours": "tumour", "anemia": "anaemia", "leukemia": "leukaemia", "leucaemia": "leukaemia", "signaling": "signalling",
-    "pwy": "pathway", "pway": "pathway", "path": "pathway", "pathways": "pathway", "hcl": "hydrochloride", "na": "sodium", "mes": "mesylate", "mesilate": "mesylate",
-    "ca": "carcinoma", "rec": "receptor", "recep": "receptor", "nanopart": "nanoparticle", "nanoparticles": "nanoparticle", "lipo": "liposome", "neopl": "neoplasm", "prot": "protein", "transp": "transporter", "metab": "metabolism",
-}
+# Chemical symbols and formulas in the names of salts, in lower case.
+SALTS = {"na": "sodium", "k": "potassium", "ca": "calcium", "mg": "magnesium", "hcl": "hydrochloride", "hbr": "hydrobromide"}
 # Signs that scanning confuses.
 SCANNED_AS = {"0": "o", "1": "l", "5": "s", "8": "b"}
-
 # Words that say nothing about an entry.
-FILLER = {"the", "of", "a", "an", "and", "syn", "prob"}
+FILLER = {"the", "of", "a", "an", "and"}
+# What British spelling has for American letters.
+SPELLINGS = [("our", "or"), ("ae", "e"), ("oe", "e"), ("ll", "l"), ("ise", "ize"), ("isation", "ization"), ("yse", "yze")]
 
 _WORDS = regex.compile(r"[\p{L}\p{N}]+\.?")
 
@@ -78,62 +77,165 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return min(last[-1], most + 1)
 
 
-def _deletions(word: str, depth: int) -> set[str]:
-    out, edge = {word}, {word}
-    for _ in range(depth):
-        edge = {w[:i] + w[i + 1 :] for w in edge for i in range(len(w))}
-        out |= edge
-    return out
+def _left_over(words: list[str], depth: int) -> np.ndarray:
+    """For words of one length, a row each: hashes of all that up to ``depth`` deletions leave of them."""
+    n = len(words[0])
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), n).astype(np.uint64) + np.uint64(1)
+    base = np.uint64(0x9E3779B97F4A7C15)
+    power = np.ones(n + 1, np.uint64)
+    power[1:] = np.cumprod(np.full(n, base))
+    begun = np.zeros((len(words), n + 1), np.uint64)  # the hash of each beginning
+    for i in range(n):
+        begun[:, i + 1] = begun[:, i] * base + codes[:, i]
+    whole = begun[:, n:]
+    out = [whole]
+    if depth > 0 and n > 0:
+        i = np.arange(n)
+        out.append(begun[:, i] * power[n - 1 - i] + whole - begun[:, i + 1] * power[n - 1 - i])
+    if depth > 1 and n > 1:
+        i, j = np.triu_indices(n, 1)
+        out.append(begun[:, i] * power[n - 2 - i] + (begun[:, j] - begun[:, i + 1] * power[j - i - 1]) * power[n - 1 - j] + whole - begun[:, j + 1] * power[n - 1 - j])
+    return np.concatenate(out, axis=1)
 
 
 def _allowed(word: str) -> int:
     return 0 if len(word) < 4 else 1 if len(word) < 6 else 2
 
 
+def _spelled(word: str) -> str:
+    """A word in one spelling: American, singular."""
+    for british, american in SPELLINGS:
+        word = word.replace(british, american)
+    return word[:-1] if len(word) > 4 and word.endswith("s") and not word.endswith(("ss", "us", "is")) else word
+
+
+def _abbreviates(short: str, word: str) -> bool:
+    """Whether a word's beginning, or some of its letters from the first to the last, are written for it."""
+    if len(short) < 2 or len(short) > len(word) - 2 or short[0] != word[0]:
+        return False
+    if word.startswith(short):
+        return True
+    rest = iter(word)
+    return len(short) > 2 and short[-1] == word[-1] and all(c in rest for c in short)
+
+
+def _by_length(words: list[str], depth, most: int = 4096) -> Iterator[tuple[list[int], np.ndarray]]:
+    """Places of words of one length, and the hashes of what deletions leave of them."""
+    lengths: dict[int, list[int]] = defaultdict(list)
+    for i, w in enumerate(words):
+        lengths[len(w)].append(i)
+    for places in lengths.values():
+        for low in range(0, len(places), most):
+            some = places[low : low + most]
+            yield some, _left_over([words[i] for i in some], depth(words[some[0]]))
+
+
+class _Neighbours:
+    """The words of a list within so many edits of a word, by hashes of what deletions leave of both: two arrays.
+
+    ``depth`` gives the edits by a word's length. A hash that others share costs a comparison and changes nothing.
+    """
+
+    def __init__(self, words: list[str], depth) -> None:
+        self.words, self.depth = words, depth
+        parts = [(left.ravel(), np.repeat(np.array(places, np.int32), left.shape[1])) for places, left in _by_length(words, depth)]
+        sums = np.concatenate([s for s, _ in parts] or [np.empty(0, np.uint64)])
+        order = np.argsort(sums, kind="stable")
+        self.sums, self.owners = sums[order], np.concatenate([o for _, o in parts] or [np.empty(0, np.int32)])[order]
+        self.longest = max(map(len, words), default=0)
+
+    def of(self, words: list[str]) -> dict[str, list[tuple[str, int]]]:
+        """For each word (listed word, edits) of all within the lesser of both words' depths, in the list's order."""
+        out: dict[str, list[tuple[str, int]]] = {w: [] for w in words}
+        words = [w for w in out if 0 < len(w) <= self.longest + self.depth(w)]  # any other is further away from all
+        for places, left in _by_length(words, self.depth):
+            low, high = np.searchsorted(self.sums, left, "left"), np.searchsorted(self.sums, left, "right")
+            near: dict[int, set[int]] = defaultdict(set)
+            for row, column in zip(*np.nonzero(low < high), strict=True):
+                near[places[row]].update(self.owners[low[row, column] : high[row, column]].tolist())
+            for place, owners in near.items():
+                word = words[place]
+                for i in sorted(owners):
+                    most = min(self.depth(word), self.depth(self.words[i]))
+                    if (away := edit_distance(word, self.words[i], most)) <= most:
+                        out[word].append((self.words[i], away))
+        return out
+
+
 class Reference:
-    """The reference list prepared for matching: an automaton over names and short forms, a deletion index of words."""
+    """The reference list prepared for matching: its names and short forms, and neighbours of the words in them.
 
-    def __init__(self, entries: list[tuple[int, str | None, str | None, str | None]]) -> None:
-        import ahocorasick
+    What the list's words mean is learnt from the list: those of more than a hundredth of the entries (of two at least) tell
+    kinds of entries, all others name them.
+    """
 
+    def __init__(self, entries: list[tuple[int, str | None, str | None, str | None]]) -> None:
         self.kind = {i: (e or "").strip().casefold() for i, _, _, e in entries}
-        self.words: dict[int, list[str]] = {}
+        self.words = {i: _tokens(name)[0] if name else [] for i, name, _, _ in entries}
         by_form: dict[str, set[int]] = defaultdict(set)
-        for i, name, short, _ in entries:
-            tokens = [SAME_WORD.get(t, t) for t in _tokens(name)[0]] if name else []
-            self.words[i] = tokens
-            for form in ("".join(tokens), "".join(_tokens(short)[0]) if short else ""):
+        for i, _, short, _ in entries:
+            for form in ("".join(self.words[i]), "".join(_tokens(short)[0]) if short else ""):
                 if form:
                     by_form[form].add(i)
         self.by_form = {k: sorted(v) for k, v in by_form.items()}
-        self.automaton = ahocorasick.Automaton()
-        for form, ids in self.by_form.items():
-            self.automaton.add_word(form, (form, ids))
-        if self.by_form:
-            self.automaton.make_automaton()
         holders: dict[str, set[int]] = defaultdict(set)
         for i, tokens in self.words.items():
             for t in tokens:
                 holders[t].add(i)
         many = max(2, len(self.words) // 100)
         self.shared = {t for t, ids in holders.items() if len(ids) > many and t not in FILLER}  # the words that tell kinds of entries, not entries
+        self.spelled = {_spelled(t): t for t in sorted(self.shared)}
         self.naming = {t: sorted(ids) for t, ids in holders.items() if t not in self.shared and t not in FILLER}
         self.weight = {t: 0.0 if t in FILLER else 1.0 if t in self.shared else 3.0 for t in holders}
         self.kinds = set(self.kind.values())
         self.kind_words: dict[str, set[str]] = defaultdict(set)
         for i, tokens in self.words.items():
             self.kind_words[self.kind[i]] |= {t for t in tokens if t in self.shared}
-        self.deletions: dict[str, set[str]] = defaultdict(set)
-        self.prefixes: dict[str, set[str]] = defaultdict(set)
-        self.shared_deletions: dict[str, set[str]] = defaultdict(set)
-        for t in self.shared:
-            for d in _deletions(t, 1) if len(t) > 4 else ():
-                self.shared_deletions[d].add(t)
-        for t in self.naming:
-            for d in _deletions(t, _allowed(t)):
-                self.deletions[d].add(t)
+        self.near_naming = _Neighbours(sorted(self.naming), _allowed)
+        self.near_shared = _Neighbours(sorted(self.shared), lambda w: int(len(w) > 4))
+        self.prefixes: dict[str, list[str]] = defaultdict(list)
+        for t in sorted(self.naming):
             for n in range(4, len(t)):
-                self.prefixes[t[:n]].add(t)
+                self.prefixes[t[:n]].append(t)
+        self._ready()
+
+    def _ready(self) -> None:
+        import ahocorasick
+
+        self.automaton = ahocorasick.Automaton()
+        for form, ids in self.by_form.items():
+            self.automaton.add_word(form, (form, ids))
+        if self.by_form:
+            self.automaton.make_automaton()
+        self._meant: dict[str, str] = {}
+        self._like: dict[str, list[tuple[str, int]]] = {}
+        self._kind_like: dict[str, list[tuple[str, int]]] = {}
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "automaton" and not k.startswith("_")} | {"near_shared": None}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.near_shared = _Neighbours(sorted(self.shared), lambda w: int(len(w) > 4))
+        self._ready()
+
+    def _respelled(self, word: str) -> str:
+        """The shared word in the list's spelling, else the word itself."""
+        return word if word in self.shared or word in self.naming else self.spelled.get(_spelled(word), word)
+
+    def _word(self, word: str) -> str:
+        """The shared word that another spelling, an abbreviation or a salt's symbol stands for, else the word itself."""
+        meant = self._meant.get(word)
+        if meant is None:
+            meant = self._respelled(word)
+            if meant not in self.shared and meant not in self.naming:
+                full = [t for t in self.shared if _abbreviates(word, t)]
+                begun = [t for t in full if t.startswith(word)]
+                meant = SALTS[word] if SALTS.get(word) in self.shared else full[0] if len(full) == 1 else begun[0] if len(begun) == 1 else word
+            if len(self._meant) > CACHE_VALUES:
+                self._meant.clear()
+            self._meant[word] = meant
+        return meant
 
     def match(self, value: str, hint: str | None) -> tuple[int, float]:
         """(entry or -1, similarity) of a value; the hint, a kind of entry, tells apart what the value leaves open."""
@@ -141,7 +243,7 @@ class Reference:
         if not words:
             return -1, 0.0
         hint = (hint or "").strip().casefold()
-        words = [SAME_WORD.get(w, w) if i else w for i, w in enumerate(words)] if len(words) > 1 else words
+        words = [words[0], *map(self._respelled, words[1:])]
         hint = hint if hint in self.kinds else hint.rstrip("s") if hint.rstrip("s") in self.kinds else ""
         found = self._embedded(words)
         if found is not None:
@@ -167,7 +269,7 @@ class Reference:
             if all(span[1] <= t[0] or span[0] >= t[1] for t in taken):
                 taken.append(span)
         for begin, end, ids in taken:
-            rest = {w for k, w in enumerate(words) if not starts[begin] <= k <= ends[end]}
+            rest = {self._word(w) if k else w for k, w in enumerate(words) if not starts[begin] <= k <= ends[end]}
             if fitting := [i for i in ids if not self._contradicts(rest, i)]:
                 return fitting
         return None
@@ -180,30 +282,20 @@ class Reference:
     def _similar(self, words: list[str], dotted: list[bool], hint: str) -> tuple[int, float]:
         """The entry of greatest token-set similarity: its words' weights, each times the likeness of its best partner."""
         read = [_unscan(w) for w in words]
-        present = {t for w in read for t in self._shared_like(w)}
-        single = [(w, dot) for w, dot in zip(read, dotted, strict=True) if len(w) >= 4]
-        ids, score = self._best(single, present)
-        if not ids:  # a name written apart
+        present = {t for w in read if (t := self._shared_like(w))}
+        single = list(zip(read, dotted, strict=True))
+        ids, score = self._best(single, present | {t for w in read[1:] if (t := self._word(w)) in self.shared})
+        if not ids:  # a name written apart, whose parts aren't abbreviations
             ids, score = self._best([*single, *((read[k] + read[k + 1], False) for k in range(len(read) - 1))], present)
         return self._settle(ids, hint, score) if ids else (-1, score)
 
     def _best(self, units: list[tuple[str, bool]], present: set[str]) -> tuple[list[int], float]:
         """The entries of greatest similarity, if it is enough, and that similarity."""
         likeness: dict[str, float] = {}
-        for w, dot in units:
-            if w in self.shared or len(w) > 60:
-                continue
-            if dot:
-                for t in self.prefixes.get(w, ()):
-                    likeness[t] = max(likeness.get(t, 0), 0.9 if len(w) >= 5 else 0.8)
-            near: set[str] = set()
-            for held in map(self.deletions.get, _deletions(w, _allowed(w))):
-                if held:
-                    near |= held
-            for t in near:
-                most = min(_allowed(w), _allowed(t))
-                if (away := edit_distance(w, t, most)) <= most:
-                    likeness[t] = max(likeness.get(t, 0), 1 - away / max(len(w), len(t)))
+        for unit in units:
+            for t, like in self._naming_like(unit).items():
+                if like > likeness.get(t, 0.0):
+                    likeness[t] = like
         scores: dict[int, float] = {}
         for t in likeness:
             for i in self.naming[t]:
@@ -219,14 +311,38 @@ class Reference:
         top = max(good.values())
         return [i for i, s in good.items() if s >= top - 1e-9], top
 
-    def _shared_like(self, word: str) -> list[str]:
-        """The shared word that this is, or that it is one edit away from."""
+    def look_up(self, values: list[str]) -> None:
+        """Find the neighbours of all words that matching these values may ask for, together."""
+        words: set[str] = set()
+        for value in values:
+            read = [_unscan(w) for w in _tokens(value)[0]]
+            words.update(read)
+            words.update(a + b for a, b in zip(read, read[1:], strict=False))
+        for known, near in ((self._like, self.near_naming), (self._kind_like, self.near_shared)):
+            new = [w for w in words if w not in known]
+            if len(known) + len(new) > CACHE_VALUES:
+                known.clear()
+                new = list(words)
+            known.update(near.of(new))
+
+    def _neighbours(self, word: str, known: dict[str, list[tuple[str, int]]], near: _Neighbours) -> list[tuple[str, int]]:
+        if word not in known:
+            known.update(near.of([word]))
+        return known[word]
+
+    def _naming_like(self, unit: tuple[str, bool]) -> dict[str, float]:
+        """The naming words that a word, or one cut off with a full stop, is like, and how much."""
+        word, dot = unit
         if word in self.shared:
-            return [word]
-        if len(word) < 5 or len(word) > 60:
-            return []
-        near = {t for d in _deletions(word, 1) for t in self.shared_deletions.get(d, ())}
-        return sorted(t for t in near if edit_distance(word, t, 1) <= 1)[:1]
+            return {}
+        like = dict.fromkeys(self.prefixes.get(word, ()), 0.9 if len(word) >= 5 else 0.8) if dot else {}
+        for t, away in self._neighbours(word, self._like, self.near_naming):
+            like[t] = max(like.get(t, 0.0), 1 - away / max(len(word), len(t)))
+        return like
+
+    def _shared_like(self, word: str) -> str | None:
+        """The shared word that this is, or that it is one edit away from."""
+        return word if word in self.shared else next((t for t, _ in self._neighbours(word, self._kind_like, self.near_shared)), None)
 
     def _settle(self, ids: list[int], hint: str, score: float) -> tuple[int, float]:
         if len(ids) > 1 and hint:
@@ -234,20 +350,28 @@ class Reference:
         return (ids[0], score) if len(ids) == 1 else (-1, score)
 
 
-def _match_batches(shared):
+_prepared: dict[str, tuple[Reference, dict]] = {}
+
+
+def _match_batches(shared, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reference, known = Reference(shared.value), {}
+        from loomspan.llm import canonical  # the worker's own module, which outlives the task
+
+        if name not in canonical._prepared:
+            canonical._prepared.clear()
+            canonical._prepared[name] = shared.value, {}
+        reference, known = canonical._prepared[name]
         for batch in batches:
-            ids, scores = [], []
-            for value, hint in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                answer = known.get((value, hint))
-                if answer is None:
-                    if len(known) > CACHE_VALUES:
-                        known.clear()
-                    answer = known[value, hint] = reference.match(value, hint)
-                ids.append(answer[0])
-                scores.append(answer[1])
-            yield pa.record_batch([batch.column(0), pa.array(ids, pa.int64()), pa.array(scores, pa.float64())], names=["key", "canonical_id", "score"])
+            pairs = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True))
+            new = set(pairs) - known.keys()
+            if len(known) + len(new) > CACHE_VALUES:
+                known.clear()
+                new = set(pairs)
+            reference.look_up([value for value, _ in new])
+            for pair in new:
+                known[pair] = reference.match(*pair)
+            found = [known[pair] for pair in pairs]
+            yield pa.record_batch([batch.column(0), pa.array([i for i, _ in found], pa.int64()), pa.array([s for _, s in found], pa.float64())], names=["key", "canonical_id", "score"])
 
     return run
 
@@ -256,24 +380,25 @@ def match_values(values: DataFrame, reference: DataFrame, key: str = "alias_id",
     """(key, canonical_id, score): for every row with a value, the entry that it means, or -1.
 
     A value means an entry whose name or short form stands in it, compared without case, marks, white space and
-    punctuation, with common abbreviations of shared words spelled out; of several the longest that doesn't overlap a
-    longer one. Words beside it are ignored unless they speak of another kind of entry. Other values are compared word by
-    word in any order: words that tell entries apart weigh three times the shared ones, and may differ by two edits (one in
-    words of under six letters, none under four), by scanned digits, or by a cut-off end. Of entries with one short form,
-    and of equally similar ones, the hint decides; if it can't, the value is unmatched.
+    punctuation, shared words in any spelling or abbreviation; of several the longest that doesn't overlap a longer one.
+    Words beside it are ignored unless they speak of another kind of entry. Other values are compared word by word in any
+    order: words that tell entries apart weigh three times the shared ones, and may differ by two edits (one in words of
+    under six letters, none under four), by scanned digits, or by a cut-off end. Of entries with one short form, and of
+    equally similar ones, the hint decides; if it can't, the value is unmatched.
 
     Rows whose value is null or blank have no row; repeated rows and null keys keep theirs. The reference list (fixed; at
-    most MAX_ENTRIES) is broadcast, its rows without an id or name are left out. Values are matched where they lie: nothing
-    is shuffled, so a value that makes up any share of the rows is no bottleneck, and each worker matches it once. Other
-    columns are ignored.
+    most MAX_ENTRIES) is prepared once and broadcast, its rows without an id or name are left out. Values are matched where
+    they lie: nothing is shuffled, so a value that makes up any share of the rows is no bottleneck. A worker matches each
+    distinct value once, and looks up the neighbours of each distinct word once, for all of its tasks. Other columns are
+    ignored.
     """
     entries = [tuple(r) for r in reference.filter("canonical_id is not null").select("canonical_id", "canonical", "short_form", "entity").orderBy("canonical_id").limit(MAX_ENTRIES + 1).collect()]
     if len(entries) > MAX_ENTRIES:
         raise ValueError(f"the reference list has more than {MAX_ENTRIES} entries")
-    shared = values.sparkSession.sparkContext.broadcast(entries)
+    shared = values.sparkSession.sparkContext.broadcast(Reference(entries))
     kind = values.schema[key].dataType.simpleString()
     rows = values.select(values[key].alias("key"), values[value].cast("string").alias("value"), values[hint].cast("string").alias("hint")).filter("value rlike '(?U)\\\\S'")
-    return rows.mapInArrow(_match_batches(shared), f"key {kind}, canonical_id bigint, score double").withColumnRenamed("key", key)
+    return rows.mapInArrow(_match_batches(shared, uuid.uuid4().hex), f"key {kind}, canonical_id bigint, score double").withColumnRenamed("key", key)
 
 
 def unmatched(values: DataFrame, matched: DataFrame, key: str = "alias_id", value: str = "alias") -> DataFrame:

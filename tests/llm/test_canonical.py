@@ -74,3 +74,63 @@ def test_held_out_typos(spark, data):
         typed = name[:at] + rng.choice(["", "x", name[at] * 2]) + name[at + 1 :]
         right += reference.match(typed, kind)[0] == i
     assert right >= 0.97 * len(rows)
+
+
+NOISE = {
+    "case": lambda n, r: n.upper() if r.random() < 0.5 else n.title(),
+    "white space": lambda n, r: f"  {n.replace(' ', r.choice(['  ', chr(9), chr(160)]))} ",
+    "separators": lambda n, r: n.replace(" ", r.choice("_-/")),
+    "marks": lambda n, r: n.replace("a", "á").replace("o", "ö"),
+    "order": lambda n, r: ", ".join(r.sample(n.split(), len(n.split()))),
+    "left out": lambda n, r: n[: (at := r.randrange(1, 5))] + n[at + 1 :],
+    "doubled": lambda n, r: n[: (at := r.randrange(1, 5))] + n[at - 1] + n[at:],
+    "swapped": lambda n, r: n[: (at := r.randrange(1, 5))] + n[at + 1] + n[at] + n[at + 2 :],
+    "two edits": lambda n, r: n[:1] + "x" + n[2:4] + n[5:],
+    "scanned": lambda n, r: n.replace("o", "0", 1).replace("l", "1", 1),
+    "cut off": lambda n, r: f"{n.split()[0][:-2]}. {' '.join(n.split()[1:])}",
+    "written apart": lambda n, r: f"{n[:4]}{r.choice(' -')}{n[4:]}",
+    "American": lambda n, r: n.replace("our", "or").replace("ae", "e").replace("lling", "ling"),
+    "kind abbreviated": lambda n, r: " ".join([n.split()[0], *[w[:4] if len(w) > 6 else w for w in n.split()[1:]]]),
+    "words around": lambda n, r: f"the {n} (see note 7)",
+}
+
+
+@pytest.mark.parametrize("kind", NOISE)
+def test_held_out_noise(spark, data, kind):
+    """Of each kind of noise at least nine of ten forms find their entry, and hardly any finds another."""
+    import random
+
+    from loomspan.session import table
+
+    rng = random.Random(kind)
+    rows = [tuple(r) for r in table(spark, data, "canonical_terms").select("canonical_id", "canonical", "short_form", "entity").orderBy("canonical_id").collect()]
+    reference = canonical.Reference(rows)
+    got = [(i, reference.match(NOISE[kind](name, rng), None)[0]) for i, name, _, _ in rows]
+    assert sum(i == j for i, j in got) >= 0.9 * len(rows), kind
+    assert sum(j not in (i, -1) for i, j in got) <= 0.01 * len(rows), kind
+
+
+def test_neighbours_equal_brute_force():
+    import random
+
+    rng = random.Random(8)
+    listed = sorted({"".join(rng.choice("abü😀") for _ in range(rng.randrange(1, 9))) for _ in range(200)})
+    asked = ["".join(rng.choice("abü😀") for _ in range(rng.randrange(1, 12))) for _ in range(200)] + ["", "a" * 100_000]
+    near = canonical._Neighbours(listed, canonical._allowed)
+    for w, found in near.of(asked).items():
+        most = lambda t: min(canonical._allowed(w), canonical._allowed(t))  # noqa: B023, E731
+        assert found == ([(t, d) for t in listed if (d := canonical.edit_distance(w, t, most(t))) <= most(t)] if w else [])
+
+
+def test_large_list():
+    """A list of many entries stays small and quick enough for every worker."""
+    import pickle
+    import random
+
+    rng = random.Random(4)
+    syllables = [a + b for a in "bdfgklmnprstvz" for b in "aeiou"]
+    names = sorted({"".join(rng.choices(syllables, k=5)) for _ in range(10_000)})
+    reference = canonical.Reference([(i, f"{n} kinase", None, "gene") for i, n in enumerate(names)])
+    assert len(pickle.dumps(reference)) < 4096 * len(names)
+    tried = rng.sample(range(len(names)), 300)
+    assert sum(reference.match(f"{names[i][:3]}x{names[i][3:]} kinase", None)[0] == i for i in tried) >= 0.95 * len(tried)
