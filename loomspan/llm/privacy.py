@@ -28,11 +28,16 @@ STARTERS = set(
 Comme Compte Consent Contact Contacto Cordialement Corresponding Das Dans De Der Des Die Documento Domicilio Dr Each Early Ein Eine El En Expression Fehlende For Frau From Further
 He Her Hinweis Hubo His However Identity If Im In Informe It Its Jede Knock La Las Laut Le Les Lors Los Loss Manual Median Missing Mme Mr Mrs Ms My No Not Notably Nous On Or Our Para Particles Patient
 Patientin Per Please Pour Qu Record Region Registered Reported Rückfragen Samples Se See Según She Signed Sin Since So Steuer Surprisingly Tel That The Their Then There These They This Those To
+Monday Tuesday Wednesday Thursday Friday Saturday Sunday Montag Dienstag Mittwoch Donnerstag Freitag Samstag Sonntag
+Yesterday Today Tomorrow Later Afterwards Meanwhile Finally Recently Gestern Heute Dann Später Hier Aujourd'hui Ensuite Puis Hoy Ayer Luego Después
 Uptake Unerwünschte Une Un Una We Whether While Wir With Wohnhaft Write You Zusammenfassend Zwischen""".split()
 )
-# Words after a name that make it one.
-AFTER_NAME = ["noted", "signed", "tolerated", "will return", "reviewed", "reported that", "wrote", "yesterday", "anmerkte", "verträgt", "kommt", "va bien", "reviendra", "a noté", "a signalé", "comentó", "anotó", "toleró", "acudió", "belongs", "called", "said"]
+# Words after a name that make it one: what people do.
+AFTER_NAME = """noted|signed|tolerated|will return|reviewed|reported that|wrote|yesterday|belongs|called|said|says|asked|told|replied|lives|lived|works|worked|visited|phoned|telephoned|emailed|agreed|refused|consented|declined|complained
+attended|arrived|thanked|thinks|believes|smokes|joined us|spoke|speaks|denies|explained|confirmed that|remembers|anmerkte|verträgt|kommt|sagte|sagt|schrieb|wohnt|arbeitet|fragte|bat|rief an|meinte|stimmte zu|berichtete|lehnte ab
+va bien|reviendra|a noté|a signalé|a dit|a écrit|a demandé|a accepté|a refusé|habite|travaille|dit que|pense que|comentó|anotó|toleró|acudió|dijo|escribió|preguntó|vive en|vive|trabaja|aceptó|rechazó|llamó|refiere""".replace("\n", "|").split("|")
 
+_PARTICLE_WORDS = {w for p in PARTICLES for w in p.split()}
 _NO_FAMILY = STARTERS | {w.split()[0] for w in AFTER_NAME} | set("of at and was has is will und war hat wird kommt et y ha fue est".split())
 _G = {g.casefold(): g for g in FEMALE + MALE}
 _SEX = {g.casefold(): "f" for g in FEMALE} | {g.casefold(): "m" for g in MALE}
@@ -84,7 +89,7 @@ Lady""".split()
 # What stands before a colon and a name.
 LABELS = ["Contact", "Contacto", "Kontakt", "Ansprechpartner", "Ansprechpartnerin", "Corresponding author", "Author", "Investigator", "Attn", "Name", "Nombre", "Nom", "Betreuer", "Betreuerin"]
 # What closes a letter before its writer's name.
-CLOSINGS = ["Signed", "Sincerely", "Regards", "Best wishes", "Kind regards", "Yours faithfully", "Atentamente", "Saludos", "Cordialement", "Bien à vous", "Mit freundlichen Grüßen", "Viele Grüße", "Beste Grüße"]
+CLOSINGS = ["Thanks", "Thank you", "Many thanks", "Best", "Cheers", "Danke", "Merci", "Gracias", "Hi", "Hello", "Hallo", "Bonjour", "Hola", "Signed", "Sincerely", "Regards", "Best wishes", "Kind regards", "Yours faithfully", "Atentamente", "Saludos", "Cordialement", "Bien à vous", "Mit freundlichen Grüßen", "Viele Grüße", "Beste Grüße"]
 # Words that a person's name follows.
 BEFORE_NAME = [
     "According to", "according to", "Laut", "laut", "D'après", "d'après", "D’après", "d’après", "Selon", "selon", "Según", "según", "Según anotó", "según anotó", "Según comentó", "según comentó", "Nach Angaben von",
@@ -93,6 +98,17 @@ BEFORE_NAME = [
     "unterschrieben von", "signé par", "signé par le", "signé par la", "firmado por", "firmado por el", "firmado por la", "comme l'a noté", "comme l’a noté", "Patient", "patient", "Patientin", "patientin",
     "Patiente", "patiente", "Patienten", "Paciente", "paciente", "Pacienta", "Teilnehmer", "Teilnehmerin", "Participant", "participant", "Participante", "participante",
 ]
+# Words that a person's name often follows, but other names too.
+WEAK_BEFORE = """met|meet|meeting|saw|asked|ask|told|tell|thank|thanked|thanks to|invited|visited|phoned|telephoned|emailed|contacted|informed|joined by|accompanied by|seen by|examined by|treated by|operated on by|referred by|signed for|on behalf of
+traf|treffen mit|sprach mit|fragte|dankte|bat|gesehen von|untersucht von|behandelt von|begleitet von|rencontré|vu par|vue par|examiné par|examinée par|suivi par|suivie par|accompagné de|remercie|remercié
+conocí a|vi a|preguntó a|visto por|vista por|atendido por|atendida por|acompañado de|acompañada de|agradezco a|de parte de""".replace("\n", "|").split("|")
+# Words, in lower case, after names of methods, places and institutions.
+NO_PERSON = set(
+    """method methods score test index protocol assay scale criteria criterion staining stain trial study hospital institute university college clinic centre center ward department foundation laboratory lab road street lane avenue square
+disease syndrome model algorithm classification system grade staging map award prize buffer medium cells cell line equation law effect sign procedure technique database registry cohort consortium society journal report
+programme program project scheme panel fund service services team unit committee board council group office company
+methode klinik krankenhaus institut universität skala verfahren färbung studie straße méthode échelle hôpital institut université essai étude rue método escala instituto universidad ensayo estudio calle hospital índice""".split()
+)
 _titles = _any_of(TITLES) + r"\.?"
 _degree = rf"(?:{_sp}(?:med|rer|nat|phil|vet|Dr|habil|hc|h\.c|jur)\.)*"
 _address_form = rf"{_NOT_LETTER}{_titles}{_degree}{_sp}"
@@ -108,7 +124,11 @@ _free = [
     regex.compile(f"{_NOT_LETTER}(?:{p}){_END}")
     for p in [*_forms(_given, _cap, _part), *_forms(_given_upper, _upp, _partu)]
 ]
-_before_word = regex.compile(rf"{_NOT_LETTER}(?:(?P<g>{_ini}(?:{_sp}{_ini})*|{_cap}(?:{_sp}{_ini})*){_sp}(?P<f>(?:{_part}{_sp})?{_cap})(?:{_sp}(?P<f2>{_cap}))?)(?={_sp}(?:{'|'.join(AFTER_NAME)})\b|;[+(\d])")
+_initials_or_given = rf"(?:{_ini}(?:{_sp}{_ini})*|{_cap}(?:{_sp}{_ini})*)"
+#: A name that ends at a place, read backwards from there.
+_ends_here = [regex.compile(rf"(?r){_NOT_LETTER}(?P<g>{_initials_or_given}){_sp}(?P<f>(?:{_part}{_sp})?{_cap}){second}") for second in (rf"{_sp}(?P<f2>{_cap})", "(?P<f2>)")]
+_after_article = regex.compile(rf"(?r)(?<!\p{{L}})(?:the|an?|this|that|each|every|der|die|das|den|dem|des|ein|eine[mnrs]?|le|la|les|un|une|el|los|las|una){_sp}", regex.IGNORECASE)
+_next_word = regex.compile(rf"{_sp}([\p{{L}}]+)")
 _lower_before_word = regex.compile(rf"{_NOT_LETTER}(?:{_forms(_given_lower, _low, _part, r'\p{Ll}\.')[0]})(?={_sp}(?:{'|'.join(AFTER_NAME)})\b|;[+(\d])")
 _before_after_name = rf"(?={_sp}(?:{'|'.join(AFTER_NAME)})\b|;[+(\d])"
 _learnt_first = [regex.compile(f"(?:{_forms(given, family, part, initial)[0]}){end}") for given, family, part, initial, end in ((_cap, _cap, _part, _ini, _END), (_upp, _upp, _partu, _ini, _END), (_low, _low, _part, r"\p{Ll}\.", _before_after_name))]
@@ -150,7 +170,8 @@ _addresses = [
     )
 ]
 
-_GERMAN = 3
+_GERMAN, _FRENCH = 3, 5
+_house_before = regex.compile(rf"(?r)\d(?:{_sp}?(?:bis|ter|quater))?,?{_sp}")
 _before_number = r"(?<![\p{L}\p{N}_+])(?<![\d\p{L}][-.,:/–])"
 _after_number = r"(?![\p{L}\p{N}_])(?![-.,:/–][\p{L}\p{N}])"
 _ids = regex.compile(
@@ -190,6 +211,7 @@ _nanp = regex.compile(r"(?![2-9]11)[2-9][0-8]\d(?!\d11)[2-9]\d{6}")
 _other_cue = regex.compile(r"(?:catalogue no|catalog no|[Ll]ot|[Rr]atio|Messwert|Bestell-Nr|COSMIC id|chr\w*|doi|code|Grant|Pedido|Référence|colis|caja|seed|build|version|pages?|accession|Charge|Katalog-Nr|Ref)\b[.:]?[ \t]?$")
 
 
+_long_number = regex.compile(r"\d[\d ./()-]{4}")
 _threes, _no_number, _digit = regex.compile(r"\d{3}[- ]\d{3}[- ]\d{4}"), regex.compile(r"[^\d\s()+./-]"), regex.compile(r"\d")
 _de_place = regex.compile(r"\p{L}+[   \t]+(?:(?:der|dem|den)[   \t]+)?\p{Lu}[\p{L}’'‐‑-]+[   \t]+\d")
 
@@ -225,16 +247,14 @@ def find_entities(text: str, learnt: frozenset[str] = frozenset()) -> list[Entit
     Kinds are taken in the order email, address, id_number and phone, person; none overlaps an earlier one.
     """
     found, places, done = _Found(), _places(text, learnt), 0
-    for sign in _at_sign.finditer(text):  # an address lies within a line
+    for sign in _at_sign.finditer(text) if places.emails else ():  # an address lies within a line
         if sign.start() >= done:
             line, done = text.rfind("\n", 0, sign.start()) + 1, text.find("\n", sign.end()) % (len(text) + 1)
             for m in _email.finditer(text, line, done):
                 found.add("email", m.start(), m.end())
     if _digit.search(text):
-        for pattern in _addresses:
-            if pattern is _addresses[_GERMAN] and not places.german:
-                continue
-            for m in pattern.finditer(text):
+        for form in sorted(places.forms):
+            for m in _addresses[form].finditer(text):
                 found.add("address", m.start(), m.end())
         _numbers(text, found)
     _persons(text, places, found, learnt)
@@ -242,6 +262,8 @@ def find_entities(text: str, learnt: frozenset[str] = frozenset()) -> list[Entit
 
 
 def _numbers(text: str, found: _Found) -> None:
+    if not _long_number.search(text):  # every id number and phone has such a run
+        return
     ids = {m.span(): m for m in _ids.finditer(text)}
     phones = {m.span(): m for m in _phones.finditer(text)}
     for start, end in sorted({*ids, *phones}, key=lambda s: (s[0] - s[1], s[0])):
@@ -300,7 +322,7 @@ def _clip(text: str, m: regex.Match) -> tuple[int, int] | None:
 @lru_cache(maxsize=2)
 def _triggers(learnt: frozenset[str]):
     """An automaton of (what, length): 0 what can begin a cue, 1 given names in three spellings, 2 endings of German streets,
-    3 words that begin other German addresses, 4 words that follow names, 5 learnt given names."""
+    3 words that begin other German addresses, 4 words that follow names, 5 learnt given names, 6 what can begin a weak cue, 7 what stands in an email, 8 what stands in other addresses (length and form)."""
     import ahocorasick
 
     automaton = ahocorasick.Automaton()
@@ -312,6 +334,10 @@ def _triggers(learnt: frozenset[str]):
     for word in ("as", "wie"):
         for end in blank:
             automaton.add_word(f", {word}{end}", (0, len(word)))
+    for word in WEAK_BEFORE:
+        for end in BLANKS:
+            if not automaton.exists(word + end):
+                automaton.add_word(word + end, (6, len(word)))
     for name in FEMALE + MALE:
         for spelled in (name, name.upper(), name.lower()):
             automaton.add_word(spelled, (1, len(spelled)))
@@ -324,9 +350,15 @@ def _triggers(learnt: frozenset[str]):
     for word in ("An", "Am", "Auf", "Im", "In", "Zum", "Zur", "Unter", "Hinter"):
         for end in blank:
             automaton.add_word(word + end, (3, len(word)))
+    for sign in _AT_WORDS:
+        automaton.add_word(sign, (7, len(sign)))
+    for form, words in enumerate(_ADDRESS_WORDS):
+        for word in words:
+            if not automaton.exists(word):
+                automaton.add_word(word, (8, (len(word), form)))
     for word in AFTER_NAME:
         for before in BLANKS:
-            automaton.add_word(before + word, (4, 0))
+            automaton.add_word(before + word, (4, len(word)))
     automaton.make_automaton()
     return automaton
 
@@ -335,19 +367,35 @@ def _triggers(learnt: frozenset[str]):
 NAME_REACH = 200
 
 
+# What addresses of each form can't be without, in the order of _addresses; German ones are told by place.
+_ADDRESS_WORDS = [
+    ["Box"], ["Postfach", "Apartado", "Apdo", "BP", "B.P", "BP", "Boîte"],
+    "Street Road Lane Avenue Court Drive Boulevard Square Terrace Close Crescent Parkway Highway Way Place St Ave Ct Ln Blvd Sq Rd Dr Pl Hwy".split(), [],
+    "Calle C/ C. Avda Avenida Av. Paseo P.º Plaza Pza Pl. Camino Ronda Travesía Carretera Ctra Glorieta".split(),
+    "rue avenue av. bd boulevard place chemin impasse allée allées quai route cours square passage sentier villa".split(),
+]
+# What an email address can't be without, as it is written.
+_AT_WORDS = ["@", "＠", "﹫", "arroba", *[b + x + w for b in "[({" for x in ("", " ", "\t") for w in ("at", "AT")], *[x + "AT" + y for x in " \t" for y in " \t"]]
+
+
 @dataclass
 class _Places:
-    """Where cues may begin, the stretches that have given names in them, and whether some patterns can match at all."""
+    """Where cues may begin, the stretches that have given names in them, where names may end by what follows, where learnt
+    given names begin, where names may begin after weak cues, and whether German addresses can be there at all."""
 
     cues: list[int]
     stretches: list[tuple[int, int]]
-    german: bool
-    after: bool
+    after: list[int]
     learnt: list[int]
+    weak: list[int]
+    forms: set[int]
+    emails: bool
 
 
 def _places(text: str, names: frozenset[str] = frozenset()) -> _Places:
-    cues, stretches, learnt, german, after = set(), [], [], False, ";" in text and _semicolon.search(text) is not None
+    cues, stretches, learnt, weak, german = set(), [], [], [], False
+    after = [m.start() for m in _semicolon.finditer(text)] if ";" in text else []
+    forms, emails = set(), False
     for end, (what, length) in _triggers(names).iter(text):
         if what == 0:
             cues.add(end - length)
@@ -360,14 +408,30 @@ def _places(text: str, names: frozenset[str] = frozenset()) -> _Places:
                 else:
                     stretches.append((low, high))
         elif what == 4:
-            after = True
+            if end + 1 == len(text) or not (text[end + 1].isalnum() or text[end + 1] == "_"):
+                after.append(end - length)
+        elif what == 6:
+            start = end - length
+            if text[end + 1 : end + 2].isupper() and (start == 0 or not text[start - 1].isalnum()):
+                weak.append(end + 1)
+        elif what == 7:
+            emails = True
+        elif what == 8:
+            word, form = length
+            if form not in forms and end + 1 < len(text) and not text[end + 1].isalpha():
+                if form != _FRENCH:
+                    forms.add(form)
+                elif _house_before.match(text, 0, end + 1 - word):
+                    forms.add(form)
         elif what == 5:
             start = end + 1 - length
             if (start == 0 or not (text[start - 1].isalnum() or text[start - 1] == "@")) and (end + 1 == len(text) or not text[end + 1].isalnum()):
                 learnt.append(start)
         elif not german:
             german = text[end + 1 : end + 4].lstrip()[:1].isdigit() if what == 2 else _de_place.match(text, end - length) is not None
-    return _Places(sorted(cues), stretches, german, after, learnt)
+    if german:
+        forms.add(_GERMAN)
+    return _Places(sorted(cues), stretches, after, learnt, weak, forms, emails)
 
 
 def _cued(text: str, places: _Places, found: _Found, learnt: frozenset[str] = frozenset()) -> Iterator[tuple[tuple[int, int], str, str, bool]]:
@@ -402,9 +466,13 @@ def _persons(text: str, places: _Places, found: _Found, learnt: frozenset[str] =
         _joined(text, span[1], found)
     for pattern in _free:
         _take(text, pattern, places.stretches, found)
+    for end in places.after:
+        _ending_at(text, end, found)
     if places.after:
-        _take(text, _before_word, [(0, len(text))], found)
         _take(text, _lower_before_word, places.stretches, found)
+    for start in places.weak:
+        if (m := _after_cue[0].match(text, start)) and (span := _clip(text, m)) and _personal(text, m, span[1]) and found.add("person", *span):
+            _joined(text, span[1], found)
     for start in places.learnt:
         _learnt_at(text, start, learnt, found)
     for e in list(found.spans):  # M. Holt and Priya Quill: what stands before the joint
@@ -433,11 +501,36 @@ def _take(text: str, pattern: regex.Pattern, stretches: list[tuple[int, int]], f
                 _joined(text, span[1], found)
 
 
+def _ending_at(text: str, end: int, found: _Found) -> None:
+    """The person whose name ends here, before the blanks in front of ``end``."""
+    while end > 0 and text[end - 1] in BLANKS:
+        end -= 1
+    for pattern in _ends_here:
+        if (m := pattern.match(text, 0, end)) and not {m.group("g"), *m.group("f").split()} & STARTERS:
+            by_initial = _initials.match(m.group("g")) is not None
+            if (by_initial or not _after_article.match(text, 0, m.start()) and _personal(text, m, end)) and found.add("person", m.start(), end):
+                _joined(text, end, found)
+            return
+
+
+def _personal(text: str, m: regex.Match, end: int) -> bool:
+    """Whether a name by shape alone can be a person's: no further name and no method, place or institution follows it, and
+    the text has none of its words in lower case."""
+    after = _next_word.match(text, end)
+    words = [w for w in regex.split(r"[^\p{L}]+", m.group()) if len(w) > 1]
+    if after and (after.group(1)[0].isupper() or after.group(1).lower() in NO_PERSON) or any(w.lower() in NO_PERSON for w in words):
+        return False
+    return not any(regex.search(rf"(?<!\p{{L}}){w.lower()}(?!\p{{L}})", text) for w in words if w.lower() in text and w.lower() not in _PARTICLE_WORDS)
+
+
 def _joined(text: str, at: int, found: _Found) -> None:
     if joint := _joint.match(text, at):
         for pattern in (_initial_family, *_lower_after_cue):
             if m := pattern.match(text, joint.end()):
                 found.add("person", m.start(), m.end())
+        m = _after_cue[0].match(text, joint.end())
+        if m and m.start("g") < m.start("f") and (span := _clip(text, m)) and _personal(text, m, span[1]):
+            found.add("person", *span)
 
 
 # Surrogates
@@ -549,8 +642,7 @@ class Surrogates:
 
     def of(self, kind: str, text: str) -> str:
         if kind == "person":
-            keep = {p for q in PARTICLES for p in q.split()}
-            return regex.sub(r"\p{L}+", lambda m: m.group() if m.group().lower() in keep else self.word(m.group()), text)
+                        return regex.sub(r"\p{L}+", lambda m: m.group() if m.group().lower() in _PARTICLE_WORDS else self.word(m.group()), text)
         if kind == "email":
             at = regex.search(_at, text)
             *labels, top = _labels.split(text[at.end() :])
@@ -613,13 +705,14 @@ def _find_batches(key: bytes, learnt: frozenset[str] = frozenset()):
     return run
 
 
-def personal_information(documents: DataFrame, key: str = "doc_id", text: str = "text", secret: bytes = b"loomspan") -> DataFrame:
+def personal_information(documents: DataFrame, key: str = "doc_id", text: str = "text", *, secret: bytes) -> DataFrame:
     """(key, text, entities): every text with the persons, emails, phones, id numbers and addresses in it.
 
     entities is an array of (kind, char_start, char_end, surrogate) in order, without overlaps; positions count Unicode code
     points from 0, the end is exclusive. Null and empty texts have none. One row per row, repeated rows and null keys
-    included; other columns are ignored; texts are read whole. Surrogates depend on ``secret`` and the value alone. The texts are read twice, the first time at once, for the given names that stand
-    after cues anywhere in them (learnt_names); only those names are shuffled.
+    included; other columns are ignored; texts are read whole. Surrogates depend on ``secret`` and the value alone; who has
+    the secret can tell whose surrogate it is, so there is no default. The texts are read twice, the first time at once, for
+    the given names that stand after cues anywhere in them (learnt_names); only those names are shuffled.
     """
     kind = documents.schema[key].dataType.simpleString()
     rows = documents.select(documents[key].alias("key"), documents[text].cast("string").alias("text"))
