@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import hmac
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from hashlib import blake2b
 from math import isqrt
 
 import pyarrow as pa
@@ -547,6 +547,7 @@ _SCRIPTS = {
     "Armenian": ("բդֆգկլմնպրստվ", "աեիոօ", "զ", _range(0x561, 0x586)),
 }
 _script_of = regex.compile("|".join(rf"(?P<{name}>\p{{Script={name}}})" for name in _SCRIPTS))
+_letters, _digit_runs, _capitalized, _road_word = regex.compile(r"\p{L}+"), regex.compile(r"\d+"), regex.compile(r"\p{Lu}[\p{L}’']{2,}"), regex.compile(_road)
 _ASCII = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -560,6 +561,17 @@ def _count(word: str, letters: str) -> int:
     return n
 
 
+@lru_cache(maxsize=10_000)
+def _kind_of(c: str) -> str:
+    """The digits or letters that a sign is one of: of its script and case; a sign of no kind is its own."""
+    if c.isdecimal():
+        zero = ord(c) - int(c)
+        return "".join(map(chr, range(zero, zero + 10)))
+    script = (m := _script_of.match(c)) and m.lastgroup
+    letters = _ASCII if c.isascii() else "".join(x for x in _SCRIPTS[script][3] if not x.isascii() and len(x.upper()) == 1 and x.upper().lower() == x) if script else ""
+    return next((k for k in (letters, letters.upper()) if c in k), c)
+
+
 class Surrogates:
     """Keyed replacements that keep kind, sex, script, case and format; one value has one surrogate, two have two, in all texts.
 
@@ -570,17 +582,24 @@ class Surrogates:
     """
 
     def __init__(self, key: bytes) -> None:
-        self.key = key
-        self.word, self.signs = lru_cache(maxsize=100_000)(self._word), lru_cache(maxsize=100_000)(self._signs)
+        self.key = blake2b(key, digest_size=64).digest()
+        self.word, self.signs, self._begun = lru_cache(maxsize=100_000)(self._word), lru_cache(maxsize=100_000)(self._signs), lru_cache(maxsize=10_000)(self._begin)
+
+    def _begin(self, what: str, n: int):
+        """A keyed hash, begun with a permutation's name and size."""
+        return blake2b(f"{what}\0{n}\0".encode("utf-8", "surrogatepass"), digest_size=64, key=self.key)
 
     def _permuted(self, what: str, x: int, n: int, back: bool = False) -> int:
         """Another of the numbers below n for each of them: a Feistel network, walked until it stays below n."""
         high = isqrt(n - 1) + 1
         low = -(-n // high)
+        begun = self._begun(what, n)
         while True:
             left, right = divmod(x, low)
             for turn in range(7, -1, -1) if back else range(8):
-                drawn = int.from_bytes(hmac.digest(self.key, f"{what}\0{n}\0{turn}\0{left if turn % 2 else right}".encode("utf-8", "surrogatepass"), "sha512"), "big")
+                mixed = begun.copy()
+                mixed.update(b"%d\0%d" % (turn, left if turn % 2 else right))
+                drawn = int.from_bytes(mixed.digest(), "big")
                 drawn = -drawn if back else drawn
                 left, right = (left, (right + drawn) % low) if turn % 2 else ((left + drawn) % high, right)
             x = left * low + right
@@ -620,15 +639,7 @@ class Surrogates:
 
     def _signs(self, model: str) -> str:
         """A number or code: its digits and letters become others of their kinds, at least one of them another; all else is kept."""
-        kinds = []
-        for c in model:
-            if c.isdecimal():
-                zero = ord(c) - int(c)
-                kinds.append("".join(map(chr, range(zero, zero + 10))))
-            else:
-                script = (m := _script_of.match(c)) and m.lastgroup
-                letters = _ASCII if c.isascii() else "".join(x for x in _SCRIPTS[script][3] if not x.isascii() and len(x.upper()) == 1 and x.upper().lower() == x) if script else ""
-                kinds.append(next((k for k in (letters, letters.upper()) if c in k), c))
+        kinds = list(map(_kind_of, model))
         number, total = 0, 1
         for c, kind in zip(model, kinds, strict=True):
             number, total = number * len(kind) + kind.index(c), total * len(kind)
@@ -642,21 +653,21 @@ class Surrogates:
 
     def of(self, kind: str, text: str) -> str:
         if kind == "person":
-                        return regex.sub(r"\p{L}+", lambda m: m.group() if m.group().lower() in _PARTICLE_WORDS else self.word(m.group()), text)
+                        return _letters.sub(lambda m: m.group() if m.group().lower() in _PARTICLE_WORDS else self.word(m.group()), text)
         if kind == "email":
-            at = regex.search(_at, text)
+            at = _at_sign.search(text)
             *labels, top = _labels.split(text[at.end() :])
             domain = "".join(x if i % 2 else self._parts(x) for i, x in enumerate(labels)) + top  # every second is a dot
             return "".join(x if i % 2 else self._parts(x) for i, x in enumerate(_labels.split(text[: at.start()]))) + at.group() + domain
         if kind == "address":
-            return regex.sub(r"\p{Lu}[\p{L}’']{2,}", lambda m: m.group() if regex.fullmatch(_road, m.group()) or m.group() in STARTERS else self.word(m.group()), self.signs_in(text))
+            return _capitalized.sub(lambda m: m.group() if _road_word.fullmatch(m.group()) or m.group() in STARTERS else self.word(m.group()), self.signs_in(text))
         return self.signs(text)
 
     def _parts(self, text: str) -> str:
-        return regex.sub(r"\p{L}+", lambda m: self.word(m.group()), self.signs_in(text))
+        return _letters.sub(lambda m: self.word(m.group()), self.signs_in(text))
 
     def signs_in(self, text: str) -> str:
-        return regex.sub(r"\d+", lambda m: self.signs(m.group()), text)
+        return _digit_runs.sub(lambda m: self.signs(m.group()), text)
 
 
 #: A given name is learnt from so many mentions after titles, or from so many different family names after any cue.
