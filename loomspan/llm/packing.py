@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from functools import reduce
 
 import numpy as np
@@ -15,8 +16,8 @@ from loomspan.session import cut
 GROUP_ITEMS = 60_000
 #: Groups whose open containers are thrown together in an exchange.
 FAN_IN = 8
-#: Exchanges at most.
-EXCHANGES = 3
+#: Up to this capacity the room that containers have left is kept as bits of one number; above it, as a sorted list.
+BIT_ROOM = 1 << 16
 #: More budgets than this are refused: every item gets a row for each.
 MAX_BUDGETS = 100
 
@@ -47,29 +48,64 @@ def lower_bound(values: np.ndarray, counts: np.ndarray, capacity: int) -> int:
     return best
 
 
+class _Bits:
+    """A set of small numbers, one bit each."""
+
+    def __init__(self) -> None:
+        self.bits = 0
+
+    def add(self, n: int) -> None:
+        self.bits |= 1 << n
+
+    def remove(self, n: int) -> None:
+        self.bits ^= 1 << n
+
+    def least_from(self, n: int) -> int:
+        """The least number of at least n, or -1."""
+        high = self.bits >> n
+        return n + (high & -high).bit_length() - 1 if high else -1
+
+
+class _Sorted:
+    """A set of numbers of any size, as a sorted list."""
+
+    def __init__(self) -> None:
+        self.numbers: list[int] = []
+
+    def add(self, n: int) -> None:
+        insort(self.numbers, n)
+
+    def remove(self, n: int) -> None:
+        del self.numbers[bisect_left(self.numbers, n)]
+
+    def least_from(self, n: int) -> int:
+        at = bisect_left(self.numbers, n)
+        return self.numbers[at] if at < len(self.numbers) else -1
+
+
 def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> np.ndarray:
     """The container of each item: largest first, each into the fullest container that still holds it."""
     out = np.zeros(len(sizes), np.int64)
-    free: list[list[int]] = [[] for _ in range(capacity + 1)]
-    room, n = 0, 0  # bit r of room: some container has r left
+    free: dict[int, list[int]] = {}
+    room, n = _Bits() if capacity <= BIT_ROOM else _Sorted(), 0  # the rooms that some container has left
     for i in np.argsort(-sizes, kind="stable").tolist():
         size = int(sizes[i])
         if not size:
             break
-        fits = room >> size
-        if fits:
-            left = size + (fits & -fits).bit_length() - 1
+        left = room.least_from(size)
+        if left >= 0:
             bin_ = free[left].pop()
             if not free[left]:
-                room ^= 1 << left
+                room.remove(left)
         else:
             left, bin_, n = capacity, n, n + 1
         out[i] = bin_
         rest = left - size
         if rest:
-            if not free[rest]:
-                room |= 1 << rest
-            free[rest].append(bin_)
+            held = free.setdefault(rest, [])
+            if not held:
+                room.add(rest)
+            held.append(bin_)
     return out  # items of no size stay in container 0
 
 
@@ -86,7 +122,7 @@ def _pack(level: int, last: bool):
         if not last:
             emptiest = np.argsort(fill, kind="stable")[: max(4 * (gap + 1), n // 10 if gap > 0 else 0)]
             open_[emptiest[fill[emptiest] < capacity]] = True
-        container = (np.int64(level) << np.int64(60)) + (items["grp"].to_numpy(np.int64) << np.int64(24)) + bins
+        container = (np.int64(level) << np.int64(56)) + (items["grp"].to_numpy(np.int64) << np.int64(24)) + bins
         return items.assign(container_id=container, open=open_[bins])[["budget_name", "capacity", "grp", "doc_id", "piece", "size", "container_id", "open"]]
 
     return run
@@ -95,7 +131,7 @@ def _pack(level: int, last: bool):
 _ROW = "budget_name string, capacity bigint, grp bigint, doc_id bigint, piece bigint, size bigint, container_id bigint, open boolean"
 
 
-def pack(sizes: DataFrame, budgets: DataFrame, group_items: int = GROUP_ITEMS, exchanges: int = EXCHANGES) -> DataFrame:
+def pack(sizes: DataFrame, budgets: DataFrame, group_items: int = GROUP_ITEMS) -> DataFrame:
     """(budget_name, capacity, container_id, doc_id, piece, token_start, token_end): every item in a container, per budget.
 
     sizes has doc_id and n_tokens; budgets has budget_name and capacity. An item within the capacity is one piece; a larger
@@ -105,8 +141,9 @@ def pack(sizes: DataFrame, budgets: DataFrame, group_items: int = GROUP_ITEMS, e
 
     Items are packed in groups of about group_items by best-fit decreasing. A group whose number of containers meets its
     lower bound is done but for its few emptiest ones, whose room only other groups can use; the others give up their
-    emptiest tenth. What is given up is packed anew together with that of other groups, FAN_IN groups at a time, at most
-    ``exchanges`` times. bounds() sets the result against the lower bound of all items together.
+    emptiest tenth. What is given up is packed anew together with that of other groups, FAN_IN groups at a time, until one
+    group is left: a tenth of FAN_IN groups is less than a group, so the groups never grow, and their number falls to one
+    after as many exchanges as its logarithm. bounds() sets the result against the lower bound of all items together.
     """
     spark = sizes.sparkSession
     limits = budgets.filter("capacity > 0").groupBy("budget_name", "capacity").agg(F.lit(1)).limit(MAX_BUDGETS + 1).collect()
@@ -123,8 +160,8 @@ def pack(sizes: DataFrame, budgets: DataFrame, group_items: int = GROUP_ITEMS, e
     groups = max(1, -(-max(counts.values(), default=0) // group_items))
     todo = items.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", F.col("n")), F.lit(groups)))
     done = []
-    for level in range(exchanges + 1):
-        last = level == exchanges or groups == 1
+    while True:
+        level, last = len(done), groups == 1
         packed = cut(todo.select("budget_name", "capacity", "grp", "doc_id", "piece", "size").groupBy("budget_name", "capacity", "grp").applyInPandas(_pack(level, last), _ROW))
         done.append(packed.filter("not open"))
         if last:

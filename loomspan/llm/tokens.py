@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ CACHE_PIECES = 400_000
 CACHE_BYTES = 64
 #: Cells of one padded matrix.
 MATRIX_CELLS = 1 << 20
+#: A piece of more bytes than this is merged by itself, with a heap: in a matrix each round copies all of it.
+LONG_PIECE = 4096
 #: Characters of text that are encoded at once.
 CHUNK_CHARS = 4_000_000
 
@@ -145,12 +148,43 @@ def _merge_matrix(vocabulary: Vocabulary, tokens: np.ndarray, length: np.ndarray
     return out, out_length
 
 
+def _merge_long(vocabulary: Vocabulary, piece: bytes) -> np.ndarray:
+    """The ids of one long piece: always the leftmost pair of least rank, from a heap; n log n of its length."""
+    ids = vocabulary.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
+    n, known = len(ids), {}
+    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+
+    def look_up(left: int, right: int) -> tuple[int, int]:
+        if (left, right) not in known:
+            slot, rank = vocabulary.look_up(np.array([left]), np.array([right]))
+            known[left, right] = int(rank[0]), int(vocabulary.merged[slot[0]])
+        return known[left, right]
+
+    heap = [(rank, i, ids[i], ids[i + 1]) for i in range(n - 1) if (rank := look_up(ids[i], ids[i + 1])[0]) != _NONE]
+    heapify(heap)
+    while heap:
+        _, i, left, right = heappop(heap)
+        j = after[i] if ids[i] == left else n
+        if j >= n or ids[j] != right:  # merged meanwhile
+            continue
+        ids[i], ids[j], after[i] = look_up(left, right)[1], -1, after[j]
+        if after[j] < n:
+            before[after[j]] = i
+        for k in (before[i], i):
+            if k >= 0 and (far := after[k]) < n and (rank := look_up(ids[k], ids[far])[0]) != _NONE:
+                heappush(heap, (rank, k, ids[k], ids[far]))
+    return np.array([x for x in ids if x >= 0], np.int32)
+
+
 def merge_pieces(vocabulary: Vocabulary, pieces: list[bytes]) -> list[np.ndarray]:
-    """The ids of each piece; pieces of like length are merged in one matrix."""
+    """The ids of each piece; pieces of like length are merged in one matrix, very long ones by themselves."""
     out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(pieces)
     sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
     order = np.argsort(sizes, kind="stable")
-    at = int(np.searchsorted(sizes[order], 1))
+    at, long = np.searchsorted(sizes[order], [1, LONG_PIECE + 1]).tolist()
+    for i in order[long:].tolist():
+        out[i] = _merge_long(vocabulary, pieces[i])
+    order = order[:long]
     while at < len(order):
         least = int(sizes[order[at]])
         widest = max(least + 2, least * 5 // 4)
@@ -229,8 +263,8 @@ def encode_texts(documents: DataFrame, key: str = "doc_id", text: str = "text",
 
     No special tokens are added; their strings in a text are ordinary text. A null or empty text has an empty list, a text
     of white space its tokens. One row per row, repeated rows and null keys included; other columns are ignored. Texts of
-    any length are encoded whole: pieces of up to the whole text's length are merged like others, in matrices of bounded
-    size. The vocabulary (fixed, some megabytes) is read by the driver and broadcast. Nothing is shuffled.
+    any length are encoded whole: pieces of up to LONG_PIECE bytes in matrices of bounded size, longer ones (runs of one kind
+    of sign) each by itself in time n log n, with the same result. The vocabulary (fixed, some megabytes) is read by the driver and broadcast. Nothing is shuffled.
     """
     return _encoded(documents, key, text, path, True)
 
