@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspan.functions.rules import term_domain
@@ -146,6 +146,13 @@ def boosted_regression(df: DataFrame, key: str, label: str, numeric: Sequence[st
     return df.sparkSession.createDataFrame([(n_train, n_test, measure("mse"), measure("r2"))], "n_train bigint, n_test bigint, mse double, r2 double")
 
 
-def steps_report(steps: Sequence[tuple[str, bool, str]], spark) -> DataFrame:
-    """(step, done, note): which steps of a run have their outputs (RPT-13)."""
-    return spark.createDataFrame([tuple(s) for s in steps], "step string, done boolean, note string")
+def steps_of_folder(spark: SparkSession, folder: str, steps: Sequence[str]) -> DataFrame:
+    """(step, state): which steps' tables in a run's folder are complete, incomplete or missing (RPT-13)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def there(path: str) -> bool:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(conf).exists(target)
+
+    states = [(s, "complete" if there(f"{folder}/{s}/_SUCCESS") else "incomplete" if there(f"{folder}/{s}") else "missing") for s in steps]
+    return spark.createDataFrame(states, "step string, state string")

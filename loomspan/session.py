@@ -47,13 +47,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir[app]
 
 
+def track(spark: SparkSession, path: str) -> str:
+    """Have a folder of the shared one deleted when the program ends; gives its path."""
+    _written.append((spark, path))
+    return path
+
+
 def write_out(df: DataFrame, *partition_by: str) -> str:
     """Write df as a Parquet table into the shared folder; gives its path."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/loomspan-{uuid.uuid4().hex}"
+    path = track(spark, f"{shared_dir(spark)}/loomspan-{uuid.uuid4().hex}")
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    _written.append((spark, path))
     return path
 
 

@@ -30,6 +30,15 @@ def _unique(names: Sequence[str]) -> list[str]:
     return out
 
 
+def put(spark: SparkSession, path: str, content: str | bytes) -> str:
+    """Write a small file to any store the engine knows; gives its path."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(content.encode() if isinstance(content, str) else content))
+    out.close()
+    return path
+
+
 def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
     row = spark.read.option("encoding", encoding).text(path).first()
     return row[0] if row else ""
@@ -112,19 +121,22 @@ def json_strings(df: DataFrame, text: str, least: int = 3) -> DataFrame:
 
 
 def read_gct(spark: SparkSession, path: str) -> DataFrame:
-    """A matrix file with two lines before its header (SRC-16), all cells as text."""
-    lines = spark.read.text(path)
-    first = [r[0] for r in lines.limit(3).collect()]
-    names = _unique(first[2].split("\t")) if len(first) == 3 else []
+    """A matrix file with two lines before its header (SRC-16), all cells as text; .gz is unpacked.
+
+    The three lines are told by their place at the file's beginning, so that lines equal to them elsewhere are data.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_m"))
+    first = lines.filter("_block = 0").orderBy("_m").limit(3).collect()
+    names = _unique(first[2][0].split("\t")) if len(first) == 3 else []
     cells = F.split("value", "\t")
-    keep = lines.filter(~F.col("value").isin(first))
+    keep = lines.filter(~F.col("_m").isin([r["_m"] for r in first]))
     return keep.select(*[F.get(cells, F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
 def read_texts(spark: SparkSession, path: str, most_chars: int | None = None) -> DataFrame:
-    """(path, text): whole files, cut at most_chars if given (SRC-18, STR-09)."""
-    df = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).withColumn("path", F.input_file_name())
-    return df.select("path", (F.substring("value", 1, most_chars) if most_chars else F.col("value")).alias("text"))
+    """(path, text): whole files, cut at most_chars if given (SRC-18, STR-09); the engine skips files of no bytes."""
+    text = F.col("content").cast("string")
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", (F.substring(text, 1, most_chars) if most_chars else text).alias("text"))
 
 
 def case_lists(texts: DataFrame, path: str, text: str) -> DataFrame:
@@ -135,7 +147,7 @@ def case_lists(texts: DataFrame, path: str, text: str) -> DataFrame:
 
 
 def inventory(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
-    """(path, name, parent, extension, bytes, modified): the files below a folder, without reading them (SRC-22, SRC-23)."""
+    """(path, name, parent, extension, bytes, modified): the files below a folder, without reading them (SRC-22, SRC-23); files of no bytes are skipped."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
@@ -193,21 +205,25 @@ def failures(lines: DataFrame, line: str, words: Sequence[str] = ("error", "fail
 
 
 def footers(paths: DataFrame, path: str) -> DataFrame:
-    """(path, n_columns, n_rows, raw_bytes, file_bytes, error): Parquet files by their footers alone (SRC-11)."""
+    """(path, n_columns, n_rows, raw_bytes, file_bytes, error): Parquet files by their footers alone (SRC-11).
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
+    Paths are addresses of any store that the executors' Arrow knows (file, hdfs, s3, gs, abfs).
+    """
 
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pyarrow.parquet as pq
+        from pyarrow import fs
 
         for batch in batches:
             rows = []
             for p in batch["path"]:
-                plain = re.sub("^file:/+", "/", p)
                 try:
-                    meta = pq.ParquetFile(plain).metadata
+                    address = re.sub("^file:/+", "file:///", p)
+                    store, place = fs.FileSystem.from_uri(address) if ":/" in address else (fs.LocalFileSystem(), address)
+                    with store.open_input_file(place) as source:
+                        meta, size = pq.ParquetFile(source).metadata, source.size()
                     raw = sum(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups))
-                    rows.append((p, meta.num_columns, meta.num_rows, raw, os.path.getsize(plain), None))
+                    rows.append((p, meta.num_columns, meta.num_rows, raw, size, None))
                 except Exception as e:  # noqa: BLE001, any broken file is a finding
                     rows.append((p, None, None, None, None, type(e).__name__))
             yield pd.DataFrame(rows, columns=["path", "n_columns", "n_rows", "raw_bytes", "file_bytes", "error"]).astype({c: "Int64" for c in ("n_columns", "n_rows", "raw_bytes", "file_bytes")})

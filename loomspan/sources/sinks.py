@@ -38,9 +38,9 @@ def flat(df: DataFrame, by: str = "|") -> DataFrame:
     return df.select(*out)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """A flattened table as CSV with a header (SNK-02)."""
-    flat(df).write.mode(mode).option("header", True).option("emptyValue", "").csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", codec: str = "none", sep: str = ",") -> None:
+    """A flattened table as delimited text with a header (SNK-02)."""
+    flat(df).write.mode(mode).option("header", True).option("emptyValue", "").option("compression", codec).option("sep", sep).csv(path)
 
 
 def write_both(df: DataFrame, path: str) -> None:
@@ -55,9 +55,13 @@ def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode:
     (writer.partitionBy(*partition_by) if partition_by else writer).json(path)
 
 
-def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:
-    """A saved table bucketed and sorted by a key, so that later joins and aggregations on it need no shuffle (SNK-07)."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> None:
+    """A saved table bucketed and sorted by a key, so that later joins and aggregations on it need no shuffle (SNK-07).
+
+    It takes the place of an indexed file database; appending to one, its other indexes and VACUUM have no counterpart.
+    """
+    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:

@@ -64,9 +64,10 @@ def until_settled(step: Callable[[int], int], most: int = 3, least_gain: float =
 
 def windowed_counts(events: DataFrame, at: str, kind: str, length: str = "1 hour", lateness: str = "2 hours") -> DataFrame:
     """(window_start, kind, n, total): events by time window, late ones up to the watermark; batch or stream alike."""
-    rows = events.withWatermark(at, lateness) if events.isStreaming else events
+    kind_of_time = events.schema[at].dataType  # watermarks are for points in time; the session's zone reads plain ones as such
+    rows = events.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, lateness) if events.isStreaming else events
     out = rows.groupBy(F.window(at, length), kind).agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
-    return out.select(F.col("window.start").alias("window_start"), kind, "n", "total")
+    return out.select(F.col("window.start").cast(kind_of_time).alias("window_start"), kind, "n", "total")
 
 
 def sessions(events: DataFrame, at: str, user: str, gap: str = "30 minutes") -> DataFrame:
