@@ -23,6 +23,12 @@ def keyed(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "in
     return a.join(b, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def with_vocabulary(df: DataFrame, column: str, vocabulary: DataFrame, term: str) -> DataFrame:
+    """Every row with what the vocabulary says of a column's value, null where it says nothing (JN-02)."""
+    right = vocabulary.select(*[F.col(q(c)).alias(c) for c in vocabulary.columns])
+    return df.join(right, df[column] == right[term], "left")
+
+
 def outer_all(frames: Sequence[DataFrame], key: str) -> DataFrame:
     """All tables side by side by one key, with a row for every key of any (JN-03).
 

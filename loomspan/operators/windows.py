@@ -32,6 +32,11 @@ def head_of_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     return df.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("rn") <= n)
 
 
+def first_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
+    """The first n rows in an order of several keys (SRT-01, SRT-06); each task keeps its own n, the driver's merge is of those."""
+    return df.orderBy(*order).limit(n)
+
+
 def filled(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str) -> DataFrame:
     """A value's gaps filled from before, then from after, within its group (WIN-05)."""
     w = Window.partitionBy(*keys).orderBy(*order)

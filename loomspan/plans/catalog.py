@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from loomspan.plans import counting, fusion, identity, joining, mining, quality, sourcing, wide
+from loomspan.plans import counting, fusion, identity, joining, mining, quality, shaping, sourcing, wide
 
-_MODULES = (fusion, wide, counting, joining, identity, mining, quality, sourcing)
+_MODULES = (fusion, wide, counting, joining, identity, mining, quality, shaping, sourcing)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 SQL = {name: text for module in _MODULES for name, text in module.SQL.items()}
