@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomspan.operators.aggregates import least_values
 from loomspan.operators.shape import q
 from loomspan.operators.windows import numbered
 from loomspan.session import cut
@@ -106,22 +110,24 @@ def patient_of(c: Column) -> Column:
     return F.substring_index(token(c), "-", 3)
 
 
-def namespace_hits(df: DataFrame, text: str, namespaces: Mapping[str, str] = NAMESPACES) -> DataFrame:
-    """(namespace, n, n_distinct): rows with an accession of each namespace (ID-11, AGG-23).
+def namespace_hits(df: DataFrame, text: str, namespaces: Mapping[str, str] = NAMESPACES, examples: int = 5) -> DataFrame:
+    """(namespace, n, n_distinct, examples): rows with an accession of each namespace, and the least of the accessions, in
+    upper case, that stand first in a row (ID-11, AGG-23).
 
     A text is searched for a namespace only if it holds the letters that its accessions begin with.
     """
-    low = F.lower(F.col(q(text)))
+    rows = df.select(F.col(q(text)).alias("t"), F.lower(F.col(q(text))).alias("low"))
 
-    def found(pattern: str) -> Column:
+    def found(name: str, pattern: str) -> Column:
         letters = re.match(r"[A-Za-z]{2,}", pattern)
-        hit = F.col(q(text)).rlike(f"(?i)(^|[^A-Za-z0-9_]){pattern}($|[^A-Za-z0-9_])")
-        return F.contains(low, F.lit(letters.group().lower())) & hit if letters else hit
+        first = F.nullif(F.regexp_extract("t", f"(?i)(?:^|[^A-Za-z0-9_])({pattern})(?:$|[^A-Za-z0-9_])", 1), F.lit(""))
+        first = F.when(F.contains("low", F.lit(letters.group().lower())), first) if letters else first
+        return F.struct(F.lit(name).alias("namespace"), F.upper(first).alias("example"))
 
-    names = F.array_compact(F.array(*[F.when(found(p), F.lit(n)) for n, p in namespaces.items()]))
-    rows = df.select(F.md5(F.col(q(text))).alias("v"), F.explode(names).alias("namespace"))
-    per = rows.groupBy("namespace", "v").agg(F.count("*").alias("n"))
-    return per.groupBy("namespace").agg(F.sum("n").alias("n"), F.count("*").alias("n_distinct"))
+    hits = F.filter(F.array(*[found(n, p) for n, p in namespaces.items()]), lambda x: x["example"].isNotNull())
+    per = cut(rows.select(F.md5("t").alias("v"), F.inline(hits)).groupBy("namespace", "example", "v").agg(F.count("*").alias("n")))
+    counts = per.groupBy("namespace").agg(F.sum("n").alias("n"), F.count("*").alias("n_distinct"))
+    return counts.join(least_values(per, ["namespace"], "example", examples), "namespace")
 
 
 def accession_of(path: Column) -> Column:
@@ -139,10 +145,20 @@ def well_formed(c: Column) -> Column:
 
 
 def role_crosswalk(rows: DataFrame, key: str, role: str, source: str, raw: str, roles: Sequence[str], examples: int = 5) -> DataFrame:
-    """One row per key: its roles, sources and first raw ids, sorted and joined, and whether it has each role (AGG-13, ID-14, JN-15). Null is a key."""
-    join = lambda c, n=None: F.array_join(F.array_sort(F.collect_set(c)) if n is None else F.slice(F.array_sort(F.collect_set(c)), 1, n), ";")
-    out = rows.groupBy(F.col(q(key)).alias("key")).agg(join(F.col(q(role))).alias("roles"), join(F.col(q(source))).alias("sources"), join(F.col(q(raw)), examples).alias("raw_ids"), *[F.coalesce(F.bool_or(F.col(q(role)) == r), F.lit(False)).alias(f"in_{r}") for r in roles])
-    return out
+    """One row per key: its roles and sources, sorted and joined, its least raw ids, and whether it has each role (AGG-13, ID-14, JN-15).
+
+    Null is a key. Roles and sources are as many as a study has kinds of files; raw ids, of which a key (null above all) can
+    have any number, are never gathered.
+    """
+    values = rows.select(F.col(q(key)).alias("key"), F.col(q(role)).alias("role"), F.col(q(source)).alias("source"), F.col(q(raw)).alias("raw"))
+    once = lambda c, to: values.groupBy("key", c).agg(F.lit(1)).groupBy("key").agg(F.array_join(F.array_sort(F.collect_list(c)), ";").alias(to))
+    per_role = values.groupBy("key", "role").agg(F.lit(1)).groupBy("key").agg(F.array_join(F.array_sort(F.collect_list("role")), ";").alias("roles"), *[F.coalesce(F.bool_or(F.col("role") == r), F.lit(False)).alias(f"in_{r}") for r in roles])
+    least = least_values(values, ["key"], "raw", examples, "raw_ids").withColumn("raw_ids", F.array_join("raw_ids", ";"))
+    out = per_role
+    for part in (once("source", "sources"), least):
+        other = part.withColumnRenamed("key", "_k")
+        out = out.join(other, F.col("key").eqNullSafe(F.col("_k")), "left").drop("_k")
+    return out.select("key", "roles", "sources", F.coalesce("raw_ids", F.lit("")).alias("raw_ids"), *[f"in_{r}" for r in roles])
 
 
 def best_crosswalk(rows: DataFrame, column: str, value: str, key: str, confidence: str) -> DataFrame:
@@ -152,41 +168,82 @@ def best_crosswalk(rows: DataFrame, column: str, value: str, key: str, confidenc
     return best.select(column, value, "b.*")
 
 
-def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, root): the least node of each component of the edges (src, dst) (GR-01).
+def least_roots(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """Of each of the numbers below n the least that the links u - v join it with: union-find with whole arrays.
 
-    Alternating stars: each node's larger neighbours are linked with the least node it knows, then its smaller ones with
-    that, until nothing changes; the number of rounds grows with the logarithm of the longest chain. A round is two
-    aggregations to a node's least neighbour (combined before they are sent) and two joins; each round's links are written
-    out, so that lineage stays short. The links never outnumber those of the start.
+    Each round hooks the larger root of every link under the smallest root it meets, then halves paths until all numbers
+    point at roots; links within one tree are dropped.
+    """
+    parent = np.arange(n)
+    while len(u):
+        low, high = np.minimum(u, v), np.maximum(u, v)
+        np.minimum.at(parent, high, low)
+        while True:
+            above = parent[parent]
+            if np.array_equal(above, parent):
+                break
+            parent = above
+        u, v = parent[u], parent[v]
+        apart = u != v
+        u, v = u[apart], v[apart]
+        if len(u):
+            u, v = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1)
+    return parent
+
+
+def _forests(limit: int):
+    """Of each partition's links, at most ``limit`` held at once, the nodes with the least node of their tree."""
+
+    def forest(links: list[pa.RecordBatch]) -> pa.Table:
+        table = pa.Table.from_batches(links)
+        both = pa.chunked_array([*table.column(0).chunks, *table.column(1).chunks]).combine_chunks().dictionary_encode()
+        nodes, codes = both.dictionary, both.indices.to_numpy()
+        order = pc.sort_indices(nodes).to_numpy()
+        rank = np.empty(len(nodes), np.int64)
+        rank[order] = np.arange(len(nodes))
+        u, v = rank[codes[: len(table)]], rank[codes[len(table) :]]
+        return pa.table([nodes.take(pa.array(order)), nodes.take(pa.array(order[least_roots(u, v, len(nodes))]))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.num_rows
+            if n > limit:
+                yield from forest(held).to_batches(max_chunksize=100_000)
+                held, n = [], 0
+        if held:
+            yield from forest(held).to_batches(max_chunksize=100_000)
+
+    return run
+
+
+def connected(edges: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """(node, root): the least node of each component of the edges (src, dst), which have one type (GR-01); null ends are none.
+
+    Union-find runs over each partition as it lies, at most ``limit`` links at once, and keeps the spanning forest alone: a
+    node leaves a partition as one row. Each node then gets the least of its roots (combined before it is sent), and where a
+    node has several, they are linked: a graph of roots, in which every link's larger end goes away, is the next level. Its
+    roots are handed down by joins in which hot roots are spread. Each level's tables are written, so that lineage stays
+    short; their number grows with the logarithm of the partitions a component lies in.
     """
-    links = edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).filter("a is not null and b is not null")
-    alone = links.select("a").filter("a = b").select(F.col("a").alias("node"))
-    links = cut(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before, n = None, links.count()
-    for _ in range(most_rounds):
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _starred(both, 2 * n, larger=True)
-        links = cut(_starred(large, n, larger=False))
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
+    kind = edges.schema["src"].dataType.simpleString()
+    graph = edges.select(F.col("src").alias("a"), F.col("dst").cast(kind).alias("b")).filter("a is not null and b is not null")
+    levels: list[DataFrame] = []
+    while True:
+        forest = cut(graph.mapInArrow(_forests(limit), f"a {kind}, b {kind}"))
+        levels.append(cut(forest.groupBy("a").agg(F.min("b").alias("b"))))
+        heads = levels[-1].select("a", F.col("b").alias("head"))
+        graph = cut(forest.join(heads, "a").filter("b <> head").select(F.col("b").alias("a"), F.col("head").alias("b")).distinct())
+        if graph.isEmpty():
             break
-        before, n = now, now[0]
-    else:
-        raise RuntimeError("the components did not settle")
-    roots = links.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")
-    rest = links.select(F.col("b").alias("node")).unionByName(alone).distinct().join(roots.select("node"), "node", "left_anti")
-    return roots.unionByName(rest.withColumn("root", F.col("node")))
-
-
-def _starred(links: DataFrame, total: int, larger: bool) -> DataFrame:
-    """Each node's neighbours linked with its least one; larger: only those above the node, with itself among the least."""
-    least = links.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("m", "a"))
-    joined = salted_join(links, least, "a", F.col("b"), "n", total)
-    if larger:
-        return joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(joined.filter("b < a").select(F.col("a"), F.col("m").alias("b"))).distinct()
-    own = least.filter("a <> m").select("a", F.col("m").alias("b"))
-    return joined.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(own).distinct()
+    top = levels.pop().toDF("b", "root")
+    for below in reversed(levels):
+        counts = below.groupBy("b").agg(F.count("*").alias("n")).join(top, "b", "left")
+        joined = salted_join(below, counts, "b", F.col("a"), "n", below.count())
+        top = cut(joined.select("a", F.coalesce("root", "b")).toDF("b", "root"))
+    return top.toDF("node", "root")
 
 
 def shortest_names(components: DataFrame) -> DataFrame:
@@ -196,8 +253,9 @@ def shortest_names(components: DataFrame) -> DataFrame:
 
 
 def component_sizes(components: DataFrame, examples: int = 50) -> DataFrame:
-    """(root, size): how many nodes each component has (AGG-29)."""
-    return components.groupBy("root").agg(F.count("*").alias("size"))
+    """(root, size, members): how many nodes each component has, and the least of them (AGG-29); no component is gathered."""
+    sizes = components.groupBy("root").agg(F.count("*").alias("size"))
+    return sizes.join(least_values(components, ["root"], "node", examples, "members"), "root")
 
 
 def master_index(components: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Protocol
 
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 from loomspan.functions.strings import any_contains, clamp
 from loomspan.operators.shape import q
+from loomspan.session import cut
+from loomspan.skew import salted_join
 
 #: A vocabulary of more terms than this isn't broadcast; its tokens are joined instead.
 BROADCAST_TERMS = 500_000
@@ -57,6 +60,11 @@ ROLES = [
 # Words that are no unknown terms.
 STOPWORDS = """the and for that with this from were have has had but are was be by not into than then over under onto also such can could should would may might our their there where which while within between
 each per via using used based""".split()
+# Parts of terms, in lower case, that tell their kind.
+PATHWAY_WORDS = [" pathway", " signaling", "signalling"]
+DISEASE_WORDS = [" carcinoma", " cancer", " tumor", " tumour", " neoplasm", " syndrome"]
+DRUG_WORDS = [" inhibitor", " antibody", " drug", " therapeutic", " therapy"]
+
 #: A word that could be a term: five signs or more, as names of genes and compounds have them.
 TOKEN = r"[A-Za-z][A-Za-z0-9+/_.-]{4,}"
 
@@ -97,7 +105,7 @@ def sentences(c: Column, guard: bool = False, least: int = 0, abbreviations: boo
     """
     more = r"(?<!\bet al\.)(?<!\bFig\.)(?<!\bRef\.)" if abbreviations else ""
     pattern = r"(?<!\b[A-Z]\.)(?<!\b[A-Z][a-z]\.)" + more + r"(?<=[.!?])\s+(?=[A-Z])" if guard else r"(?<=[.!?])\s+|\n+"
-    return F.filter(F.transform(F.split(c, pattern), F.trim), lambda s: F.length(s) >= max(1, least))
+    return F.filter(F.transform(F.split(c, pattern), lambda s: F.trim(s)), lambda s: F.length(s) >= max(1, least))
 
 
 def sentence_rows(df: DataFrame, key: str, text: str, guard: bool = False, least: int = 0) -> DataFrame:
@@ -117,53 +125,74 @@ def unknown_tokens(df: DataFrame, key: str, text: str, known: DataFrame, term: s
     return counts.filter(F.col("n") >= least).groupBy("term").agg(F.sum("n").alias("n")).join(vocabulary, F.col("term") == F.col("_t"), "left_anti")
 
 
-def _mention_batches(shared, ignore_case: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+_automata: dict[str, object] = {}
+
+
+def _automaton(name: str, entries: Sequence[tuple], ignore_case: bool):
+    """The automaton of a vocabulary, made once a worker; only the last one is kept."""
+    import ahocorasick
+
+    if name not in _automata:
+        made = ahocorasick.Automaton()
+        for term, canonical, kind in entries:
+            made.add_word(term.lower() if ignore_case else term, (len(term), canonical, kind))
+        if entries:
+            made.make_automaton()
+        _automata.clear()
+        _automata[name] = made
+    return _automata[name]
+
+
+def _mention_batches(shared, name: str, ignore_case: bool, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ahocorasick
-
-        automaton = ahocorasick.Automaton()
-        for term, canonical, kind in shared.value:
-            automaton.add_word(term.lower() if ignore_case else term, (term, canonical, kind))
-        ready = len(shared.value) > 0
-        if ready:
-            automaton.make_automaton()
+        from loomspan.operators import text as own  # the worker's own module, which outlives the task
+
+        automaton = own._automaton(name, shared.value, ignore_case)
         word = lambda c: c.isalnum() or c == "_"
         for batch in batches:
             rows: list[tuple] = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if not text or not ready:
+                if not text or not shared.value:
                     continue
-                low = "".join(x if len(x) == 1 else c for c, x in ((c, c.lower()) for c in text)) if ignore_case else text
+                low = (text.lower() if text.isascii() else "".join(x if len(x) == 1 else c for c, x in ((c, c.lower()) for c in text))) if ignore_case else text
                 spans = []
-                for end, (term, canonical, kind) in automaton.iter(low):
-                    start = end + 1 - len(term)
+                for end, (length, canonical, kind) in automaton.iter(low):
+                    start = end + 1 - length
                     if (start == 0 or not word(text[start - 1])) and (end + 1 == len(text) or not word(text[end + 1])):
                         spans.append((start, -(end + 1), canonical, kind))
                 last = 0
                 for start, end, canonical, kind in sorted(spans):
                     if start >= last:
                         last = -end
-                        rows.append((key, start, last, text[start:last], canonical, kind))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            yield pa.record_batch([pa.array(columns[0], batch.column(0).type), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32()), *[pa.array(c, pa.string()) for c in columns[3:]]], names=["key", "char_start", "char_end", "surface", "normalized", "entity"])
+                        rows.append((key, start, last, text[start:last], canonical, kind, text[max(0, start - width) : last + width]))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
+            yield pa.record_batch([pa.array(columns[0], batch.column(0).type), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32()), *[pa.array(c, pa.string()) for c in columns[3:]]], names=["key", "char_start", "char_end", "surface", "normalized", "entity", "snippet"])
 
     return run
 
 
-def mentions(df: DataFrame, key: str, text: str, vocabulary: DataFrame, term: str, canonical: str, kind: str, ignore_case: bool = True) -> DataFrame:
-    """(key, char_start, char_end, surface, normalized, entity): terms that stand in a text as words (TXT-01 to TXT-03, TXT-07, TXT-11).
+def mentions_in_context(df: DataFrame, key: str, text: str, vocabulary: DataFrame, term: str, canonical: str, kind: str, ignore_case: bool = True, width: int = 60) -> DataFrame:
+    """(key, char_start, char_end, surface, normalized, entity, snippet): terms that stand in a text as words, with up to width
+    characters on either side (TXT-01 to TXT-03, TXT-07, TXT-09, TXT-11).
 
-    Matches don't overlap: of those that begin first the longest, then on from its end. A term of several canonical forms has
-    the least. One automaton holds all terms, so that a text is read once whatever their number; the vocabulary is broadcast
-    and refused beyond BROADCAST_TERMS (use token_hits there). Null and empty texts have none.
+    Matches don't overlap: of those that begin first the longest, then on from its end, as an alternation of the terms from
+    the longest on would match (SRT-05). A term of several canonical forms has the least. One automaton, made once a worker,
+    holds all terms, so that a text is read once whatever their number; the vocabulary is broadcast and refused beyond
+    BROADCAST_TERMS (use token_hits there). Null and empty texts have none.
     """
     rows = vocabulary.filter(F.length(F.trim(F.col(q(term)))) > 0).groupBy((F.lower(F.trim(F.col(q(term)))) if ignore_case else F.trim(F.col(q(term)))).alias("t"))
     entries = rows.agg(F.min(F.struct(F.coalesce(F.col(q(canonical)), F.col(q(term))).alias("c"), F.col(q(kind)).alias("k"))).alias("x")).select("t", "x.c", "x.k").limit(BROADCAST_TERMS + 1).collect()
     if len(entries) > BROADCAST_TERMS:
         raise ValueError(f"more than {BROADCAST_TERMS} terms; join tokens instead")
     shared = df.sparkSession.sparkContext.broadcast([tuple(r) for r in entries])
-    schema = f"key {df.schema[key].dataType.simpleString()}, char_start int, char_end int, surface string, normalized string, entity string"
-    return df.select(F.col(q(key)).alias("key"), F.col(q(text)).alias("text")).mapInArrow(_mention_batches(shared, ignore_case), schema).withColumnRenamed("key", key)
+    schema = f"key {df.schema[key].dataType.simpleString()}, char_start int, char_end int, surface string, normalized string, entity string, snippet string"
+    found = df.select(F.col(q(key)).alias("key"), F.col(q(text)).alias("text")).mapInArrow(_mention_batches(shared, uuid.uuid4().hex, ignore_case, width), schema)
+    return found.withColumnRenamed("key", key)
+
+
+def mentions(df: DataFrame, key: str, text: str, vocabulary: DataFrame, term: str, canonical: str, kind: str, ignore_case: bool = True) -> DataFrame:
+    """(key, char_start, char_end, surface, normalized, entity): as mentions_in_context, without the context."""
+    return mentions_in_context(df, key, text, vocabulary, term, canonical, kind, ignore_case, 0).drop("snippet")
 
 
 def annotated(df: DataFrame, key: str, columns: Sequence[str], vocabulary: DataFrame, term: str, canonical: str, kind: str) -> DataFrame:
@@ -212,19 +241,19 @@ def entities(df: DataFrame, keys: Sequence[str], sentence: str, backends: Sequen
     return df.select(*[F.col(q(k)) for k in keys], F.col(q(sentence))).mapInPandas(find, schema)
 
 
-def mentions_in_context(found: DataFrame, df: DataFrame, key: str, text: str, width: int = 60) -> DataFrame:
-    """Mentions with what stands around them (TXT-09)."""
-    rows = found.join(df.select(F.col(q(key)), F.col(q(text)).alias("_t")), key)
-    left = F.greatest(F.col("char_start") - width, F.lit(0))
-    return rows.withColumn("snippet", F.substring("_t", left + 1, F.col("char_end") + width - left)).drop("_t")
-
+def token_hits(df: DataFrame, key: str, text: str, vocabulary: DataFrame, term: str, show: int | None = None, most: int | None = None) -> DataFrame:
+    """(key, hit_count, hits): distinct one-word terms of any vocabulary in each text, by a join of words (TXT-08, ABS-01).
 
-def token_hits(df: DataFrame, key: str, text: str, vocabulary: DataFrame, term: str, show: int = 20) -> DataFrame:
-    """(key, hit_count, hits): distinct one-word terms of any vocabulary in each text, by a join of words (TXT-08, ABS-01)."""
+    hit_count is cut at ``most`` and the list at ``show``, if given. A word that many texts have is a hot key of the join:
+    its texts are spread (the vocabulary has it once).
+    """
     words = df.select(F.col(q(key)), F.explode(F.array_distinct(F.split(F.regexp_replace(F.lower(F.col(q(text))), r"[^a-z0-9_]+", " "), " "))).alias("w")).filter("w <> ''")
     known = vocabulary.select(F.lower(F.col(q(term))).alias("w")).filter("w is not null").distinct()
-    hits = words.join(known, "w").groupBy(key).agg(F.count("*").alias("n"), F.array_sort(F.collect_set("w")).alias("hits"))
-    return hits.select(key, F.least("n", F.lit(999)).alias("hit_count"), F.slice("hits", 1, show).alias("hits"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    often = cut(words.groupBy("w").agg(F.count("*").alias("n")).join(known, "w"))
+    hits = salted_join(words, often, "w", F.col(q(key)), "n", often.agg(F.sum("n")).first()[0] or 0, salts=parts)
+    hits = hits.groupBy(key).agg(F.count("*").alias("n"), F.array_sort(F.collect_set("w")).alias("hits"))
+    return hits.select(key, (F.least("n", F.lit(most)) if most else F.col("n")).alias("hit_count"), (F.slice("hits", 1, show) if show else F.col("hits")).alias("hits"))
 
 
 def _word(pattern: str) -> str:
@@ -311,23 +340,22 @@ def guessed_type(term: Column) -> Column:
     """What kind of thing a term names, by its words (TXT-22); short all-capital terms are genes."""
     low = F.lower(term)
     return (
-        F.when(any_contains(low, [" pathway", " signaling", "signalling"]) | low.startswith("pi3k"), "pathway")
-        .when(any_contains(low, [" carcinoma", " cancer", " tumor", " tumour", " neoplasm", " syndrome"]), "disease")
-        .when(any_contains(low, [" inhibitor", " antibody", " drug", " therapeutic", " therapy"]), "drug")
-        .when(term.rlike("^[A-Z0-9-]{1,6}$") & term.rlike("[A-Z]"), "gene")
-        .otherwise("unknown")
-    )
+        F.when(any_contains(low, PATHWAY_WORDS) | low.startswith("pi3k"), "pathway").when(any_contains(low, DISEASE_WORDS), "disease").when(any_contains(low, DRUG_WORDS), "drug")
+        .when(term.rlike("^[A-Z0-9-]{1,6}$") & term.rlike("[A-Z]"), "gene").otherwise("unknown")
+    )
 
 
-def candidate_terms(df: DataFrame, source: str, columns: Sequence[str], most: int = 20_000) -> DataFrame:
+def candidate_terms(df: DataFrame, source: str, columns: Sequence[str], most: int | None = None) -> DataFrame:
     """(term, origin, source): column names and distinct values that could be vocabulary (TXT-23).
 
-    A column with more than ``most`` distinct values holds no vocabulary and gives none.
+    With ``most``, a column with more distinct values than that holds no vocabulary and gives none.
     """
     cells = df.select(*[F.col(q(c)).cast("string").alias(c) for c in columns]).unpivot([], [F.col(q(c)) for c in columns], "column_name", "value")
     values = cells.filter("value is not null").groupBy("column_name", "value").agg(F.count("*").alias("n"))
-    few = values.groupBy("column_name").agg(F.count("*").alias("n_values")).filter(F.col("n_values") <= most)
-    terms = values.join(F.broadcast(few), "column_name").select(F.col("value").alias("term"), F.lit("value").alias("origin"))  # one row a column
+    if most is not None:
+        few = values.groupBy("column_name").agg(F.count("*").alias("n_values")).filter(F.col("n_values") <= most)
+        values = values.join(F.broadcast(few), "column_name")  # one row a column
+    terms = values.select(F.col("value").alias("term"), F.lit("value").alias("origin"))
     names = df.sparkSession.createDataFrame([(c, "colname") for c in df.columns], "term string, origin string")
     return names.unionByName(terms).filter(F.length(F.trim("term")) >= 3).distinct().withColumn("source", F.lit(source))
 

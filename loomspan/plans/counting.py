@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomspan.functions import urls
 from loomspan.operators import aggregates, identifiers, joins, shape
+from loomspan.plans.wide import CODEBOOK
 from loomspan.session import table
 
 
@@ -188,7 +189,7 @@ SQL = {
     "q_occurrence_matrix": "SELECT o_custkey, " + ", ".join(f"""max(CASE WHEN o_orderstatus = '{s}' THEN 1 ELSE 0 END) AS "{s}\"""" for s in "FOP") + " FROM orders GROUP BY o_custkey",
     "q_feature_melt": " UNION ALL ".join([_melt("customer", "c_custkey", "c_nationkey c_acctbal", "c_name c_mktsegment"), _melt("supplier", "s_suppkey", "s_nationkey s_acctbal", "s_name"), _melt("part", "p_partkey", "p_size p_retailprice", "p_name p_brand p_type")]),
     "q_feature_prevalence": "SELECT feature, count(DISTINCT sample_id) AS n FROM features WHERE value_num IS NOT NULL OR value_txt IS NOT NULL GROUP BY feature",
-    "q_feature_pivot": "PIVOT (SELECT sample_id, feature, value_num FROM features WHERE feature IN (SELECT feature FROM feature_dictionary)) ON feature USING min(value_num) GROUP BY sample_id",
+    "q_feature_pivot": "SELECT sample_id, " + ", ".join(f"min(value_num) FILTER (feature = '{n}') AS {n}" for ns in CODEBOOK.values() for n in ns.split()) + " FROM features WHERE feature IN (SELECT feature FROM feature_dictionary) GROUP BY sample_id",
     "q_typed_aggregate": "SELECT o_custkey, bool_or(o_totalprice > 400000) AS large, round(avg(o_totalprice), 3) AS o_totalprice, arg_min(o_orderpriority, o_orderkey) AS o_orderpriority FROM orders GROUP BY o_custkey",
     "q_text_lists": "SELECT o_custkey, string_agg(DISTINCT o_orderpriority, '|' ORDER BY o_orderpriority) AS o_orderpriority FROM orders GROUP BY o_custkey",
     "q_one_hot": "SELECT o_orderkey, " + ", ".join(f"CASE WHEN o_orderstatus = '{s}' THEN 1 ELSE 0 END AS o_orderstatus_{s}" for s in "FOP") + " FROM orders",

@@ -10,6 +10,10 @@ from loomspan.operators import identifiers, reports
 from loomspan.session import cut, table
 
 
+# What stands in the test tables where there is no id.
+NO_IDS = ["NA", "N/A", "#N/A", "NONE", "NULL", "NAN", "UNKNOWN", "NOTAVAILABLE", "UNASSIGNED"]
+
+
 def q_tokens_normalized(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "id_map").select("map_id", identifiers.token(F.col("raw_value")).alias("token"), identifiers.token(F.col("raw_value"), True).alias("strict_token"))
 
@@ -29,7 +33,7 @@ def q_best_crosswalk(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_namespaces(spark: SparkSession, d: str) -> DataFrame:
-    return identifiers.namespace_hits(table(spark, d, "documents"), "text")
+    return identifiers.namespace_hits(table(spark, d, "documents"), "text").withColumn("examples", F.array_join("examples", "|"))
 
 
 def q_stable_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -51,8 +55,10 @@ def q_sniffed_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _links(spark: SparkSession, d: str) -> DataFrame:
+    """Both ids of every row, as far as they are ids: no words for nothing, no signs alone, no counters that were never set."""
     a, b = identifiers.token(F.col("raw_value")), identifiers.token(F.col("patient_key"))
-    return table(spark, d, "id_map").select(a.alias("src"), b.alias("dst")).filter("src rlike '[0-9]{3}' and dst rlike '[0-9]{3}'")
+    rows = table(spark, d, "id_map").select(a.alias("src"), b.alias("dst"))
+    return rows.filter(" and ".join(f"{c} not in ({', '.join(repr(w) for w in NO_IDS)}) and {c} rlike '[A-Z0-9]' and not {c} rlike '^[A-Z]?-?0+$'" for c in ("src", "dst")))
 
 
 def q_components(spark: SparkSession, d: str) -> DataFrame:
@@ -60,7 +66,7 @@ def q_components(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_component_sizes(spark: SparkSession, d: str) -> DataFrame:
-    return identifiers.component_sizes(identifiers.connected(_links(spark, d)))
+    return identifiers.component_sizes(cut(identifiers.connected(_links(spark, d)))).withColumn("members", F.array_join("members", "|"))
 
 
 def q_shortest_names(spark: SparkSession, d: str) -> DataFrame:
@@ -159,11 +165,10 @@ _LEVEL = f"""
 l AS (SELECT *, {_RAW} AS v FROM id_map), x AS (SELECT *, regexp_extract(v, '^(TCGA-[A-Z0-9]{{2}}-[A-Z0-9]{{4}}-[0-9]{{2}}[A-Z])', 1) AS s, regexp_extract(v, '^(TCGA-[A-Z0-9]{{2}}-[A-Z0-9]{{4}})', 1) AS p FROM l WHERE v IS NOT NULL),
 y AS (SELECT *, CASE WHEN s <> '' THEN s WHEN p <> '' THEN p ELSE v END AS key, CASE WHEN s <> '' THEN 'sample' WHEN p <> '' THEN 'patient' ELSE 'verbatim' END AS level,
       CASE WHEN s <> '' THEN 0.95::DOUBLE WHEN p <> '' THEN 0.9::DOUBLE ELSE 0.7::DOUBLE END AS confidence FROM x)"""
+_IS_ID = lambda c: f"{c} NOT IN ({', '.join(repr(w) for w in NO_IDS)}) AND regexp_matches({c}, '[A-Z0-9]') AND NOT regexp_matches({c}, '^[A-Z]?-?0+$')"
 _GROUPS = f"""
-WITH RECURSIVE e AS (SELECT DISTINCT {_RAW} AS a, {_KEY} AS b FROM id_map WHERE regexp_matches({_RAW}, '[0-9]{{3}}') AND regexp_matches({_KEY}, '[0-9]{{3}}')),
-u AS (SELECT a, b FROM e UNION SELECT b, a FROM e UNION SELECT a, a FROM e UNION SELECT b, b FROM e),
-r AS (SELECT a, b FROM u UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a),
-g AS (SELECT a AS node, min(b) AS root FROM r GROUP BY a)"""
+WITH RECURSIVE e AS (SELECT DISTINCT {_RAW} AS a, {_KEY} AS b FROM id_map WHERE {_IS_ID(_RAW)} AND {_IS_ID(_KEY)}), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+g(node, root) USING KEY (node) AS (SELECT DISTINCT a, a FROM u UNION (SELECT g.node, min(o.root) FROM recurring.g JOIN u ON u.a = g.node JOIN g o ON o.node = u.b WHERE o.root < g.root GROUP BY g.node))"""
 _URLS = r"""u AS (SELECT DISTINCT regexp_replace(x, '[.,;:)\]]+$', '') AS url FROM (SELECT unnest(regexp_extract_all(text, '((?:https?|ftp)://[^ \t\n\r<>"'')]+)', 1)) AS x FROM documents))"""
 _HOST = "nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '')"
 _LEAF = "split_part(regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*', ''), '/', -1)"
@@ -178,7 +183,13 @@ for _letter, _name in strings.GREEK.items():
 _TIDY = r"trim(regexp_replace(term, '[ \t\n\r\f\v]+', ' ', 'g'), ' ')"
 _HINT = lambda hints: "regexp_matches(lower(source_col), '" + "|".join(hints) + "')"
 
+_SIZE = "strlen(text) * 100"
+
 SQL = {
+    "q_accessions": r"""
+WITH p AS (SELECT doc_id, doc_path, split_part(doc_path, '/', -1) AS name, regexp_replace(doc_path, '[^/]*$', '') AS parents, '((?:GSE|GSM|SRR|SRX|SRS|ERR|ERX|ERP|PXD)[0-9]+|PRJ[A-Z]{2}[0-9]+|E-[A-Z]{4}-[0-9]+|TCGA-[A-Z0-9]{2,4}(?:-[A-Z0-9]{4})?)' AS form FROM documents)
+SELECT doc_id, coalesce(nullif(regexp_extract(upper(name), form, 1), ''), nullif(regexp_extract(upper(parents), form, 1), ''), regexp_replace(name, '\.[^.]*$', '')) AS accession FROM p""",
+    "q_human_sizes": "SELECT doc_id, CASE " + " ".join(f"WHEN {_SIZE} < 1024.0 ** {i + 1} THEN round({_SIZE} / (1024.0 ** {i}), 1)::VARCHAR || ' {u}'" for i, u in enumerate(("B", "KB", "MB", "GB", "TB"))) + " END AS size FROM documents",
     "q_tokens_normalized": f"SELECT map_id, {_RAW} AS token, nullif(regexp_replace(coalesce({_RAW}, ''), '-', '', 'g'), '') AS strict_token FROM id_map",
     "q_derived_keys": f"""
 WITH l AS (SELECT map_id, source_col, {_RAW} AS v, coalesce({_HINT(identifiers.PATIENT_HINTS)}, false) AS ph, coalesce({_HINT(identifiers.SAMPLE_HINTS)}, false) AS sh, coalesce({_HINT(identifiers.MODEL_HINTS)}, false) AS mh FROM id_map),
@@ -191,14 +202,15 @@ UNION ALL SELECT map_id, v, 'patient_col_value' FROM x WHERE ph UNION ALL SELECT
     "q_best_crosswalk": f"""
 WITH {_LEVEL}, m AS (SELECT source_col, {_KEY} AS value, key, round(avg(confidence), 6) AS mean_confidence, count(*) AS n FROM y WHERE {_KEY} IS NOT NULL GROUP BY 1, 2, 3),
 b AS (SELECT *, row_number() OVER (PARTITION BY source_col, value ORDER BY mean_confidence DESC, n DESC, key) AS rn FROM m) SELECT source_col, value, key, mean_confidence, n FROM b WHERE rn = 1""",
-    "q_namespaces": "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS namespace, count(*) AS n, count(DISTINCT text) AS n_distinct FROM documents WHERE regexp_matches(text, '(?i)(^|[^A-Za-z0-9_]){p}($|[^A-Za-z0-9_])')" for n, p in identifiers.NAMESPACES.items()) + ") WHERE n > 0",
+    "q_namespaces": "WITH h AS (" + " UNION ALL ".join(f"SELECT '{n}' AS namespace, text, upper(regexp_extract(text, '(?i)(?:^|[^A-Za-z0-9_])({p})(?:$|[^A-Za-z0-9_])', 1)) AS example FROM documents" for n, p in identifiers.NAMESPACES.items())
+    + ") SELECT namespace, count(*) AS n, count(DISTINCT text) AS n_distinct, array_to_string(list_sort(list(DISTINCT example))[1:5], '|') AS examples FROM h WHERE example <> '' GROUP BY namespace",
     "q_stable_ids": "SELECT vocab_id, left(sha256(term), 8) AS uid, left(md5(term), 12) AS file_id, 'P' || upper(left(sha1(term), 12)) AS person_id FROM vocabulary WHERE term IS NOT NULL",
     "q_well_formed": "SELECT source_file, count(*) FILTER (regexp_matches(raw_value, '^[A-Za-z0-9_.-]+$')) AS n_formed, count(*) AS n, CAST(min(length(raw_value)) AS INTEGER) AS shortest, CAST(max(length(raw_value)) AS INTEGER) AS longest FROM id_map WHERE raw_value IS NOT NULL GROUP BY 1",
     "q_sniffed_ids": """
 SELECT column_name, hits, round(hits / n, 6) AS share FROM (SELECT column_name, count(*) FILTER (regexp_matches(value, '(?i)^tcga[-_][a-z0-9]{2}[-_][a-z0-9]{4}')) AS hits, count(*) AS n
 FROM (UNPIVOT (SELECT source_file, source_col, raw_value, patient_key, rule FROM id_map) ON COLUMNS(*) INTO NAME column_name VALUE value) GROUP BY 1) WHERE hits >= 10 AND hits >= n * 0.02""",
     "q_components": _GROUPS + " SELECT * FROM g",
-    "q_component_sizes": _GROUPS + " SELECT root, count(*) AS size FROM g GROUP BY root",
+    "q_component_sizes": _GROUPS + " SELECT root, count(*) AS size, array_to_string(list_sort(list(node))[1:50], '|') AS members FROM g GROUP BY root",
     "q_shortest_names": _GROUPS + " SELECT node, first_value(node) OVER (PARTITION BY root ORDER BY length(node), node) AS name FROM g",
     "q_master_index": _GROUPS + " SELECT printf('P%08d', dense_rank() OVER (ORDER BY root)) AS master_patient_id, node AS patient_key FROM g",
     "q_graph_nodes": "SELECT 'sample:' || c_custkey AS id, c_name AS label, 'sample' AS type FROM customer UNION ALL SELECT 'list:' || n_nationkey, n_name, 'list' FROM nation UNION ALL SELECT 'document:' || o_orderkey, min(o_orderstatus), 'document' FROM orders GROUP BY o_orderkey",

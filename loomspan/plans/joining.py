@@ -275,8 +275,8 @@ SELECT doc_id, count(*) AS n_lines, count(DISTINCT head) AS n_heads, arg_max(hea
 WITH r AS (SELECT c_custkey, c_mktsegment, c_name, c_acctbal, row_number() OVER (PARTITION BY c_mktsegment ORDER BY md5(CAST(c_custkey AS VARCHAR)), c_custkey) AS rn FROM customer WHERE c_mktsegment IS NOT NULL)
 SELECT * FROM r WHERE rn <= (SELECT min(n) FROM (SELECT count(*) AS n FROM r GROUP BY c_mktsegment))""",
     "q_split": "SELECT o_orderkey, CASE WHEN (o_orderkey * 7919 + 104729) % 100 < 20 THEN 'test' ELSE 'train' END AS part FROM orders",
-    "q_transposed": """
-PIVOT (UNPIVOT (SELECT c_mktsegment, CAST(count(*) AS VARCHAR) AS n, CAST(max(c_custkey) AS VARCHAR) AS last_key FROM customer GROUP BY 1) ON n, last_key INTO NAME feature VALUE value) ON c_mktsegment USING min(value) GROUP BY feature""",
+    "q_transposed": "WITH c AS (SELECT c_mktsegment, unnest(['n', 'last_key']) AS feature, unnest([CAST(count(*) AS VARCHAR), CAST(max(c_custkey) AS VARCHAR)]) AS value FROM customer GROUP BY c_mktsegment) SELECT feature, "
+    + ", ".join(f"min(value) FILTER (c_mktsegment = '{s}') AS {s}" for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")) + " FROM c GROUP BY feature",
     "q_event_windows": "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2",
     "q_event_sessions": """
 WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events),

@@ -42,6 +42,13 @@ def q_boosted_regression(spark: SparkSession, d: str) -> DataFrame:
     return reports.boosted_regression(rows, "o_orderkey", "o_totalprice", ["c_acctbal", "c_nationkey"], ["o_orderpriority", "c_mktsegment"], rounds=5)
 
 
+def q_boosted_fit(spark: SparkSession, d: str) -> DataFrame:
+    """Trees that must explain a line's revenue by its price and discount; split by id, measured on the held-out part (ML-01)."""
+    rows = table(spark, d, "lineitem").withColumns({"line_id": F.col("l_orderkey") * 8 + F.col("l_linenumber"), "revenue": F.col("l_extendedprice") * (1 - F.col("l_discount"))})
+    made = reports.boosted_regression(rows, "line_id", "revenue", ["l_extendedprice", "l_discount", "l_tax"], ["l_returnflag"], rounds=8)
+    return made.select("n_train", "n_test", (F.col("r2") > 0.9).alias("fits"), (F.col("mse") > 0).alias("has_error"))
+
+
 def q_footers(spark: SparkSession, d: str) -> DataFrame:
     paths = files.inventory(spark, d, "*.parquet")
     return files.expansion(files.footers(paths, "path"))
@@ -89,6 +96,7 @@ g AS (SELECT lower(term) AS candidate, {_GUESS} AS suggested_type, n, s FROM (SE
 SELECT candidate, suggested_type, CAST(sum(n) AS BIGINT) AS total_count, string_agg(DISTINCT s, '|' ORDER BY s) AS sources FROM g WHERE candidate NOT IN (SELECT lower(term) FROM vocabulary WHERE term IS NOT NULL) GROUP BY 1, 2""",
     "q_regression_line": """
 SELECT CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n, round(regr_slope(l_extendedprice, l_quantity), 6) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept, round(regr_r2(l_extendedprice, l_quantity), 6) AS r2 FROM lineitem""",
+    "q_boosted_fit": "SELECT count(*) FILTER (b >= 20) AS n_train, count(*) FILTER (b < 20) AS n_test, true AS fits, true AS has_error FROM (SELECT ((l_orderkey * 8 + l_linenumber) * 7919 + 104729) % 100 AS b FROM lineitem)",
     "q_manifest_dropped": "SELECT DISTINCT source_file FROM id_map WHERE source_file IS NOT NULL AND source_file NOT IN (SELECT source_file FROM id_map WHERE master_patient_id = 'UNASSIGNED' AND source_file IS NOT NULL)",
     "q_json_values": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, CAST(date_diff('day', CAST(ts AS DATE), DATE '2024-12-31') AS INTEGER) AS age_days FROM events",
 }

@@ -209,6 +209,26 @@ def q_footer_counts(spark: SparkSession, d: str) -> DataFrame:
     return foot.select(F.regexp_extract("path", "name=([a-z]+)/", 1).alias("name"), "n_columns", "n_rows", F.col("error").isNotNull().alias("broken"), (F.col("raw_bytes") > 0).alias("sized"))
 
 
+def q_unsafe_written(spark: SparkSession, d: str) -> DataFrame:
+    """Files that are unreadable, too wide or too dense, by their footers (RPT-06, RPT-07, FLT-10, ORC-07)."""
+    at = _folder(spark)
+    sinks.write_parquet(table(spark, d, "region").coalesce(1), f"{at}/fine")
+    sinks.write_parquet(table(spark, d, "part").coalesce(1), f"{at}/wide")
+    sinks.write_parquet(spark.range(0, 3_000_000, 1, 1).select(F.lit(1).alias("x")), f"{at}/dense")
+    files.put(spark, f"{at}/broken/x.parquet", "PAR1")
+    foot = files.footers(files.inventory(spark, at, "*.parquet"), "path")
+    sized = files.expansion(foot).select("path", (F.col("raw_mb") > 0).alias("sized"))
+    return reports.unsafe_files(foot, most_columns=5).join(sized, "path", "left").select(F.element_at(F.split("path", "/"), -2).alias("folder"), "reason", "sized")
+
+
+def q_repository_written(spark: SparkSession, d: str) -> DataFrame:
+    """An inventory by extension (RPT-11, SRC-22)."""
+    at = _folder(spark)
+    for name, size in (("a.csv", 10), ("b/c.CSV", 30), ("d.txt", 7), ("none", 4)):
+        files.put(spark, f"{at}/{name}", "x" * size)
+    return reports.repository_summary(files.inventory(spark, at))
+
+
 # Work in portions.
 
 
@@ -318,6 +338,8 @@ SELECT CASE WHEN event_type = 'click' THEN 'https://h.org/' || event_id || '.csv
 SELECT 'region' AS name, 2::BIGINT AS n_columns, count(*) AS n_rows, false AS broken, true AS sized FROM region UNION ALL SELECT 'nation', 3, count(*), false, true FROM nation
 UNION ALL SELECT 'supplier', 4, count(*), false, true FROM supplier UNION ALL SELECT 'customer', 5, count(*), false, true FROM customer UNION ALL SELECT 'orders', 6, count(*), false, true FROM orders
 UNION ALL SELECT 'broken', NULL, NULL, true, NULL""",
+    "q_unsafe_written": _values("folder, reason, sized", "'wide', 'width', true", "'dense', 'density', true", "'broken', 'unreadable', NULL"),
+    "q_repository_written": _values("extension, n_files, bytes, largest", "'csv', 2::BIGINT, 40::BIGINT, 30::BIGINT", "'txt', 1, 7, 7", "'', 1, 4, 4"),
     "q_stream_appended": "SELECT event_id, user_id, event_type FROM events",
     "q_stream_components": _LINKED,
     "q_stream_windows": "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2",

@@ -54,14 +54,14 @@ raw AS (
 """
 
 # The codebook of the test tables, by kind.
-_CODEBOOK = {
+CODEBOOK = {
     "numeric": """age_at_diagnosis cell_count dose_mg drug_loading_pct expr_cowo7 expr_diwa6 expr_geba6 expr_hazi5 expr_judi5 expr_kocu4 expr_migu4 expr_nege3 expr_qake3 expr_qujo2 expr_somo2
 expr_tima1 expr_weqa1 expr_zusi7 followup_days ki_index_pct mutation_burden node_count particle_size_nm polydispersity rna_integrity tumor_size_mm viability_pct zeta_potential_mv""",
     "boolean": "brx1_mutation er_status her2_status menopausal pr_status prior_chemo relapse tpv3_mutation",
     "category": "carrier_class grade_label lineage response sample_type stage subtype vendor_batch",
 }
 _AS = {"numeric": "number", "boolean": "cell = 'true'", "category": "cell"}
-_COLUMNS = ", ".join(f"any_value({_AS[kind]}) FILTER (feature = '{name}') AS {name}" for kind, names in _CODEBOOK.items() for name in names.split())
+_COLUMNS = ", ".join(f"any_value({_AS[kind]}) FILTER (feature = '{name}') AS {name}" for kind, names in CODEBOOK.items() for name in names.split())
 
 SQL = {
     "p2_wide": _BEST + f", one AS (SELECT sample_id, {_COLUMNS} FROM best WHERE rn = 1 GROUP BY sample_id) SELECT * FROM (SELECT DISTINCT sample_id FROM features WHERE sample_id IS NOT NULL) LEFT JOIN one USING (sample_id)",
