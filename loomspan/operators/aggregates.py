@@ -40,25 +40,32 @@ def least_values(df: DataFrame, keys: Sequence[str], value: str, n: int, to: str
 
 def typed_aggregate(df: DataFrame, key: str, order: Sequence[Column], texts_as: str = "first") -> DataFrame:
     """One row per key, each column by its type (AGG-05, AGG-06): numbers by mean, booleans by any, lists by the union of
-    their elements, texts by the first non-null in the given order, or (texts_as='list') all distinct ones joined."""
+    their elements, texts by the first non-null in the given order, or (texts_as='list') all distinct ones joined.
+
+    Elements of lists and texts to be joined are made distinct before a key's are gathered, so that a key holds as many as
+    its result does, however many rows it has.
+    """
     sort = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
-    out = []
+    plain, gathered = [], {}
     for f in df.schema:
         if f.name == key:
             continue
         c = F.col(q(f.name))
         if isinstance(f.dataType, T.BooleanType):
-            e = F.bool_or(c)
+            plain.append(F.bool_or(c).alias(f.name))
         elif isinstance(f.dataType, T.NumericType):
-            e = F.avg(c)
+            plain.append(F.avg(c).alias(f.name))
         elif isinstance(f.dataType, T.ArrayType):
-            e = F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+            gathered[f.name] = df.select(F.col(q(key)).alias("_k"), F.explode(c).alias("_v")), lambda v: v, F.array().cast(f.dataType)
         elif texts_as == "list":
-            e = F.array_join(F.array_sort(F.collect_set(c.cast("string"))), "|")
+            gathered[f.name] = df.select(F.col(q(key)).alias("_k"), c.cast("string").alias("_v")), lambda v: F.array_join(v, "|"), F.lit("")
         else:
-            e = F.min_by(c, F.when(c.isNotNull(), sort))
-        out.append(e.alias(f.name))
-    return df.groupBy(key).agg(*out)
+            plain.append(F.min_by(c, F.when(c.isNotNull(), sort)).alias(f.name))
+    out = df.groupBy(key).agg(*plain) if plain else df.select(key).distinct()
+    for name, (rows, shown, none) in gathered.items():
+        lists = rows.filter("_v is not null").distinct().groupBy("_k").agg(F.array_sort(F.collect_list("_v")).alias("_l"))
+        out = out.join(lists, F.col(q(key)).eqNullSafe(F.col("_k")), "left").withColumn(name, F.coalesce(shown(F.col("_l")), none)).drop("_k", "_l")
+    return out.select(*df.columns)
 
 
 def feature_prevalence(store: DataFrame, k: int | None = None) -> DataFrame:

@@ -90,13 +90,16 @@ def keyword_hits(df: DataFrame, text: str, keywords: Sequence[str]) -> DataFrame
     return df.withColumn("keyword", F.explode(hits))
 
 
-def pairs_within(df: DataFrame, group: Sequence[str], item: str, kind: str | None = None) -> DataFrame:
+def pairs_within(df: DataFrame, group: Sequence[str], item: str, kind: str | None = None, most: int = 2000) -> DataFrame:
     """Ordered pairs (left_item, right_item) of distinct items of one group (JN-14), of differing kinds if a kind is named.
 
-    For groups that are small by nature, such as a sentence's mentions: its distinct items are paired within the row.
+    For groups that are small by nature, such as a sentence's mentions: its distinct items are paired within the row. A
+    group of more than ``most`` distinct items is none of these; it fails the query instead of flooding it.
     """
     cells = F.struct(F.col(q(item)).alias("i"), (F.col(q(kind)) if kind else F.lit(None).cast("string")).alias("k"))
-    lists = df.filter(F.col(q(item)).isNotNull()).groupBy(*group).agg(F.array_sort(F.collect_set(cells)).alias("items"))
+    distinct = df.filter(F.col(q(item)).isNotNull()).select(*group, cells.alias("c")).distinct()
+    sizes = F.when(F.count("*") <= most, F.array_sort(F.collect_list("c"))).otherwise(F.raise_error(F.lit(f"a group has more than {most} items to pair")))
+    lists = distinct.groupBy(*group).agg(sizes.alias("items"))
     rows = lists.withColumn("l", F.explode("items")).withColumn("r", F.explode("items"))
     apart = (F.col("l.i") != F.col("r.i")) & (F.col("l.k") != F.col("r.k") if kind else F.lit(True))
     return rows.filter(apart).select(*group, F.col("l.i").alias("left_item"), F.col("r.i").alias("right_item"))
@@ -137,12 +140,13 @@ def best_column_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
 def first_of_matches(left: DataFrame, key: str, attempts: Sequence[tuple[DataFrame, Column, Column]], value: str) -> DataFrame:
     """For each row of left the match of the first attempt that has one (JN-17): attempts are (table, left key, table key).
 
-    Each attempt is an equi-join of its own; of several matches in one attempt the least value counts.
+    Each attempt is an equi-join of its own with one row a key; of several matches in one attempt the least value counts.
     """
     out = None
     for rank, (table, own, other) in enumerate(attempts):
         keys = left.select(F.col(q(key)).alias("_id"), own.alias("_k")).filter("_k is not null")
-        hits = keys.join(table.select(other.alias("_o"), F.col(q(value)).alias("match")), F.col("_k") == F.col("_o")).select("_id", F.lit(rank).alias("attempt"), "match")
+        one = table.groupBy(other.alias("_o")).agg(F.min(F.col(q(value))).alias("match"))
+        hits = keys.join(one, F.col("_k") == F.col("_o")).select("_id", F.lit(rank).alias("attempt"), "match")
         out = hits if out is None else out.unionByName(hits)
     best = out.groupBy("_id").agg(F.min(F.struct("attempt", "match")).alias("b"))
     return left.join(best, F.col(q(key)) == F.col("_id"), "left").withColumns({"attempt": F.col("b.attempt"), "match": F.col("b.match")}).drop("_id", "b")

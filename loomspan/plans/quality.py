@@ -11,6 +11,7 @@ from loomspan.sources import files
 
 
 def q_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """All canonical terms; the terms of the atlas files stand for what was found."""
     terms = table(spark, d, "structured_vocab_raw").filter("trim(canonical) <> ''").select(F.col("canonical").alias("term"), F.coalesce("term_type", F.lit("none")).alias("domain"))
     found = table(spark, d, "structured_vocab_raw").filter("source_file like '%atlas%'")
     return reports.coverage(terms, "term", "domain", found, "term")
@@ -63,6 +64,7 @@ def q_repository_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_manifest_dropped(spark: SparkSession, d: str) -> DataFrame:
+    """All source files as the manifest; those with an unassigned patient stand for the files that are there."""
     wanted = table(spark, d, "id_map").select("source_file").filter("source_file is not null").distinct()
     return reports.dropped_manifest(wanted, "source_file", table(spark, d, "id_map").filter("master_patient_id = 'UNASSIGNED'"), "source_file")
 
