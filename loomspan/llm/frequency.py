@@ -45,10 +45,10 @@ def term_key(term: Column) -> Column:
     return F.when(F.length(key) > 0, key)
 
 
-def _scratch() -> str:
-    """A folder of this task's own on the executor's spill disk; it holds nothing that another task needs."""
-    local = next((d for d in (os.environ.get("LOCAL_DIRS") or os.environ.get("SPARK_LOCAL_DIRS") or "").split(",") if os.path.isdir(d)), None)
-    return tempfile.mkdtemp(prefix="radix-", dir=local)
+def _scratch(local_dirs: str) -> str:
+    """A folder of this task's own on the disks that the engine itself spills to; it holds nothing that another task needs."""
+    named = os.environ.get("LOCAL_DIRS") or os.environ.get("SPARK_LOCAL_DIRS") or local_dirs
+    return tempfile.mkdtemp(prefix="radix-", dir=next(d for d in named.split(",") if os.path.isdir(d)))
 
 
 class _Aggregate:
@@ -115,9 +115,9 @@ def _drain(spill: _Spill, folder: str, limit: int, aggregate: _Aggregate) -> Ite
             yield from _drain(deeper, folder, limit, aggregate)
 
 
-def _radix_aggregate(limit: int, sql: str):
+def _radix_aggregate(limit: int, sql: str, local_dirs: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        folder = _scratch()
+        folder = _scratch(local_dirs)
         try:
             aggregate = _Aggregate(folder, sql)
             held, held_bytes, spill = [], 0, None
@@ -194,16 +194,17 @@ def term_frequencies(occurrences: DataFrame, rare: int = 3, common: float = 0.5,
     """
     spark = occurrences.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    local_dirs = spark.sparkContext.getConf().get("spark.local.dir", "/tmp")  # where the engine spills, unless the cluster names other disks
     rows = occurrences.select(F.col("occ_id").cast("bigint").alias("occ_id"), term_key(F.col("term")).alias("term"), "source_file", F.coalesce(F.col("freq").cast("bigint"), F.lit(1)).alias("freq"))
     rows = rows.filter("term is not null").withColumn("h", F.xxhash64("term"))
     hot = hot_hashes(rows.select("h"), hot_share)
     salt = F.when(F.col("occ_id").isNull(), F.floor(F.rand(7) * parts)).otherwise(F.pmod(F.xxhash64("occ_id"), F.lit(parts)))
     rows = rows.withColumn("hot", F.col("h").isin(hot)).withColumn("h", F.when(F.col("hot"), F.xxhash64("h", salt)).otherwise(F.col("h")))
-    first = rows.repartition(parts, "h").mapInArrow(_radix_aggregate(partition_bytes, _OCCURRENCES), _PARTIAL)
+    first = rows.repartition(parts, "h").mapInArrow(_radix_aggregate(partition_bytes, _OCCURRENCES, local_dirs), _PARTIAL)
     if hot:
         first = cut(first)
         by_file = first.filter("hot").drop("n_files").withColumn("h", F.xxhash64("term", "source_file")).repartition(parts, "h")
-        shares = by_file.mapInArrow(_radix_aggregate(partition_bytes, _BY_FILE), _PARTIAL)
+        shares = by_file.mapInArrow(_radix_aggregate(partition_bytes, _BY_FILE, local_dirs), _PARTIAL)
         first = first.filter("not hot").unionByName(shares.groupBy("term").agg(F.sum("freq").alias("freq"), F.sum("n_files").alias("n_files")), allowMissingColumns=True)
     files = occurrences.agg(F.count_distinct("source_file").alias("all_files"))
     marked = first.join(F.broadcast(files), how="cross")  # one row, by construction
