@@ -246,6 +246,23 @@ def connected(edges: DataFrame, limit: int = 1_000_000) -> DataFrame:
     return top.toDF("node", "root")
 
 
+def reached(links: DataFrame, starts: DataFrame, most_steps: int) -> DataFrame:
+    """(node, depth): what the links (src, dst) reach from the starts (src) within so many steps, and after how few (GR-07).
+
+    Breadth first: each step joins what is new with the links and leaves out what was visited; steps are written tables, at
+    most most_steps of them.
+    """
+    visited = cut(starts.select(F.col("src").alias("node")).filter("node is not null").distinct().withColumn("depth", F.lit(0)))
+    new = visited
+    for step in range(1, most_steps + 1):
+        ahead = new.join(links.filter("dst is not null"), F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
+        new = cut(ahead.join(visited.select("node"), "node", "left_anti").withColumn("depth", F.lit(step)))
+        if new.isEmpty():
+            break
+        visited = visited.unionByName(new)
+    return visited
+
+
 def shortest_names(components: DataFrame) -> DataFrame:
     """(node, name): each component's shortest node, then the least, as its name (GR-02)."""
     names = components.groupBy("root").agg(F.min_by("node", F.struct(F.length("node"), "node")).alias("name"))

@@ -42,6 +42,15 @@ def q_feature_pivot(spark: SparkSession, d: str) -> DataFrame:
     return shape.pivoted(facts, ["sample_id"], value="value_num", features=names)
 
 
+def q_pivots_joined(spark: SparkSession, d: str) -> DataFrame:
+    """Numbers and texts of a feature store, each pivoted, side by side by sample (JN-07, PRJ-14)."""
+    names = shape.distinct_values(table(spark, d, "feature_dictionary"), "feature")
+    facts = joins.members(table(spark, d, "features"), "feature", table(spark, d, "feature_dictionary"), "feature")
+    numbers = shape.pivoted(facts.filter("value_num is not null"), ["sample_id"], value="value_num", features=names)
+    texts = shape.pivoted(facts.filter("value_txt is not null"), ["sample_id"], value="value_txt", features=names)
+    return joins.outer_all([numbers, texts.toDF("sample_id", *[f"txt_{c}" for c in texts.columns[1:]])], "sample_id")
+
+
 def q_typed_aggregate(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").select("o_custkey", "o_orderkey", (F.col("o_totalprice") > 400000).alias("large"), "o_totalprice", "o_orderpriority")
     out = aggregates.typed_aggregate(orders, "o_custkey", [F.col("o_orderkey")])
@@ -190,6 +199,8 @@ SQL = {
     "q_feature_melt": " UNION ALL ".join([_melt("customer", "c_custkey", "c_nationkey c_acctbal", "c_name c_mktsegment"), _melt("supplier", "s_suppkey", "s_nationkey s_acctbal", "s_name"), _melt("part", "p_partkey", "p_size p_retailprice", "p_name p_brand p_type")]),
     "q_feature_prevalence": "SELECT feature, count(DISTINCT sample_id) AS n FROM features WHERE value_num IS NOT NULL OR value_txt IS NOT NULL GROUP BY feature",
     "q_feature_pivot": "SELECT sample_id, " + ", ".join(f"min(value_num) FILTER (feature = '{n}') AS {n}" for ns in CODEBOOK.values() for n in ns.split()) + " FROM features WHERE feature IN (SELECT feature FROM feature_dictionary) GROUP BY sample_id",
+    "q_pivots_joined": "SELECT sample_id, " + ", ".join(f"min(value_num) FILTER (feature = '{n}') AS {n}, min(value_txt) FILTER (feature = '{n}') AS txt_{n}" for ns in CODEBOOK.values() for n in ns.split())
+    + " FROM features WHERE feature IN (SELECT feature FROM feature_dictionary) AND sample_id IS NOT NULL AND (value_num IS NOT NULL OR value_txt IS NOT NULL) GROUP BY sample_id",
     "q_typed_aggregate": "SELECT o_custkey, bool_or(o_totalprice > 400000) AS large, round(avg(o_totalprice), 3) AS o_totalprice, arg_min(o_orderpriority, o_orderkey) AS o_orderpriority FROM orders GROUP BY o_custkey",
     "q_text_lists": "SELECT o_custkey, string_agg(DISTINCT o_orderpriority, '|' ORDER BY o_orderpriority) AS o_orderpriority FROM orders GROUP BY o_custkey",
     "q_one_hot": "SELECT o_orderkey, " + ", ".join(f"CASE WHEN o_orderstatus = '{s}' THEN 1 ELSE 0 END AS o_orderstatus_{s}" for s in "FOP") + " FROM orders",

@@ -190,6 +190,39 @@ def q_report_lines(spark: SparkSession, d: str) -> DataFrame:
     return _named(spark, [(i, line) for i, line in enumerate(text.splitlines())], "line_no int, line string")
 
 
+def q_bars(spark: SparkSession, d: str) -> DataFrame:
+    """The bars of a chart of the largest nations, by their place and width (SNK-11)."""
+    counts = table(spark, d, "customer").groupBy("c_nationkey").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "c_nationkey").limit(10)
+    svg = sinks.bar_chart(counts, "c_nationkey", "n", "Customers by nation")
+    bars = spark.createDataFrame([(svg,)], "svg string").select(F.explode(F.regexp_extract_all("svg", F.lit('(<rect [^>]*data-label="[^"]*"[^>]*>)'), F.lit(1))).alias("bar"))
+    return bars.select(F.regexp_extract("bar", 'data-label="([^"]*)"', 1).alias("label"), F.regexp_extract("bar", ' y="([0-9]+)"', 1).cast("int").alias("y"), F.regexp_extract("bar", ' width="([0-9.]+)"', 1).cast("double").alias("width"))
+
+
+def q_treemap(spark: SparkSession, d: str) -> DataFrame:
+    """The areas of a treemap: each in proportion to its value, together the whole (SNK-11)."""
+    sizes = table(spark, d, "part").groupBy("p_type").agg(F.count("*").alias("n"))
+    svg = sinks.treemap(sizes, "p_type", "n", "Parts by type", 1000, 600)
+    tiles = spark.createDataFrame([(svg,)], "svg string").select(F.explode(F.regexp_extract_all("svg", F.lit('(<rect [^>]*data-label="[^"]*"[^>]*>)'), F.lit(1))).alias("t"))
+    side = lambda name: F.regexp_extract("t", f' {name}="([0-9.]+)"', 1).cast("double")
+    return tiles.select(F.regexp_extract("t", 'data-label="([^"]*)"', 1).alias("label"), F.round(side("width") * side("height") / 600000 * table(spark, d, "part").count()).cast("bigint").alias("n"))
+
+
+def q_fetch_plan(spark: SparkSession, d: str) -> DataFrame:
+    """What a manifest still has to fetch, and how, beside what is there (SRC-27, SRC-28, JN-18)."""
+    at = _folder(spark)
+    for name, size in (("x.csv", 10), ("y.gz.part", 4), ("w.csv", 3)):
+        files.put(spark, f"{at}/{name}", "x" * size)
+    wanted = spark.createDataFrame([("https://a.org/x.csv", 10), ("ftp://b.org/y.gz", 9), ("file:///data/z.csv", None), ("https://a.org/w.csv", 5), ("gopher://old", None), (None, 1)], "url string, size bigint")
+    return files.fetch_plan(wanted, "url", "size", files.inventory(spark, at)).select("url", "way", "action", "have")
+
+
+def q_reached(spark: SparkSession, d: str) -> DataFrame:
+    """What a crawl from some places reaches within three steps, and after how many (GR-07, SRC-29)."""
+    n = table(spark, d, "orders").count()
+    links = table(spark, d, "orders").select(F.concat(F.lit("p"), F.col("o_orderkey")).alias("src"), F.explode(F.array((F.col("o_orderkey") * 3 + 1) % n, (F.col("o_orderkey") * 7 + 2) % n)).alias("k")).select("src", F.concat(F.lit("p"), F.col("k")).alias("dst"))
+    return identifiers.reached(links, spark.createDataFrame([("p0",), ("p5",), ("p5",), (None,)], "src string"), 3)
+
+
 def q_failures(spark: SparkSession, d: str) -> DataFrame:
     """Lines of a log that tell of a failure, with the first address in them (SRC-32, FLT-11)."""
     at = _folder(spark)
@@ -333,7 +366,17 @@ SELECT CAST(row_number() OVER (ORDER BY o) - 1 AS INTEGER) AS line_no, line FROM
     SELECT -4 AS o, '# Regions' AS line UNION ALL SELECT -3, '' UNION ALL SELECT -2, '| r_regionkey | r_name |' UNION ALL SELECT -1, '| --- | --- |'
     UNION ALL SELECT r_regionkey, '| ' || r_regionkey || ' | ' || r_name || ' |' FROM region)""",
     "q_failures": """
-SELECT CASE WHEN event_type = 'click' THEN 'https://h.org/' || event_id || '.csv' END AS url, count(*) AS n FROM events WHERE event_type <> 'view' GROUP BY 1""",
+WITH l AS (SELECT CASE event_type WHEN 'click' THEN 'ERROR 404 at https://h.org/' || event_id || '.csv, see https://x.org' WHEN 'view' THEN 'read https://h.org/' || event_id || '.csv' ELSE 'Timeout' END AS line FROM events)
+SELECT nullif(regexp_extract(line, 'https://[^ ,]+'), '') AS url, count(*) AS n FROM l WHERE regexp_matches(lower(line), 'error|fail|timeout|404|403') GROUP BY 1""",
+    "q_bars": """
+WITH c AS (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1 ORDER BY n DESC, c_nationkey LIMIT 10)
+SELECT CAST(c_nationkey AS VARCHAR) AS label, CAST(40 + 24 * (row_number() OVER (ORDER BY n DESC, CAST(c_nationkey AS VARCHAR)) - 1) AS INTEGER) AS y, round(600.0 * n / max(n) OVER (), 1)::DOUBLE AS width FROM c""",
+    "q_treemap": "SELECT p_type AS label, count(*) AS n FROM part GROUP BY p_type",
+    "q_fetch_plan": _values("url, way, action, have", "'https://a.org/x.csv', 'http', 'skip', 10::BIGINT", "'ftp://b.org/y.gz', 'ftp', 'resume', 4", "'file:///data/z.csv', 'copy', 'fetch', 0", "'https://a.org/w.csv', 'http', 'fetch', 3", "'gopher://old', 'unknown', 'refuse', 0"),
+    "q_reached": """
+WITH RECURSIVE n AS (SELECT count(*) AS n FROM orders), l AS (SELECT 'p' || o_orderkey AS src, 'p' || unnest([(o_orderkey * 3 + 1) % n, (o_orderkey * 7 + 2) % n]) AS dst FROM orders, n),
+r AS (SELECT 'p0' AS node, 0 AS depth UNION SELECT 'p5', 0 UNION SELECT dst, depth + 1 FROM r JOIN l ON src = node WHERE depth < 3)
+SELECT node, CAST(min(depth) AS INTEGER) AS depth FROM r GROUP BY node""",
     "q_footer_counts": """
 SELECT 'region' AS name, 2::BIGINT AS n_columns, count(*) AS n_rows, false AS broken, true AS sized FROM region UNION ALL SELECT 'nation', 3, count(*), false, true FROM nation
 UNION ALL SELECT 'supplier', 4, count(*), false, true FROM supplier UNION ALL SELECT 'customer', 5, count(*), false, true FROM customer UNION ALL SELECT 'orders', 6, count(*), false, true FROM orders

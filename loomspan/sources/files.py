@@ -187,6 +187,24 @@ def manifest(spark: SparkSession, path: str, required: Sequence[str]) -> DataFra
     return df
 
 
+def fetch_plan(manifest: DataFrame, url: str, size: str, there: DataFrame) -> DataFrame:
+    """Each address of a manifest with how it is fetched (way: copy, http, ftp or unknown), what to do (action: skip, resume,
+    fetch or refuse) and how many bytes are there (SRC-27, SRC-28); the fetching itself is left to others.
+
+    A file that is there is skipped, unless the manifest has its size and that differs; a part of it (.part) is resumed.
+    Addresses are matched by their last part; ``there`` is an inventory. Null addresses have no row.
+    """
+    from loomspan.functions.urls import leaf
+
+    sizes = there.groupBy(F.regexp_replace("name", r"\.part$", "").alias("_leaf")).agg(F.max(F.when(~F.col("name").endswith(".part"), F.col("bytes"))).alias("_whole"), F.max(F.when(F.col("name").endswith(".part"), F.col("bytes"))).alias("_part"))
+    rows = manifest.filter(F.col(q(url)).isNotNull()).withColumn("_leaf", leaf(F.col(q(url)))).join(sizes, "_leaf", "left")
+    scheme = F.lower(F.regexp_extract(F.col(q(url)), r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
+    way = F.when(scheme == "file", "copy").when(scheme.isin("http", "https"), "http").when(scheme == "ftp", "ftp").otherwise("unknown")
+    whole = (F.col("_whole") > 0) & (F.col(q(size)).isNull() | (F.col("_whole") == F.col(q(size))))
+    action = F.when(way == "unknown", "refuse").when(F.coalesce(whole, F.lit(False)), "skip").when(F.col("_part") > 0, "resume").otherwise("fetch")
+    return rows.withColumns({"way": way, "action": action, "have": F.coalesce("_whole", "_part", F.lit(0).cast("bigint"))}).drop("_leaf", "_whole", "_part")
+
+
 def sectioned_lines(texts: DataFrame, path: str, text: str) -> DataFrame:
     """(path, line_no, section, line): lines of lists with headers of the form # [NAME], each with its section (SRC-31, WIN-12)."""
     from loomspan.operators.windows import carried

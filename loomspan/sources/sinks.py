@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html import escape as _escape
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,3 +81,41 @@ def report(df: DataFrame, title: str, most: int = 200) -> str:
     rows = df.limit(most).collect()
     lines = [f"# {title}", "", "| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
     return "\n".join([*lines, *["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows]]) + "\n"
+
+
+def _shapes(df: DataFrame, label: str, value: str, most: int) -> list[tuple[str, float]]:
+    rows = df.select(F.col(q(label)).cast("string").alias("l"), F.col(q(value)).cast("double").alias("v")).filter("v > 0").orderBy(F.desc("v"), "l").limit(most).collect()
+    return [(_escape(r["l"] or ""), r["v"]) for r in rows]
+
+
+def bar_chart(df: DataFrame, label: str, value: str, title: str, most: int = 50) -> str:
+    """A bar chart as SVG, the largest values first (SNK-11); a chart shows no more than ``most`` bars."""
+    rows = _shapes(df, label, value, most)
+    top = max((v for _, v in rows), default=1.0)
+    bars = [f'<rect data-label="{name}" x="160" y="{40 + 24 * i}" width="{round(600 * v / top, 1)}" height="18" fill="#4878a8"/><text x="150" y="{54 + 24 * i}" text-anchor="end">{name}</text>' for i, (name, v) in enumerate(rows)]
+    return f'<svg xmlns="http://www.w3.org/2000/svg" width="800" height="{60 + 24 * len(rows)}"><text x="10" y="24">{_escape(title)}</text>{"".join(bars)}</svg>'
+
+
+def treemap(df: DataFrame, label: str, value: str, title: str, width: int = 1000, height: int = 600, most: int = 200) -> str:
+    """A treemap as SVG (SNK-11): the values halved again and again, the longer side cut each time."""
+    tiles: list[str] = []
+
+    def lay(rows: list[tuple[str, float]], x: float, y: float, w: float, h: float) -> None:
+        if len(rows) == 1:
+            tiles.append(f'<rect data-label="{rows[0][0]}" x="{x:.4f}" y="{y:.4f}" width="{w:.4f}" height="{h:.4f}" fill="#cfe0f0" stroke="#fff"/><text x="{x + 4:.1f}" y="{y + 16:.1f}">{rows[0][0]}</text>')
+            return
+        total, half, at = sum(v for _, v in rows), 0.0, 0
+        while at < len(rows) - 1 and (at == 0 or half + rows[at][1] <= total / 2):
+            half += rows[at][1]
+            at += 1
+        share = half / total
+        if w >= h:
+            lay(rows[:at], x, y, w * share, h)
+            lay(rows[at:], x + w * share, y, w * (1 - share), h)
+        else:
+            lay(rows[:at], x, y, w, h * share)
+            lay(rows[at:], x, y + h * share, w, h * (1 - share))
+
+    if rows := _shapes(df, label, value, most):
+        lay(rows, 0.0, 0.0, float(width), float(height))
+    return f'<svg xmlns="http://www.w3.org/2000/svg" width="{width}" height="{height}"><title>{_escape(title)}</title>{"".join(tiles)}</svg>'
