@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomspan.operators.identifiers import least_roots
 from loomspan.session import cut
 from loomspan.skew import salted_join
 
@@ -54,30 +55,14 @@ def _distinct(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def spanning_forest(a: np.ndarray, b: np.ndarray, level: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(nodes, roots) of the links between nodes a and b, 128-bit numbers as rows of two: union-find with whole arrays.
 
-    Each round hooks the larger root of every link under the smallest root it meets, then halves paths until all nodes
-    point at roots; links within one tree are dropped. The root of a tree is its node of least priority.
+    The root of a tree is its node of least priority.
     """
     nodes, where = _distinct(np.concatenate([a, b]))
     order = np.argsort(_priority(nodes[:, 0], level), kind="stable")
     rank = np.empty(len(nodes), np.int64)
     rank[order] = np.arange(len(nodes))
     u, v = rank[where[: len(a)]], rank[where[len(a) :]]
-    parent = np.arange(len(nodes))
-    while len(u):
-        low, high = np.minimum(u, v), np.maximum(u, v)
-        np.minimum.at(parent, high, low)
-        while True:
-            above = parent[parent]
-            if np.array_equal(above, parent):
-                break
-            parent = above
-        u, v = parent[u], parent[v]
-        apart = u != v
-        u, v = u[apart], v[apart]
-        if len(u):
-            pairs = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1)
-            u, v = pairs
-    return nodes, nodes[order[parent[rank]]]
+    return nodes, nodes[order[least_roots(u, v, len(nodes))[rank]]]
 
 
 _LINK = "a1 bigint, a2 bigint, b1 bigint, b2 bigint"
