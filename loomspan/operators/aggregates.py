@@ -141,38 +141,56 @@ def column_signals(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def exact_quantiles(values: DataFrame, group: str, value: str, shares: Sequence[float]) -> DataFrame:
-    """(group, n, quantiles): exact quantiles, interpolated between neighbours, of any number of values (AGG-15, AGG-26).
+def _ranked(values: DataFrame, group: str, value: str) -> DataFrame:
+    """(g, v, c, p, e): how often (c) each value occurs in its group, range-partitioned by group and value, with the partition
+    p and, within it, how many values of the group there are up to this one (e).
 
-    Equal values are counted first, then range-partitioned by (group, value) and numbered: within a partition by a running
-    sum, before it by the partitions' sums (few numbers). So no task holds a whole group, and a value that makes up most of
-    it is one row. Nulls are left out; NaN is the greatest number.
+    Written: a second evaluation might sample other bounds, and whoever reads sums and rows must read the same partitions.
     """
     spark = values.sparkSession
     counts = values.filter(F.col(q(value)).isNotNull()).groupBy(F.col(q(group)).alias("g"), F.col(q(value)).cast("double").alias("v")).agg(F.count("*").alias("c"))
     ranged = counts.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "g", "v").withColumn("p", F.spark_partition_id())
-    # Written: a second evaluation might sample other bounds, and sums and rows must be of the same partitions.
-    ranged = cut(ranged.withColumn("e", F.sum("c").over(Window.partitionBy("p", "g").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))))
-    sums = ranged.groupBy("g", "p").agg(F.sum("c").alias("s"))
+    return cut(ranged.withColumn("e", F.sum("c").over(Window.partitionBy("p", "g").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))))
+
+
+def _quantiles(ranked: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """(g, n, quantiles) of a table that _ranked gives; the partitions' sums (few numbers) give where each begins."""
+    sums = ranked.groupBy("g", "p").agg(F.sum("c").alias("s"))
     whole = Window.partitionBy("g")
     before = F.coalesce(F.sum("s").over(whole.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sums.select(F.col("g").alias("g2"), F.col("p").alias("p2"), before.alias("start"), F.sum("s").over(whole).alias("n"))
-    rows = ranged.join(F.broadcast(starts), F.col("g").eqNullSafe(F.col("g2")) & (F.col("p") == F.col("p2")))  # one row a group and partition
+    rows = ranked.join(F.broadcast(starts), F.col("g").eqNullSafe(F.col("g2")) & (F.col("p") == F.col("p2")))  # one row a group and partition
     high, low = F.col("start") + F.col("e"), F.col("start") + F.col("e") - F.col("c")
     at = lambda k: F.max(F.when((low <= k) & (k < high), F.col("v")))
     place = [(F.col("n") - 1) * F.lit(float(p)) for p in shares]
     found = rows.groupBy("g", "n").agg(*[x for i, w in enumerate(place) for x in (at(F.floor(w)).alias(f"a{i}"), at(F.ceil(w)).alias(f"z{i}"))])
     between = [F.col(f"a{i}") + (F.col(f"z{i}") - F.col(f"a{i}")) * (w - F.floor(w)) for i, w in enumerate(place)]
-    return found.select(F.col("g").alias(group), "n", F.array(*between).alias("quantiles"))
+    return found.select("g", "n", F.array(*between).alias("quantiles"))
+
+
+def exact_quantiles(values: DataFrame, group: str, value: str, shares: Sequence[float]) -> DataFrame:
+    """(group, n, quantiles): exact quantiles, interpolated between neighbours, of any number of values (AGG-15, AGG-26).
+
+    Equal values are counted first, then range-partitioned by (group, value) and numbered: within a partition by a running
+    sum, before it by the partitions' sums. So no task holds a whole group, and a value that makes up most of it is one row.
+    Nulls are left out; NaN is the greatest number.
+    """
+    return _quantiles(_ranked(values, group, value), shares).withColumnRenamed("g", group)
 
 
 def described(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, n, mean, std, min, q25, median, q75, max): quartiles exact and interpolated (AGG-15, AGG-26)."""
+    """(column_name, n, mean, std, min, q25, median, q75, max): quartiles exact and interpolated (AGG-15, AGG-26).
+
+    The cells are read once, to count equal values; all figures come from the counts.
+    """
     cells = df.select(*[F.col(q(c)).cast("double").alias(c) for c in columns]).unpivot([], [F.col(q(c)) for c in columns], "column_name", "v").filter("v is not null")
-    quarters = exact_quantiles(cells, "column_name", "v", (0.25, 0.5, 0.75))
-    rest = cells.groupBy("column_name").agg(F.count("*").alias("n"), F.round(F.avg("v"), 4).alias("mean"), F.round(F.stddev_samp("v"), 4).alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
+    ranked = _ranked(cells, "column_name", "v")
+    means = ranked.groupBy("g").agg(F.sum("c").alias("n"), (F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"))
+    apart = ranked.join(F.broadcast(means.select("g", "mean")), "g").groupBy("g").agg(F.sum(F.col("c") * (F.col("v") - F.col("mean")) ** 2).alias("sq"))  # one row a column
+    out = means.join(apart, "g").join(_quantiles(ranked, (0.25, 0.5, 0.75)).drop("n"), "g")
     of = lambda i: F.round(F.col("quantiles")[i], 4)
-    return rest.join(quarters.drop("n"), "column_name").select("column_name", "n", "mean", "std", "min", of(0).alias("q25"), of(1).alias("median"), of(2).alias("q75"), "max")
+    std = F.when(F.col("n") > 1, F.round(F.sqrt(F.col("sq") / (F.col("n") - 1)), 4))
+    return out.select(F.col("g").alias("column_name"), "n", F.round("mean", 4).alias("mean"), std.alias("std"), "min", of(0).alias("q25"), of(1).alias("median"), of(2).alias("q75"), "max")
 
 
 def merged_counts(per_document: DataFrame, least: int, k: int) -> DataFrame:
