@@ -120,23 +120,23 @@ _joint_between = rf"{_sp}(?:and|und|y|e|et|&){_sp}"
 _any_given = rf"(?:{_cap}|{_ini})"
 _after_cue = [regex.compile(f"(?:{p}){_END}") for p in [*_forms(_any_given, _cap, _part), *_forms(rf"(?:{_upp}|{_ini})", _upp, _partu)]]
 _lower_after_cue = [regex.compile(f"(?:{p}){_END}") for p in _forms(_given_lower, _low, _part, r"\p{Ll}\.")]
-_free = [
-    regex.compile(f"{_NOT_LETTER}(?:{p}){_END}")
-    for p in [*_forms(_given, _cap, _part), *_forms(_given_upper, _upp, _partu)]
-]
+_spellings = [(_given, _cap, _part, _ini), (_given_upper, _upp, _partu, _ini)]
+#: From a given name on: the name; and a family name and a comma before it, read backwards, with the given name's rest.
+_given_first = [regex.compile(f"(?:{_forms(g, f, p, i)[0]}){_END}") for g, f, p, i in _spellings]
+_family_first = [(regex.compile(rf"(?r){_NOT_LETTER}(?P<f>(?:{p}{_sp})?{f})(?:{_sp}(?P<f2>{f}))?,{_sp}"), regex.compile(f"(?P<g>{g})(?:{_sp}{i})*{_END}")) for g, f, p, i in _spellings]
 _initials_or_given = rf"(?:{_ini}(?:{_sp}{_ini})*|{_cap}(?:{_sp}{_ini})*)"
 #: A name that ends at a place, read backwards from there.
 _ends_here = [regex.compile(rf"(?r){_NOT_LETTER}(?P<g>{_initials_or_given}){_sp}(?P<f>(?:{_part}{_sp})?{_cap}){second}") for second in (rf"{_sp}(?P<f2>{_cap})", "(?P<f2>)")]
 _after_article = regex.compile(rf"(?r)(?<!\p{{L}})(?:the|an?|this|that|each|every|der|die|das|den|dem|des|ein|eine[mnrs]?|le|la|les|un|une|el|los|las|una){_sp}", regex.IGNORECASE)
 _next_word = regex.compile(rf"{_sp}([\p{{L}}]+)")
-_lower_before_word = regex.compile(rf"{_NOT_LETTER}(?:{_forms(_given_lower, _low, _part, r'\p{Ll}\.')[0]})(?={_sp}(?:{'|'.join(AFTER_NAME)})\b|;[+(\d])")
+_lower_before_word = regex.compile(rf"(?:{_forms(_given_lower, _low, _part, r'\p{Ll}\.')[0]})(?={_sp}(?:{'|'.join(AFTER_NAME)})\b|;[+(\d])")
 _before_after_name = rf"(?={_sp}(?:{'|'.join(AFTER_NAME)})\b|;[+(\d])"
 _learnt_first = [regex.compile(f"(?:{_forms(given, family, part, initial)[0]}){end}") for given, family, part, initial, end in ((_cap, _cap, _part, _ini, _END), (_upp, _upp, _partu, _ini, _END), (_low, _low, _part, r"\p{Ll}\.", _before_after_name))]
 _learnt_after_cue = [regex.compile(f"(?:{p}){_END}") for p in _forms(_low, _low, _part, r"\p{Ll}\.")]
-_family_before = regex.compile(rf"{_NOT_LETTER}(?P<f>(?:{_part}{_sp})?{_cap}(?:{_sp}{_cap})?|(?:{_partu}{_sp})?{_upp}(?:{_sp}{_upp})?),{_sp}$")
+_family_before = regex.compile(rf"(?r){_NOT_LETTER}(?P<f>(?:{_part}{_sp})?{_cap}(?:{_sp}{_cap})?|(?:{_partu}{_sp})?{_upp}(?:{_sp}{_upp})?),{_sp}")
 _rest_of_given = regex.compile(rf"\p{{L}}+(?:{_sp}{_ini})*{_END}")
 _initials = regex.compile(_ini)
-_before_joint = regex.compile(rf"(?:^|{_NOT_LETTER})({_ini}(?:{_sp}{_ini})*{_sp}(?:{_part}{_sp})?{_cap}){_joint_between}$")
+_before_joint = regex.compile(rf"(?r){_NOT_LETTER}({_ini}(?:{_sp}{_ini})*{_sp}(?:{_part}{_sp})?{_cap}){_joint_between}")
 _semicolon = regex.compile(r";[+(\d]")
 _initial_family = regex.compile(rf"{_ini}(?:{_sp}{_ini})*{_sp}(?:{_part}{_sp})?{_cap}{_END}")
 _alone = regex.compile(rf"(?:{_part}{_sp})?(?:{_cap}|{_upp}){_END}")
@@ -200,9 +200,8 @@ _phones = regex.compile(
 )
 _phone_cue = regex.compile(r"(?:[Pp]hone|[Mm]obile|[Cc]all|[Tt][ée]l|[Ff]ax|[Hh]andy|[Mm]óvil|[Ll]lame al|[Aa]ppelez le|unter|[Rr]ing|[Pp]ager|portable)\b[^\p{L}\d]{0,6}(?:at |on |to )?$|;$")
 _id_cue = regex.compile(r"(?:SSN|Record|Identity no|ID|Nr|N[o°º]|n[°º]|DNI|NIE|MRN|NHS|Documento|nummer|sociale?|[Pp]assport|[Pp]asaporte|Reisepass|[Nn]úm|number|no)\b[^\p{L}\d]{0,5}$")
-#: So many characters before a number words of the sentence tell its kind.
-WIDE_CUE = 100
-_same_sentence = regex.compile(r"(?:(?!\d{3}|\n|[.!?;][ \t\n\u00a0\u2009]+\p{Lu}).)*$", regex.DOTALL)
+#: Where a sentence, or another number, begins; read backwards from a number.
+_begins = regex.compile(r"(?r)\d{3}|\n|[.!?;][ \t\n\u00a0\u2009]+\p{Lu}")
 _wide_cue = regex.compile(
     r"(?<![\p{L}\p{N}])(?:(?P<phone>[Pp]honed?|[Tt]elephoned?|[Tt]elefon\w*|[Tt]él[ée]phon\w*|[Tt]eléfono|[Mm]obile|[Cc]ell|[Cc]all(?:ed|s|ing)?|[Tt][ée]l|[Ff]ax|[Hh]andy|[Mm]óvil|[Ll]lame|[Aa]ppelez|[Rr]ing|[Rr]each(?:ed|able)?|[Dd]ial|[Tt]ext|[Pp]ager|[Vv]oicemail|portable)"
     r"|SSN|ID|DNI|NIE|MRN|NHS|[Rr]ecords?|[Pp]atient (?:no|number)|[Ii]dentity|[Ii]dentification|[Dd]ocumento|[Nn]ational insurance|[Ii]nsurance|[Vv]ersicher\w*|[Pp]assport|[Pp]asaporte|Reisepass|[Ss]ocial security|[Ss]écurité sociale)(?![\p{L}\p{N}])"
@@ -261,13 +260,17 @@ def find_entities(text: str, learnt: frozenset[str] = frozenset()) -> list[Entit
     return sorted(found.spans, key=lambda e: e.start)
 
 
+#: What stands right before a number is looked for in so many characters; every such cue, with what may follow it, is shorter.
+CUE_LENGTH = 32
+
+
 def _numbers(text: str, found: _Found) -> None:
     if not _long_number.search(text):  # every id number and phone has such a run
         return
     ids = {m.span(): m for m in _ids.finditer(text)}
     phones = {m.span(): m for m in _phones.finditer(text)}
     for start, end in sorted({*ids, *phones}, key=lambda s: (s[0] - s[1], s[0])):
-        before, word = text[max(0, start - 24) : start], text[start:end]
+        before, word = text[max(0, start - CUE_LENGTH) : start], text[start:end]
         if _other_cue.search(before):
             continue
         phone, number = (start, end) in phones, (start, end) in ids
@@ -285,13 +288,14 @@ def _is_phone(text: str, start: int, end: int) -> bool:
     a North American area and exchange make a phone, unless an id's cue stands before or it is a valid NHS number as these
     are written, with blanks.
     """
-    before, word = text[max(0, start - 24) : start], text[start:end]
+    before, word = text[max(0, start - CUE_LENGTH) : start], text[start:end]
     if _phone_cue.search(before):
         return True
     if not _threes.fullmatch(word):
         return False
     said = 0
-    for m in _wide_cue.finditer(_same_sentence.search(text[max(0, start - WIDE_CUE) : start]).group()):
+    begun = _begins.search(text, 0, start)
+    for m in _wide_cue.finditer(text, begun.start() + 1 if begun else 0, start):
         said = 1 if m.group("phone") else -1
     digits = regex.sub(r"\D", "", word)
     if _id_cue.search(before) or not _nanp.fullmatch(digits) or " " in word and _nhs_number(digits):
@@ -363,10 +367,6 @@ def _triggers(learnt: frozenset[str]):
     return automaton
 
 
-#: So far around a given name the rest of the name is looked for.
-NAME_REACH = 200
-
-
 # What addresses of each form can't be without, in the order of _addresses; German ones are told by place.
 _ADDRESS_WORDS = [
     ["Box"], ["Postfach", "Apartado", "Apdo", "BP", "B.P", "BP", "Boîte"],
@@ -380,11 +380,11 @@ _AT_WORDS = ["@", "＠", "﹫", "arroba", *[b + x + w for b in "[({" for x in ("
 
 @dataclass
 class _Places:
-    """Where cues may begin, the stretches that have given names in them, where names may end by what follows, where learnt
+    """Where cues may begin, where listed given names begin, where names may end by what follows, where learnt
     given names begin, where names may begin after weak cues, and whether German addresses can be there at all."""
 
     cues: list[int]
-    stretches: list[tuple[int, int]]
+    given: list[int]
     after: list[int]
     learnt: list[int]
     weak: list[int]
@@ -393,7 +393,7 @@ class _Places:
 
 
 def _places(text: str, names: frozenset[str] = frozenset()) -> _Places:
-    cues, stretches, learnt, weak, german = set(), [], [], [], False
+    cues, given, learnt, weak, german = set(), [], [], [], False
     after = [m.start() for m in _semicolon.finditer(text)] if ";" in text else []
     forms, emails = set(), False
     for end, (what, length) in _triggers(names).iter(text):
@@ -401,12 +401,8 @@ def _places(text: str, names: frozenset[str] = frozenset()) -> _Places:
             cues.add(end - length)
         elif what == 1:
             start = end + 1 - length
-            if (start == 0 or not text[start - 1].isalnum()) and (end + 1 == len(text) or not text[end + 1].isalnum()):
-                low, high = max(0, start - NAME_REACH), min(len(text), end + NAME_REACH)
-                if stretches and low <= stretches[-1][1]:
-                    stretches[-1] = (stretches[-1][0], max(high, stretches[-1][1]))
-                else:
-                    stretches.append((low, high))
+            if (start == 0 or not (text[start - 1].isalnum() or text[start - 1] == "@")) and (end + 1 == len(text) or not text[end + 1].isalnum()):
+                given.append(start)
         elif what == 4:
             if end + 1 == len(text) or not (text[end + 1].isalnum() or text[end + 1] == "_"):
                 after.append(end - length)
@@ -431,7 +427,7 @@ def _places(text: str, names: frozenset[str] = frozenset()) -> _Places:
             german = text[end + 1 : end + 4].lstrip()[:1].isdigit() if what == 2 else _de_place.match(text, end - length) is not None
     if german:
         forms.add(_GERMAN)
-    return _Places(sorted(cues), stretches, after, learnt, weak, forms, emails)
+    return _Places(sorted(cues), sorted(set(given)), after, learnt, weak, forms, emails)
 
 
 def _cued(text: str, places: _Places, found: _Found, learnt: frozenset[str] = frozenset()) -> Iterator[tuple[tuple[int, int], str, str, bool]]:
@@ -464,12 +460,19 @@ def _cued(text: str, places: _Places, found: _Found, learnt: frozenset[str] = fr
 def _persons(text: str, places: _Places, found: _Found, learnt: frozenset[str] = frozenset()) -> None:
     for span, _, _, _ in _cued(text, places, found, learnt):
         _joined(text, span[1], found)
-    for pattern in _free:
-        _take(text, pattern, places.stretches, found)
+    for first, (before, rest) in zip(_given_first, _family_first, strict=True):
+        _take(text, first, places.given, found)
+        for start in places.given:
+            if (g := rest.match(text, start)) and (f := before.match(text, 0, start)) and g.group("g") not in STARTERS:
+                starter = f.group("f") in STARTERS
+                if f.group("f2") and starter:
+                    found.add("person", f.start("f2"), g.end())
+                elif f.group("f").split()[-1] not in STARTERS:
+                    found.add("person", f.start("f"), g.end())
     for end in places.after:
         _ending_at(text, end, found)
     if places.after:
-        _take(text, _lower_before_word, places.stretches, found)
+        _take(text, _lower_before_word, places.given, found)
     for start in places.weak:
         if (m := _after_cue[0].match(text, start)) and (span := _clip(text, m)) and _personal(text, m, span[1]) and found.add("person", *span):
             _joined(text, span[1], found)
@@ -477,9 +480,8 @@ def _persons(text: str, places: _Places, found: _Found, learnt: frozenset[str] =
         _learnt_at(text, start, learnt, found)
     for e in list(found.spans):  # M. Holt and Priya Quill: what stands before the joint
         if e.kind == "person":
-            base = max(0, e.start - 60)
-            if (m := _before_joint.search(text[base : e.start])) is not None:
-                found.add("person", base + m.start(1), base + m.end(1))
+            if (m := _before_joint.match(text, 0, e.start)) is not None:
+                found.add("person", m.start(1), m.end(1))
 
 
 def _learnt_at(text: str, start: int, learnt: frozenset[str], found: _Found) -> None:
@@ -489,16 +491,15 @@ def _learnt_at(text: str, start: int, learnt: frozenset[str], found: _Found) ->
             if (span := _clip(text, m)) and found.add("person", *span):
                 _joined(text, span[1], found)
             return
-    base = max(0, start - 80)
-    if (rest := _rest_of_given.match(text, start)) and not text[start].islower() and (m := _family_before.search(text[base:start])) and not set(m.group("f").split()) & STARTERS:
-        found.add("person", base + m.start("f"), rest.end())
+    if (rest := _rest_of_given.match(text, start)) and not text[start].islower() and (m := _family_before.match(text, 0, start)) and not set(m.group("f").split()) & STARTERS:
+        found.add("person", m.start("f"), rest.end())
 
 
-def _take(text: str, pattern: regex.Pattern, stretches: list[tuple[int, int]], found: _Found) -> None:
-    for low, high in stretches:
-        for m in pattern.finditer(text, low, high):
-            if (span := _clip(text, m)) and found.add("person", *span):
-                _joined(text, span[1], found)
+def _take(text: str, pattern: regex.Pattern, starts: list[int], found: _Found) -> None:
+    """The persons whose names begin at these places."""
+    for start in starts:
+        if (m := pattern.match(text, start)) and (span := _clip(text, m)) and found.add("person", *span):
+            _joined(text, span[1], found)
 
 
 def _ending_at(text: str, end: int, found: _Found) -> None:

@@ -164,3 +164,13 @@ def test_persons_with_names_in_no_list():
         got += sum(e.kind == "person" for e in privacy.find_entities(text))
     assert right >= 0.9 * want and right >= 0.9 * got, (want, got, right)
     print(f"recall {right / want:.3f}, precision {right / got:.3f}")
+
+
+def test_no_reach():
+    """Names and cues of any length and distance are found: nothing is looked for in a stretch of fixed size."""
+    family = "-".join(["Kelwex"] * 60)
+    for text, want in ((f"{family}, Anna said so.", f"{family}, Anna"), (f"Anna {family} is here.", f"Anna {family}"), (f"K. {family} and Anna Holt.", f"K. {family}")):
+        assert want in [text[e.start : e.end] for e in privacy.find_entities(text)]
+    filler = "as we were told by those who keep it in the cellar of the old building " * 20
+    assert [e.kind for e in privacy.find_entities(f"The patient's record, {filler}, is 415-867-5309.") if e.kind in ("phone", "id_number")] == ["id_number"]
+    assert [e.kind for e in privacy.find_entities("Write to @Anna Holt")] == []
