@@ -160,17 +160,19 @@ def forest_levels(links: DataFrame, limit: int = FOREST_LINKS, sizes: list[int]
     The same steps run at every size. ``sizes``, if given, receives the number of merging partitions of each level.
     """
     levels: list[DataFrame] = []
-    graph = links.select("a1", "a2", "b1", "b2")
+    graph = cut(links.select("a1", "a2", "b1", "b2").mapInArrow(_edge_forests(0, limit), _LINK))
+    rows = graph.count()
     while True:
-        level = len(levels)
-        forest = cut(graph.mapInArrow(_edge_forests(level, limit), _LINK))
-        parts = -(-max(1, forest.count()) // limit)
-        merged = cut(forest.repartition(parts, "a1", "a2").mapInArrow(_merged_forests(level, limit), _LINK + ", is_link boolean"))
+        level, parts = len(levels), -(-max(1, rows) // limit)
+        if level:
+            graph = graph.mapInArrow(_edge_forests(level, limit), _LINK)  # a link has two nodes, so a forest is at most twice as large
+            parts = -(-2 * rows // limit)
+        merged = cut(graph.repartition(parts, "a1", "a2").mapInArrow(_merged_forests(level, limit), _LINK + ", is_link boolean"))
         levels.append(merged.filter("not is_link").drop("is_link"))
         if sizes is not None:
             sizes.append(parts)
         graph = merged.filter("is_link").drop("is_link")
-        if parts == 1 or graph.isEmpty():
+        if parts == 1 or (rows := graph.count()) == 0:
             return levels
 
 
