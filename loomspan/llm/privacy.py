@@ -124,9 +124,8 @@ _spellings = [(_given, _cap, _part, _ini), (_given_upper, _upp, _partu, _ini)]
 #: From a given name on: the name; and a family name and a comma before it, read backwards, with the given name's rest.
 _given_first = [regex.compile(f"(?:{_forms(g, f, p, i)[0]}){_END}") for g, f, p, i in _spellings]
 _family_first = [(regex.compile(rf"(?r){_NOT_LETTER}(?P<f>(?:{p}{_sp})?{f})(?:{_sp}(?P<f2>{f}))?,{_sp}"), regex.compile(f"(?P<g>{g})(?:{_sp}{i})*{_END}")) for g, f, p, i in _spellings]
-_initials_or_given = rf"(?:{_ini}(?:{_sp}{_ini})*|{_cap}(?:{_sp}{_ini})*)"
-#: A name that ends at a place, read backwards from there.
-_ends_here = [regex.compile(rf"(?r){_NOT_LETTER}(?P<g>{_initials_or_given}){_sp}(?P<f>(?:{_part}{_sp})?{_cap}){second}") for second in (rf"{_sp}(?P<f2>{_cap})", "(?P<f2>)")]
+#: A name that ends at a place, read backwards from there: with a given name, else with initials alone.
+_ends_here = [regex.compile(rf"(?r){_NOT_LETTER}(?P<g>{given}){_sp}(?P<f>(?:{_part}{_sp})?{_cap}){second}") for given in (rf"{_cap}(?:{_sp}{_ini})*", rf"{_ini}(?:{_sp}{_ini})*") for second in (rf"{_sp}(?P<f2>{_cap})", "(?P<f2>)")]
 _after_article = regex.compile(rf"(?r)(?<!\p{{L}})(?:the|an?|this|that|each|every|der|die|das|den|dem|des|ein|eine[mnrs]?|le|la|les|un|une|el|los|las|una){_sp}", regex.IGNORECASE)
 _next_word = regex.compile(rf"{_sp}([\p{{L}}]+)")
 _lower_before_word = regex.compile(rf"(?:{_forms(_given_lower, _low, _part, r'\p{Ll}\.')[0]})(?={_sp}(?:{'|'.join(AFTER_NAME)})\b|;[+(\d])")
@@ -507,9 +506,9 @@ def _ending_at(text: str, end: int, found: _Found) -> None:
     while end > 0 and text[end - 1] in BLANKS:
         end -= 1
     for pattern in _ends_here:
-        if (m := pattern.match(text, 0, end)) and not {m.group("g"), *m.group("f").split()} & STARTERS:
-            by_initial = _initials.match(m.group("g")) is not None
-            if (by_initial or not _after_article.match(text, 0, m.start()) and _personal(text, m, end)) and found.add("person", m.start(), end):
+        if (m := pattern.match(text, 0, end)) and not {m.group("g").split()[0], *m.group("f").split()} & STARTERS:
+            sure = _initials.match(m.group("g")) is not None or text[end : end + 1] == ";"  # a record's name before its number
+            if (sure or not _after_article.match(text, 0, m.start()) and _personal(text, m, end)) and found.add("person", m.start(), end):
                 _joined(text, end, found)
             return
 
