@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomspan.functions.rules import header_tags
 from loomspan.operators.aggregates import least_values
 from loomspan.operators.shape import q
 from loomspan.operators.windows import numbered
@@ -130,6 +131,25 @@ def namespace_hits(df: DataFrame, text: str, namespaces: Mapping[str, str] = NAM
     return counts.join(least_values(per, ["namespace"], "example", examples), "namespace")
 
 
+def table_namespaces(df: DataFrame, name: str, namespaces: Mapping[str, str] = NAMESPACES) -> DataFrame:
+    """(table_name, tags, mode, namespace, n): where a table has accessions, and what its header is about (ID-11).
+
+    mode is header for accessions among the column names (wide for a table that is_header_like), value for rows with one in a
+    text column; n counts columns or rows. The header is read by the driver, the rows in one pass.
+    """
+    mode = "wide" if is_header_like(df.columns) else "header"
+    hit = lambda c, p: re.search(rf"(?i)(?:^|[^A-Za-z0-9_])(?:{p})(?:$|[^A-Za-z0-9_])", c)
+    counts = [(mode, n, sum(bool(hit(c, p)) for c in df.columns)) for n, p in namespaces.items()]
+    header = df.sparkSession.createDataFrame([r for r in counts if r[2]], "mode string, namespace string, n bigint")
+    texts = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
+    rows = header
+    if texts:
+        cells = df.select(F.concat_ws(" ", *[F.col(q(c)) for c in texts]).alias("t"))
+        rows = header.unionByName(namespace_hits(cells, "t", namespaces).select(F.lit("value").alias("mode"), "namespace", "n"))
+    tags = header_tags(F.lit(" ".join(df.columns)))
+    return rows.select(F.lit(name).alias("table_name"), F.array_join(tags, "|").alias("tags"), "mode", "namespace", "n")
+
+
 def accession_of(path: Column) -> Column:
     """The accession in a file's name, else in its folders, else its stem (ID-12)."""
     pattern = r"((?:GSE|GSM|SRR|SRX|SRS|ERR|ERX|ERP|PXD)[0-9]+|PRJ[A-Z]{2}[0-9]+|E-[A-Z]{4}-[0-9]+|TCGA-[A-Z0-9]{2,4}(?:-[A-Z0-9]{4})?)"

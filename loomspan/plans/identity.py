@@ -36,6 +36,14 @@ def q_namespaces(spark: SparkSession, d: str) -> DataFrame:
     return identifiers.namespace_hits(table(spark, d, "documents"), "text").withColumn("examples", F.array_join("examples", "|"))
 
 
+def q_table_namespaces(spark: SparkSession, d: str) -> DataFrame:
+    """Accessions among the rows of the link table, and in the headers of a narrow and a wide matrix (ID-11, ID-05)."""
+    narrow = spark.createDataFrame([("x", "GSE9 and more", 1)], "`brca liposome` string, `GSM12` string, `TCGA-A1-A0SB` int")
+    wide = spark.range(1).select(*[F.lit(1).alias(f"GSM{i}") for i in range(1000)])
+    found = [identifiers.table_namespaces(table(spark, d, "id_map"), "id_map"), identifiers.table_namespaces(narrow, "narrow"), identifiers.table_namespaces(wide, "wide")]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def q_stable_ids(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("term")
     return table(spark, d, "vocabulary").filter("term is not null").select("vocab_id", strings.short_hash(c).alias("uid"), strings.short_hash(c, "md5", 12).alias("file_id"), F.concat(F.lit("P"), F.upper(strings.short_hash(c, "sha1", 12))).alias("person_id"))
@@ -204,6 +212,9 @@ WITH {_LEVEL}, m AS (SELECT source_col, {_KEY} AS value, key, round(avg(confiden
 b AS (SELECT *, row_number() OVER (PARTITION BY source_col, value ORDER BY mean_confidence DESC, n DESC, key) AS rn FROM m) SELECT source_col, value, key, mean_confidence, n FROM b WHERE rn = 1""",
     "q_namespaces": "WITH h AS (" + " UNION ALL ".join(f"SELECT '{n}' AS namespace, text, upper(regexp_extract(text, '(?i)(?:^|[^A-Za-z0-9_])({p})(?:$|[^A-Za-z0-9_])', 1)) AS example FROM documents" for n, p in identifiers.NAMESPACES.items())
     + ") SELECT namespace, count(*) AS n, count(DISTINCT text) AS n_distinct, array_to_string(list_sort(list(DISTINCT example))[1:5], '|') AS examples FROM h WHERE example <> '' GROUP BY namespace",
+    "q_table_namespaces": "WITH t AS (SELECT concat_ws(' ', source_file, source_loc, source_col, raw_value, patient_key, rule, master_patient_id) AS t FROM id_map), h AS ("
+    + " UNION ALL ".join(f"SELECT 'id_map' AS table_name, '' AS tags, 'value' AS mode, '{n}' AS namespace, count(*) AS n FROM t WHERE regexp_matches(t, '(?i)(^|[^A-Za-z0-9_])(?:{p})($|[^A-Za-z0-9_])')" for n, p in identifiers.NAMESPACES.items())
+    + """) SELECT * FROM h WHERE n > 0 UNION ALL VALUES ('narrow', 'breast|nano', 'header', 'GSM', 1), ('narrow', 'breast|nano', 'header', 'TCGA_PAT', 1), ('narrow', 'breast|nano', 'value', 'GSE', 1), ('wide', '', 'wide', 'GSM', 1000)""",
     "q_stable_ids": "SELECT vocab_id, left(sha256(term), 8) AS uid, left(md5(term), 12) AS file_id, 'P' || upper(left(sha1(term), 12)) AS person_id FROM vocabulary WHERE term IS NOT NULL",
     "q_well_formed": "SELECT source_file, count(*) FILTER (regexp_matches(raw_value, '^[A-Za-z0-9_.-]+$')) AS n_formed, count(*) AS n, CAST(min(length(raw_value)) AS INTEGER) AS shortest, CAST(max(length(raw_value)) AS INTEGER) AS longest FROM id_map WHERE raw_value IS NOT NULL GROUP BY 1",
     "q_sniffed_ids": """
