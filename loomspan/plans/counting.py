@@ -43,9 +43,9 @@ def q_feature_pivot(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_pivots_joined(spark: SparkSession, d: str) -> DataFrame:
-    """Numbers and texts of a feature store, each pivoted, side by side by sample (JN-07, PRJ-14)."""
+    """Numbers and texts of a feature store, each pivoted, side by side by sample; facts without one have no row (JN-07, PRJ-14)."""
     names = shape.distinct_values(table(spark, d, "feature_dictionary"), "feature")
-    facts = joins.members(table(spark, d, "features"), "feature", table(spark, d, "feature_dictionary"), "feature")
+    facts = joins.members(table(spark, d, "features").filter("sample_id is not null"), "feature", table(spark, d, "feature_dictionary"), "feature")
     numbers = shape.pivoted(facts.filter("value_num is not null"), ["sample_id"], value="value_num", features=names)
     texts = shape.pivoted(facts.filter("value_txt is not null"), ["sample_id"], value="value_txt", features=names)
     return joins.outer_all([numbers, texts.toDF("sample_id", *[f"txt_{c}" for c in texts.columns[1:]])], "sample_id")
